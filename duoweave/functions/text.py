@@ -49,13 +49,45 @@ _WS_RUN = rf"{WHITESPACE_CLASS}+"
 TAG_PATTERN = r"<[^>]*>"
 
 
+def _chars(spec: str) -> str:
+    """Expand a character-class body like "\\x{1780}-\\x{17B3}A-Z" into its characters."""
+    import re as _re
+
+    def one(tok: str) -> int:
+        if tok.startswith("\\x{"):
+            return int(tok[3:-1], 16)
+        return {"\\t": 9, "\\r": 13, "\\n": 10}.get(tok, None) or ord(tok)
+
+    toks = _re.findall(r"\\x\{[0-9A-Fa-f]+\}|\\[trn]|.", spec)
+    out, k = [], 0
+    while k < len(toks):
+        if k + 2 < len(toks) and toks[k + 1] == "-":
+            out.extend(chr(c) for c in range(one(toks[k]), one(toks[k + 2]) + 1))
+            k += 3
+        else:
+            out.append(chr(one(toks[k])))
+            k += 1
+    return "".join(out)
+
+
+# The same sets as plain character lists (for translate / btrim, which are
+# much faster than character-class regexes).
+WHITESPACE_CHARS = _chars(WHITESPACE_CLASS[1:-1])
+_SPACES = " " * len(WHITESPACE_CHARS)
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_col(c), _WS_EDGES, "")
+    return F.btrim(_col(c), F.lit(WHITESPACE_CHARS))
+
+
+def _spaced(c: Column) -> Column:
+    """Every Unicode whitespace character turned into ' '."""
+    return F.translate(c, WHITESPACE_CHARS, _SPACES)
 
 
 def clean_text(c) -> Column:
@@ -66,11 +98,14 @@ def clean_text(c) -> Column:
     becomes '', a lone '.' becomes ''.
     """
     raw = F.coalesce(_col(c), F.lit(""))
-    stripped = strip_ws(raw)
-    collapsed = F.regexp_replace(stripped, _WS_RUN, " ")
+    s = F.btrim(_spaced(raw), F.lit(" "))
+    collapsed = F.regexp_replace(s, "  +", " ")
+    # s has the length of the stripped text, with inner whitespace as ' ';
+    # it is a token only if the original stripped text is that token.
+    token = s.isin(*SEPARATOR_TOKENS) & (strip_ws(raw) == s)
     return (
         F.when(raw == "", F.lit(""))
-        .when(stripped.isin(*SEPARATOR_TOKENS), stripped)
+        .when(token, s)
         .when(collapsed.rlike(r"^[- ]*\z"), F.lit(""))
         .when(collapsed == ".", F.lit(""))
         .otherwise(collapsed)
@@ -94,8 +129,9 @@ KHMER = LanguageRule()
 def script_counts(c, rule: LanguageRule = KHMER) -> tuple[Column, Column]:
     """(script letters, other letters) counted in code points."""
     t = F.coalesce(_col(c), F.lit(""))
-    k = F.length(F.regexp_replace(t, f"[^{rule.script_letters}]", ""))
-    l_ = F.length(F.regexp_replace(t, f"[^{rule.other_letters}]", ""))
+    n = F.length(t)
+    k = n - F.length(F.translate(t, _chars(rule.script_letters), ""))
+    l_ = n - F.length(F.translate(t, _chars(rule.other_letters), ""))
     return k, l_
 
 
@@ -134,17 +170,18 @@ def clean_array(arr) -> Column:
     """``clean_text`` over every element of an array, each step evaluated once.
 
     Lambdas of higher-order functions are not subject to common
-    subexpression elimination, so the stripped and collapsed forms are
-    bound as struct fields in separate passes instead of being repeated.
+    subexpression elimination, so intermediate forms are bound as struct
+    fields in separate passes instead of being repeated.
     """
     a = _col(arr)
-    st = F.transform(a, lambda x: F.struct(F.coalesce(x, F.lit("")).alias("r"),
-                                           strip_ws(F.coalesce(x, F.lit(""))).alias("s")))
+    st = F.transform(a, lambda x: F.struct(
+        F.coalesce(x, F.lit("")).alias("r"),
+        F.btrim(_spaced(F.coalesce(x, F.lit(""))), F.lit(" ")).alias("s")))
     co = F.transform(st, lambda v: F.struct(v["r"].alias("r"), v["s"].alias("s"),
-                                            F.regexp_replace(v["s"], _WS_RUN, " ").alias("c")))
+                                            F.regexp_replace(v["s"], "  +", " ").alias("c")))
     return F.transform(co, lambda v: (
         F.when(v["r"] == "", F.lit(""))
-        .when(v["s"].isin(*SEPARATOR_TOKENS), v["s"])
+        .when(v["s"].isin(*SEPARATOR_TOKENS) & (strip_ws(v["r"]) == v["s"]), v["s"])
         .when(v["c"].rlike(r"^[- ]*\z"), F.lit(""))
         .when(v["c"] == ".", F.lit(""))
         .otherwise(v["c"])))

@@ -2,14 +2,18 @@
 
 Steps, each a DataFrame join or aggregation keyed by page:
 
-1. encode both sides (``encode``);
+1. encode both sides into sparse vector rows (``encode``);
 2. best match: every Khmer sentence takes the English sentence of its page
-   with the highest cosine, lowest index on ties; several Khmer sentences
-   may share one English sentence;
+   with the highest cosine, lowest index on ties (an English sentence that
+   shares no component scores 0, so a Khmer sentence without any positive
+   score takes English sentence 0); several Khmer sentences may share one;
 3. unused English sentences of the page (anti join);
 4. merge candidates: every (pair, unused sentence) of a page, scored as
    cosine(encode(base + ' ' + unused), khmer).  A pair's base never
-   changes before its own turn, so all scores are computed up front;
+   changes before its own turn, so all scores are computed up front, from
+   dot products: M.K = B.K + U.K + J.K and
+   |M|^2 = |B|^2 + |U|^2 + |J|^2 + 2 (B.U + B.J + U.J), J being the
+   n-grams across the joining space (none for given vectors);
 5. greedy pick, pairs in Khmer order: each takes its best-scored unused
    sentence still free (lowest index on ties), even when the score falls,
    and removes it from the pool.  This step is sequential by definition,
@@ -28,58 +32,115 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duoweave.operators.encode import NgramEncoder
+from duoweave.operators.encode import NgramEncoder, ratio
+from duoweave.session import materialize
 
 _INT_ARRAY = "array<int>"
 
 
-def sentences(content: DataFrame, key: str = "page_id") -> tuple[DataFrame, DataFrame]:
-    """content(key, english, khmer) -> (en(key, i, text), km(key, j, text))."""
-    en = content.select(key, F.posexplode("english").alias("i", "text"))
-    km = content.select(key, F.posexplode("khmer").alias("j", "text"))
-    return en, km
-
-
-def encode_sides(en: DataFrame, km: DataFrame, encoder, key: str = "page_id",
-                 text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(en(key, i, vec, _head, _tail), km(key, j, kvec))."""
-    edges = encoder.edge_columns(F.coalesce(F.col(text), F.lit("")))
-    en_e = en.withColumns(edges)
-    ev = encoder.vectors(en_e, [key, "i"], text, carry=["_head", "_tail"])
-    kv = encoder.vectors(km, [key, "j"], text).withColumnRenamed("vec", "kvec")
-    return ev, kv
-
-
-def best_matches(km_vec: DataFrame, en_vec: DataFrame, encoder, key: str = "page_id") -> DataFrame:
-    """Per Khmer sentence the best English one: (key, j, i, score, kvec)."""
-    scored = km_vec.join(en_vec.select(key, "i", F.col("vec").alias("evec")), key).select(
-        key, "j", "i", "kvec", encoder.score(F.col("kvec"), F.col("evec")).alias("score"))
-    best = scored.groupBy(key, "j").agg(
-        F.max(F.struct(F.col("score"), (-F.col("i")).alias("neg_i"))).alias("m"),
-        F.first("kvec").alias("kvec"),
-    )
-    return best.select(key, "j", (-F.col("m.neg_i")).alias("i"), F.col("m.score").alias("score"), "kvec")
-
-
-def unused_english(en_vec: DataFrame, best: DataFrame, key: str = "page_id") -> DataFrame:
-    """English sentences no Khmer sentence matched: en rows (key, i, ...)."""
-    used = best.select(key, "i").distinct()
-    return en_vec.join(used, [key, "i"], "left_anti")
-
-
-def merge_candidates(best: DataFrame, en_vec: DataFrame, unused: DataFrame, encoder,
-                     key: str = "page_id") -> DataFrame:
+def sentences(content: DataFrame, key: str = "page_id") -> DataFrame:
+    """content(key, english, khmer) -> (key, side, idx, text), side 'en' / 'km'."""
+    en = content.select(key, F.lit("en").alias("side"), F.posexplode("english").alias("idx", "text"))
+    km = content.select(key, F.lit("km").alias("side"), F.posexplode("khmer").alias("idx", "text"))
+    return en.unionByName(km)
+
+
+class Vectors:
+    """Sparse vector rows of both sides and their squared norms."""
+
+    def __init__(self, sent: DataFrame, encoder, key: str = "page_id", text: str = "text",
+                 checkpoint: bool = True):
+        self.key = key
+        self.sent = sent
+        rows = encoder.sparse(sent, [key, "side", "idx"], text)
+        # vector rows and norms are read by every later join: encode once
+        self.rows = materialize(rows) if checkpoint else rows
+        norms = self.rows.groupBy(key, "side", "idx").agg(F.sum(F.col("val") * F.col("val")).alias("nn"))
+        self.norms = materialize(norms) if checkpoint else norms
+
+    def side_rows(self, side: str, idx: str, val: str) -> DataFrame:
+        return self.rows.filter(F.col("side") == side).select(
+            self.key, F.col("idx").alias(idx), "bucket", F.col("val").alias(val))
+
+    def side_norms(self, side: str, idx: str, nn: str) -> DataFrame:
+        return self.norms.filter(F.col("side") == side).select(
+            self.key, F.col("idx").alias(idx), F.col("nn").alias(nn))
+
+
+def km_en_dots(v: Vectors) -> DataFrame:
+    """(key, j, i, d): dot products of Khmer j and English i sharing a component."""
+    k = v.key
+    return (v.side_rows("km", "j", "kv").join(v.side_rows("en", "i", "ev"), [k, "bucket"])
+            .groupBy(k, "j", "i").agg(F.sum(F.col("kv") * F.col("ev")).alias("d")))
+
+
+def best_matches(v: Vectors, dots: DataFrame | None = None) -> DataFrame:
+    """Per Khmer sentence the best English one: (key, j, i, score, d)."""
+    k = v.key
+    dots = dots if dots is not None else km_en_dots(v)
+    scored = (dots.join(v.side_norms("km", "j", "nk"), [k, "j"])
+              .join(v.side_norms("en", "i", "ne"), [k, "i"])
+              .select(k, "j", "i", "d", ratio(F.col("d"), F.col("nk"), F.col("ne")).alias("score")))
+    best = scored.groupBy(k, "j").agg(F.max(F.struct(
+        F.col("score"), (-F.col("i")).alias("neg_i"), F.col("d"))).alias("m"))
+    kms = v.sent.filter(F.col("side") == "km").select(k, F.col("idx").alias("j"))
+    return kms.join(best, [k, "j"], "left").select(
+        k, "j",
+        F.coalesce(-F.col("m.neg_i"), F.lit(0)).alias("i"),
+        F.coalesce(F.col("m.score"), F.lit(0.0)).alias("score"),
+        F.coalesce(F.col("m.d"), F.lit(0)).alias("d"))
+
+
+def unused_english(v: Vectors, best: DataFrame) -> DataFrame:
+    """English sentences no Khmer sentence matched: (key, i)."""
+    k = v.key
+    en = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"))
+    return en.join(best.select(k, "i").distinct(), [k, "i"], "left_anti")
+
+
+def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
+                     dots: DataFrame | None = None) -> DataFrame:
     """(key, j, b, base_score, u, score) for every pair and unused sentence."""
-    base = en_vec.select(key, F.col("i").alias("b"), F.col("vec").alias("bvec"),
-                         F.col("_tail").alias("btail"))
-    pairs = best.select(key, "j", F.col("i").alias("b"), F.col("score").alias("base_score"), "kvec") \
-        .join(base, [key, "b"])
-    pool = unused.select(key, F.col("i").alias("u"), F.col("vec").alias("uvec"),
-                         F.col("_head").alias("uhead"))
-    cands = pairs.join(pool, key)
-    merged = encoder.merged(F.col("bvec"), F.col("uvec"), F.col("btail"), F.col("uhead"))
-    return cands.select(key, "j", "b", "base_score", "u",
-                        encoder.score(merged, F.col("kvec")).alias("score"))
+    k = v.key
+    dots = dots if dots is not None else km_en_dots(v)
+    cands = best.select(k, "j", F.col("i").alias("b"), F.col("score").alias("base_score"),
+                        F.col("d").alias("bk")).join(unused.select(k, F.col("i").alias("u")), k)
+    uk = dots.select(k, "j", F.col("i").alias("u"), F.col("d").alias("uk"))
+    keys = cands.select(k, "b", "u").distinct()
+    bu = (v.side_rows("en", "b", "bv").join(keys, [k, "b"])
+          .join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
+          .groupBy(k, "b", "u").agg(F.sum(F.col("bv") * F.col("uv")).alias("bu")))
+    out = (cands.join(uk, [k, "j", "u"], "left")
+           .join(bu, [k, "b", "u"], "left")
+           .join(v.side_norms("en", "b", "nb"), [k, "b"], "left")
+           .join(v.side_norms("en", "u", "nu"), [k, "u"], "left")
+           .join(v.side_norms("km", "j", "nk"), [k, "j"], "left"))
+    zero = F.lit(0)
+    jk = jj = bj = uj = zero
+    junction = None
+    if encoder.has_junction:
+        texts = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"), "text")
+        junction = encoder.junction(
+            keys.join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"])
+            .join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"]),
+            [k, "b", "u"], "bt", "ut")
+    if junction is not None:
+        jrows = junction.select(k, "b", "u", "bucket", F.col("val").alias("jv"))
+        jself = jrows.groupBy(k, "b", "u").agg(F.sum(F.col("jv") * F.col("jv")).alias("jj"))
+        jb = (jrows.join(v.side_rows("en", "b", "bv"), [k, "b", "bucket"])
+              .groupBy(k, "b", "u").agg(F.sum(F.col("jv") * F.col("bv")).alias("bj")))
+        ju = (jrows.join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
+              .groupBy(k, "b", "u").agg(F.sum(F.col("jv") * F.col("uv")).alias("uj")))
+        jkr = (cands.select(k, "j", "b", "u").join(jrows, [k, "b", "u"])
+               .join(v.side_rows("km", "j", "kv"), [k, "j", "bucket"])
+               .groupBy(k, "j", "u").agg(F.sum(F.col("jv") * F.col("kv")).alias("jk")))
+        out = (out.join(jself, [k, "b", "u"], "left").join(jb, [k, "b", "u"], "left")
+               .join(ju, [k, "b", "u"], "left").join(jkr, [k, "j", "u"], "left"))
+        jk, jj, bj, uj = (F.coalesce(F.col(c), zero) for c in ("jk", "jj", "bj", "uj"))
+    c0 = {c: F.coalesce(F.col(c), zero) for c in ("uk", "bu", "nb", "nu", "nk")}
+    mk = F.col("bk") + c0["uk"] + jk
+    mm = c0["nb"] + c0["nu"] + jj + 2 * (c0["bu"] + bj + uj)
+    return out.select(k, "j", "b", "base_score", "u", ratio(mk, mm, c0["nk"]).alias("score"))
 
 
 def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
@@ -93,7 +154,8 @@ def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
     if only_if_better:
         cands = cands.filter(F.col("score") > F.col("base_score"))
     ranked = cands.groupBy(key, "j").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("neg"), "u", "score"))),
+        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("neg"),
+                                                      F.col("u").cast("int").alias("u"), "score"))),
                 1, F.col("j") + 1).alias("ranked"))
     pairs = best.select(key, "j", F.col("i").alias("b"), F.col("score").alias("base_score")) \
         .join(ranked, [key, "j"], "left") \
@@ -127,12 +189,32 @@ def assemble(content: DataFrame, picks: DataFrame, key: str = "page_id") -> Data
     return joined.withColumn("english", F.coalesce(english, F.col("english"))).drop("picks")
 
 
-def dropped(en_vec: DataFrame, unused: DataFrame, picks: DataFrame, key: str = "page_id") -> DataFrame:
+def dropped(unused: DataFrame, picks: DataFrame, key: str = "page_id") -> DataFrame:
     """English sentences left out of the aligned output: (key, i)."""
     taken = picks.filter(F.col("u") >= 0).select(key, F.col("u").alias("i"))
     return unused.select(key, "i").join(taken, [key, "i"], "left_anti")
 
 
+def align_steps(sent: DataFrame, encoder, key: str = "page_id", only_if_better: bool = False,
+                checkpoint: bool = True):
+    """All intermediate frames of the alignment of sentence rows (key, side, idx, text/vec).
+
+    With ``checkpoint`` the vector rows, norms and Khmer-English dot products
+    (each read by several joins) are written once to the checkpoint folder.
+    """
+    v = Vectors(sent, encoder, key, checkpoint=checkpoint)
+    dots = km_en_dots(v)
+    if checkpoint:
+        dots = materialize(dots)
+    best = best_matches(v, dots)
+    if checkpoint:
+        best = materialize(best)
+    pool = unused_english(v, best)
+    cands = merge_candidates(v, best, pool, encoder, dots)
+    picks = greedy_merge(best, cands, key, only_if_better)
+    return {"vectors": v, "dots": dots, "best": best, "unused": pool, "candidates": cands, "picks": picks}
+
+
 def align_pages(content: DataFrame, encoder=None, key: str = "page_id",
                 only_if_better: bool = False) -> DataFrame:
     """Align the English list of every page to its Khmer list.
@@ -141,13 +223,8 @@ def align_pages(content: DataFrame, encoder=None, key: str = "page_id",
     Returns the same columns with ``english`` replaced.
     """
     encoder = encoder or NgramEncoder()
-    en, km = sentences(content, key)
-    en_vec, km_vec = encode_sides(en, km, encoder, key)
-    best = best_matches(km_vec, en_vec, encoder, key)
-    pool = unused_english(en_vec, best, key)
-    cands = merge_candidates(best, en_vec, pool, encoder, key)
-    picks = greedy_merge(best, cands, key, only_if_better)
-    return assemble(content, picks, key)
+    steps = align_steps(sentences(content, key), encoder, key, only_if_better)
+    return assemble(content, steps["picks"], key)
 
 
 def align(content: DataFrame, encoder=None, key: str = "page_id",

@@ -1,17 +1,22 @@
-"""Sentence encoders: text -> fixed-length vector column.
+"""Sentence encoders as sparse vector rows.
 
-``NgramEncoder`` is the built-in, fully native encoder: character n-grams
-hashed into ``dims`` buckets, counted with explode + groupBy (codegen'd,
-combined map-side), one ``array<bigint>`` per sentence.  It needs no model
-and no Python worker, and the vector of "a + ' ' + b" is the sum of the
-vectors of a, b and of the few n-grams across the join, so merge
-candidates never have to be re-encoded.
+An encoder turns sentences ``(keys..., text)`` into rows
+``(keys..., bucket, val)``: one row per non-zero component.  Dot products,
+norms and cosines are then joins on the component id plus sums, all native
+and codegen'd; only sentence pairs that share a component meet in a join.
 
-``GivenVectors`` uses vectors that are already in the data (for example the
-output of a user's model); a merged sentence is the sum of its parts.
+``NgramEncoder`` (default, no model): character n-grams hashed into
+``dims`` buckets and counted (explode + groupBy, combined map-side).  The
+vector of "a + ' ' + b" is vec(a) + vec(b) + vec(J) with J the at most
+n-1+1 n-grams across the joining space, so merge candidates never have to
+be re-encoded.
 
-A user model plugs in through ``ModelEncoder``: an iterator pandas UDF that
-loads the model once per Python worker and encodes Arrow batches.
+``GivenVectors``: dense vectors already in the data (e.g. a user's model
+output); components are exploded; a merged sentence is the sum of parts.
+
+``ModelEncoder``: a user's sentence model behind an iterator pandas UDF
+(model loaded once per Python worker, Arrow batches), producing given
+vectors.
 """
 
 from __future__ import annotations
@@ -29,28 +34,26 @@ HASH_MULTIPLIER = 1000003
 HASH_MODULUS = 2147483647
 
 
-def add_vectors(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x + y)
-
+def ratio(d: Column, na: Column, nb: Column) -> Column:
+    """d / sqrt(na * nb) in double, 0 for a zero vector."""
+    den = F.sqrt(na.cast("double") * nb.cast("double"))
+    return F.when(den == 0, F.lit(0.0)).otherwise(d.cast("double") / den)
 
-def cosine(a: Column, b: Column, zero: Column | None = None) -> Column:
-    """Cosine similarity of two equal-length numeric arrays, 0 for a zero vector.
 
-    Sums run left to right from 0, products of the two norms are taken in
-    double, so results are reproducible bit for bit in other engines.
-    """
-    z = F.lit(0) if zero is None else zero
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), z, lambda s, v: s + v)
-    na = F.aggregate(F.transform(a, lambda x: x * x), z, lambda s, v: s + v)
-    nb = F.aggregate(F.transform(b, lambda x: x * x), z, lambda s, v: s + v)
-    den = F.sqrt(na.cast("double") * nb.cast("double"))
-    return F.when(den == 0, F.lit(0.0)).otherwise(dot.cast("double") / den)
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two equal-length arrays (sequential sums, for small inputs and tests)."""
+    zero = F.lit(0.0)
+    d = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), zero, lambda s, v: s + v)
+    na = F.aggregate(F.transform(a, lambda x: x * x), zero, lambda s, v: s + v)
+    nb = F.aggregate(F.transform(b, lambda x: x * x), zero, lambda s, v: s + v)
+    return ratio(d, na, nb)
 
 
 class NgramEncoder:
-    """Hashed character n-gram counts (sparse built, dense stored)."""
+    """Hashed character n-gram counts."""
 
     kind = "ngram"
+    has_junction = True
 
     def __init__(self, n: int = NGRAM, dims: int = DIMS):
         self.n = n
@@ -67,92 +70,71 @@ class NgramEncoder:
         """All overlapping n-grams of a text (whole text, code points)."""
         return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{self.n}}}))"), F.lit(1))
 
-    def bucket_array(self, text: Column) -> Column:
-        return F.transform(self.grams(text), self.gram_bucket)
+    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+        """(keys..., text) -> (keys..., bucket, val): counts of hashed n-grams."""
+        t = F.coalesce(F.col(text), F.lit(""))
+        return (sentences.filter(F.length(t) >= self.n)
+                .select(*keys, F.explode(self.grams(t)).alias("_g"))
+                .select(*keys, self.gram_bucket(F.col("_g")).alias("bucket"))
+                .groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("val")))
 
-    def zero(self) -> Column:
-        return F.array_repeat(F.lit(0).cast("bigint"), self.dims)
+    def head(self, text: Column) -> Column:
+        return F.substring(text, 1, self.n - 1)
 
-    def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text",
-                carry: list[str] | None = None) -> DataFrame:
-        """sentences(keys..., text) -> (keys..., carry..., vec array<bigint>)."""
-        carry = carry or []
-        t = F.coalesce(F.col(text), F.lit(""))
-        long_ = sentences.filter(F.length(t) >= self.n)
-        short = sentences.filter(F.length(t) < self.n)
-        counted = (
-            long_.select(*keys, *carry, F.explode(self.grams(t)).alias("_g"))
-            .select(*keys, *carry, self.gram_bucket(F.col("_g")).alias("_b"))
-            .groupBy(*keys, *carry, "_b").agg(F.count(F.lit(1)).alias("_n"))
-            .groupBy(*keys, *carry)
-            .agg(F.map_from_entries(F.collect_list(F.struct("_b", "_n"))).alias("_m"))
-        )
-        dense = counted.select(
-            *keys, *carry,
-            F.transform(F.sequence(F.lit(0), F.lit(self.dims - 1)),
-                        lambda b: F.coalesce(F.try_element_at(F.col("_m"), b.cast("bigint")),
-                                             F.lit(0).cast("bigint"))).alias("vec"),
-        )
-        return dense.unionByName(short.select(*keys, *carry, self.zero().alias("vec")))
-
-    def junction_vector(self, left_tail: Column, right_head: Column) -> Column:
-        """Vector of the n-grams that cross the ' ' joining two texts."""
-        joint = F.concat(left_tail, F.lit(" "), right_head)
-        buckets = self.bucket_array(joint)
-        return F.transform(F.sequence(F.lit(0), F.lit(self.dims - 1)),
-                           lambda b: F.size(F.filter(buckets, lambda x: x == b)).cast("bigint"))
-
-    def edge_columns(self, text: Column) -> dict[str, Column]:
+    def tail(self, text: Column) -> Column:
         k = self.n - 1
-        tail = F.when(F.length(text) >= k, F.substring(text, -k, k)).otherwise(text)
-        return {"_head": F.substring(text, 1, k), "_tail": tail}
-
-    def merged(self, base_vec: Column, add_vec: Column, base_tail: Column, add_head: Column) -> Column:
-        return add_vectors(add_vectors(base_vec, add_vec), self.junction_vector(base_tail, add_head))
+        return F.when(F.length(text) >= k, F.substring(text, -k, k)).otherwise(text)
 
-    def score(self, a: Column, b: Column) -> Column:
-        return cosine(a, b, F.lit(0).cast("bigint"))
+    def junction(self, pairs: DataFrame, keys: list[str], left_text: str, right_text: str) -> DataFrame | None:
+        """(keys..., bucket, val) of the n-grams crossing "left + ' ' + right"."""
+        joint = F.concat(self.tail(F.col(left_text)), F.lit(" "), self.head(F.col(right_text)))
+        grams = F.filter(F.array(*[F.when(F.length(joint) >= k + self.n - 1, F.substring(joint, k, self.n))
+                                   for k in range(1, self.n + 1)]), lambda g: g.isNotNull())
+        return (pairs.select(*keys, F.explode(grams).alias("_g"))
+                .select(*keys, self.gram_bucket(F.col("_g")).alias("bucket"))
+                .groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("val")))
 
 
 class GivenVectors:
-    """Vectors already in the data; merged sentence = sum of the vectors."""
+    """Dense vectors already in the data; merged sentence = sum of the vectors."""
 
     kind = "given"
+    has_junction = False
 
-    def __init__(self, column: str = "vec"):
+    def __init__(self, column: str = "vec", dims: int | None = None):
         self.column = column
+        self.dims = dims
 
-    def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text",
-                carry: list[str] | None = None) -> DataFrame:
-        carry = carry or []
-        return sentences.select(*keys, *carry, F.col(self.column).cast("array<double>").alias("vec"))
+    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+        v = F.col(self.column).cast("array<double>")
+        if self.dims is not None:
+            v = F.when(F.size(v) == self.dims, v).otherwise(
+                F.raise_error(F.lit(f"vector length differs from dims={self.dims}")))
+        return sentences.select(*keys, F.posexplode(v).alias("bucket", "val"))
 
-    def edge_columns(self, text: Column) -> dict[str, Column]:
-        return {"_head": F.lit(""), "_tail": F.lit("")}
+    def head(self, text: Column) -> Column:
+        return F.lit("")
 
-    def merged(self, base_vec: Column, add_vec: Column, base_tail: Column, add_head: Column) -> Column:
-        return add_vectors(base_vec, add_vec)
+    def tail(self, text: Column) -> Column:
+        return F.lit("")
 
-    def score(self, a: Column, b: Column) -> Column:
-        return cosine(a, b, F.lit(0.0))
+    def junction(self, pairs: DataFrame, keys: list[str], left_text: str, right_text: str) -> DataFrame | None:
+        return None
 
 
 class ModelEncoder(GivenVectors):
     """A user's sentence model behind an iterator pandas UDF.
 
     ``load`` returns a callable ``list[str] -> list[list[float]]``; it runs
-    once per Python worker, batches arrive as Arrow record batches.  Merged
-    texts are encoded as sums of parts (a model-true merge would re-encode
-    ``base + ' ' + candidate``; pass ``reencode_merges=True`` to the aligner
-    for that, at one model call per candidate batch).
+    once per Python worker; batches arrive as Arrow record batches.  Merged
+    texts are scored as sums of their parts' vectors.
     """
 
     kind = "model"
 
     def __init__(self, load: Callable[[], Callable[[list[str]], list[list[float]]]], dims: int):
-        super().__init__("vec")
+        super().__init__("_model_vec", dims)
         self.load = load
-        self.dims = dims
 
     def udf(self):
         import pandas as pd
@@ -167,7 +149,6 @@ class ModelEncoder(GivenVectors):
 
         return encode
 
-    def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text",
-                carry: list[str] | None = None) -> DataFrame:
-        carry = carry or []
-        return sentences.select(*keys, *carry, self.udf()(F.col(text)).alias("vec"))
+    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+        withvec = sentences.select(*keys, self.udf()(F.col(text)).alias(self.column))
+        return super().sparse(withvec, keys, text)

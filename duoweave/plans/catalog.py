@@ -337,20 +337,16 @@ def align_trigger(spark, sf):
 
 # ---------------------------------------------------------------- alignment on vectors (E-3..E-9)
 
-def _sides(spark, sf):
-    s = X.sides(spark, sf)
-    en = s.filter(F.col("side") == "en").select("page_id", F.col("idx").alias("i"), "vec",
-                                                 F.lit("").alias("_head"), F.lit("").alias("_tail"))
-    km = s.filter(F.col("side") == "km").select("page_id", F.col("idx").alias("j"), F.col("vec").alias("kvec"))
-    return en, km
+def _sides_steps(spark, sf):
+    s = X.sides(spark, sf).select("page_id", "side", "idx", "vec")
+    return A.align_steps(s, GivenVectors("vec"))
 
 
 @register("best_match", O.with_ctes(O.SIDES, O.SIDES_ALIGN) + """
 SELECT page_id, j::BIGINT AS j, b::BIGINT AS i, round(base_score, 6) AS score FROM sd_best""")
 def best_match(spark, sf):
     """E-3, E-4: per Khmer vector the English vector of its page with the highest cosine."""
-    en, km = _sides(spark, sf)
-    b = A.best_matches(km, en, GivenVectors())
+    b = _sides_steps(spark, sf)["best"]
     return b.select("page_id", "j", "i", _r(F.col("score")).alias("score"))
 
 
@@ -358,19 +354,14 @@ def best_match(spark, sf):
 SELECT page_id, u::BIGINT AS i FROM sd_unused""")
 def unused_english(spark, sf):
     """E-5: English entries no Khmer entry matched."""
-    en, km = _sides(spark, sf)
-    b = A.best_matches(km, en, GivenVectors())
-    return A.unused_english(en, b).select("page_id", "i")
+    return _sides_steps(spark, sf)["unused"].select("page_id", "i")
 
 
 @register("merge_candidates", O.with_ctes(O.SIDES, O.SIDES_ALIGN) + """
 SELECT page_id, j::BIGINT AS j, b::BIGINT AS b, u::BIGINT AS u, round(score, 6) AS score FROM sd_cands""")
 def merge_candidates(spark, sf):
     """E-6: score of every (pair, unused entry) with the summed vector."""
-    en, km = _sides(spark, sf)
-    enc = GivenVectors()
-    b = A.best_matches(km, en, enc)
-    c = A.merge_candidates(b, en, A.unused_english(en, b), enc)
+    c = _sides_steps(spark, sf)["candidates"]
     return c.select("page_id", "j", "b", "u", _r(F.col("score")).alias("score"))
 
 
@@ -379,11 +370,7 @@ SELECT page_id, j::BIGINT AS j, b::BIGINT AS b, u::BIGINT AS u, round(base_score
        round(score, 6) AS score FROM sd_picks""")
 def greedy_merge(spark, sf):
     """E-7, E-9: sequential greedy pick per page and the updated score."""
-    en, km = _sides(spark, sf)
-    enc = GivenVectors()
-    b = A.best_matches(km, en, enc)
-    c = A.merge_candidates(b, en, A.unused_english(en, b), enc)
-    g = A.greedy_merge(b, c)
+    g = _sides_steps(spark, sf)["picks"]
     return g.select("page_id", "j", "b", "u", _r(F.col("base_score")).alias("base_score"),
                     _r(F.col("score")).alias("score"))
 
