@@ -34,28 +34,44 @@ LINKS_SCHEMA = T.StructType([
 ])
 
 
-def _prior_max_id(spark: SparkSession, sink: str, batch_id: int) -> int:
+def _ledger(sink: str) -> str:
+    return sink.rstrip("/") + "_ledger"
+
+
+def _prior_last_id(spark: SparkSession, sink: str, batch_id: int) -> int:
+    """Highest id written by earlier batches, from the small per-batch ledger."""
     try:
-        done = spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 - empty sink
+        led = spark.read.parquet(_ledger(sink))
+    except Exception:  # noqa: BLE001 - first batch
         return 0
-    row = done.filter(F.col("batch_id") < batch_id).agg(F.max("id")).collect()[0][0]
+    row = led.filter(F.col("batch_id") < batch_id).agg(F.max("last_id")).collect()[0][0]
     return int(row or 0)
 
 
 def pairs_stream(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
                  layout: PageLayout = NEWS_LAYOUT, encoder=None, schema: T.StructType = PAGES_SCHEMA,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Page files -> numbered pairs, partitioned by batch_id, ids continuing across batches.
+
+    Next to the sink a ledger holds one row per batch (batch_id, last_id), so
+    finding where a batch starts never scans the pairs written so far.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.parquet(source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        start = _prior_max_id(batch.sparkSession, sink, batch_id) + 1
+        session = batch.sparkSession
+        start = _prior_last_id(session, sink, batch_id) + 1
         pairs = corpus_pairs(batch, layout, encoder, start=start).withColumn("batch_id", F.lit(batch_id))
         (pairs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
+        written = session.read.parquet(sink).filter(F.col("batch_id") == batch_id)
+        last = written.agg(F.coalesce(F.max("id"), F.lit(start - 1)).cast("bigint").alias("last_id"))
+        (last.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "last_id").write
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+         .parquet(_ledger(sink)))
 
     writer = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
