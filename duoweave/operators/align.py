@@ -29,7 +29,7 @@ reference; ``dropped`` returns them for audit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duoweave.operators.encode import NgramEncoder, ratio
@@ -38,11 +38,25 @@ from duoweave.session import materialize
 _INT_ARRAY = "array<int>"
 
 
+# English sentences per salt slice of a page in the Khmer x English dot join.
+SALT_SLICE = 256
+
+
 def sentences(content: DataFrame, key: str = "page_id") -> DataFrame:
-    """content(key, english, khmer) -> (key, side, idx, text), side 'en' / 'km'."""
-    en = content.select(key, F.lit("en").alias("side"), F.posexplode("english").alias("idx", "text"))
-    km = content.select(key, F.lit("km").alias("side"), F.posexplode("khmer").alias("idx", "text"))
-    return en.unionByName(km)
+    """content(key, english, khmer) -> (key, side, idx, text, n_en), side 'en' / 'km'."""
+    n_en = F.size("english").alias("n_en")
+    en = content.select(key, F.lit("en").alias("side"), n_en, F.posexplode("english").alias("idx", "text"))
+    km = content.select(key, F.lit("km").alias("side"), n_en, F.posexplode("khmer").alias("idx", "text"))
+    return en.unionByName(km).select(key, "side", "idx", "text", "n_en")
+
+
+def _salts(sent: DataFrame, key: str) -> DataFrame:
+    """(key, salts): number of salt slices of each page (1 unless it has many English sentences)."""
+    if "n_en" in sent.columns:
+        n = sent.groupBy(key).agg(F.max("n_en").alias("n_en"))
+    else:
+        n = sent.filter(F.col("side") == "en").groupBy(key).agg(F.count(F.lit(1)).alias("n_en"))
+    return n.select(key, F.greatest(F.ceil(F.col("n_en") / SALT_SLICE), F.lit(1)).cast("int").alias("salts"))
 
 
 class Vectors:
@@ -57,6 +71,7 @@ class Vectors:
         self.rows = materialize(rows) if checkpoint else rows
         norms = self.rows.groupBy(key, "side", "idx").agg(F.sum(F.col("val") * F.col("val")).alias("nn"))
         self.norms = materialize(norms) if checkpoint else norms
+        self.salts = _salts(sent, key)
 
     def side_rows(self, side: str, idx: str, val: str) -> DataFrame:
         return self.rows.filter(F.col("side") == side).select(
@@ -68,9 +83,19 @@ class Vectors:
 
 
 def km_en_dots(v: Vectors) -> DataFrame:
-    """(key, j, i, d): dot products of Khmer j and English i sharing a component."""
+    """(key, j, i, d): dot products of Khmer j and English i sharing a component.
+
+    The join key is (page, bucket, salt): English rows of a page with many
+    sentences are spread over ``salts`` slices (i mod salts) and its Khmer
+    rows are repeated once per slice, so one large page is split over many
+    tasks; ordinary pages have one slice and nothing is repeated.
+    """
     k = v.key
-    return (v.side_rows("km", "j", "kv").join(v.side_rows("en", "i", "ev"), [k, "bucket"])
+    km = v.side_rows("km", "j", "kv").join(v.salts, k) \
+        .select(k, "j", "bucket", "kv", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    en = v.side_rows("en", "i", "ev").join(v.salts, k) \
+        .select(k, "i", "bucket", "ev", F.pmod(F.col("i"), F.col("salts")).alias("salt"))
+    return (km.join(en, [k, "bucket", "salt"])
             .groupBy(k, "j", "i").agg(F.sum(F.col("kv") * F.col("ev")).alias("d")))
 
 
@@ -153,13 +178,16 @@ def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
     """
     if only_if_better:
         cands = cands.filter(F.col("score") > F.col("base_score"))
-    ranked = cands.groupBy(key, "j").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("neg"),
-                                                      F.col("u").cast("int").alias("u"), "score"))),
-                1, F.col("j") + 1).alias("ranked"))
+    # exact cut: pair j can lose at most j candidates to earlier pairs
+    w = Window.partitionBy(key, "j").orderBy(F.col("score").desc(), F.col("u").asc())
+    top = cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("j") + 1)
+    ranked = top.groupBy(key, "j").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_r").alias("r"),
+                                             F.col("u").cast("int").alias("u"), "score")))
+        .alias("ranked"))
     pairs = best.select(key, "j", F.col("i").alias("b"), F.col("score").alias("base_score")) \
         .join(ranked, [key, "j"], "left") \
-        .withColumn("ranked", F.coalesce("ranked", F.array().cast("array<struct<neg:double,u:int,score:double>>")))
+        .withColumn("ranked", F.coalesce("ranked", F.array().cast("array<struct<r:int,u:int,score:double>>")))
     per_page = pairs.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("j", "b", "base_score", "ranked"))).alias("pairs"))
     taken = F.aggregate(

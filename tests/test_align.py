@@ -97,3 +97,15 @@ def test_alignment_output_shape(spark):
     assert len(out["english"]) == len(out["khmer"]) == 2
     words = " ".join(out["english"]).split()
     assert sorted(set(words)) <= sorted({"aaa", "bbb", "ccc", "ddd", "eee", "fff"})
+
+
+def test_salted_dot_join_gives_same_alignment(spark, monkeypatch):
+    s = sides(spark, SF_SMALL).select("page_id", "side", "idx", "vec")
+    plain = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"), checkpoint=False)["picks"]
+                   .select("page_id", "j", "b", "u").collect())
+    monkeypatch.setattr(A, "SALT_SLICE", 2)
+    v = A.Vectors(s, GivenVectors("vec"), checkpoint=False)
+    assert v.salts.agg(F.max("salts")).collect()[0][0] > 1
+    salted = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"), checkpoint=False)["picks"]
+                    .select("page_id", "j", "b", "u").collect())
+    assert salted == plain
