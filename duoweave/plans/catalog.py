@@ -164,7 +164,7 @@ def domain_flag(spark, sf):
 # ---------------------------------------------------------------- fetch
 
 @register("usable_pages", O.with_ctes(O.FETCH_LOG) + """
-SELECT pos, url, status, (status = 200 AND contains(lower(coalesce(content_type, '')), 'html')) AS usable
+SELECT pos, url, status::BIGINT AS status, (status = 200 AND contains(lower(coalesce(content_type, '')), 'html')) AS usable
 FROM fetch_log""")
 def usable_pages(spark, sf):
     """Status 200 and an HTML content type."""

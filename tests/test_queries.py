@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = "orders documents embeddings pages".split()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -39,6 +40,9 @@ def test_query_matches_oracle(spark, duck, name):
     srows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     assert sql is not None, "every registered query has an oracle"
+    types = dict(zip(duck.sql(sql).columns, [str(t) for t in duck.sql(sql).types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK[f.dataType.simpleString()] == types[f.name], f.name
     res = duck.execute(sql)
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
