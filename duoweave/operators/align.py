@@ -250,14 +250,27 @@ def align_pages(content: DataFrame, encoder=None, key: str = "page_id",
     ``content`` holds only pages that need alignment (see ``route``).
     Returns the same columns with ``english`` replaced.
     """
+    require_columns(content, (key, "english", "khmer"))
     encoder = encoder or NgramEncoder()
     steps = align_steps(sentences(content, key), encoder, key, only_if_better)
     return assemble(content, steps["picks"], key)
 
 
+def require_columns(df: DataFrame, cols) -> None:
+    """Plan-time input check: the alignment needs both lists and the page key."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise KeyError(f"content must contain columns {list(cols)}; missing {missing}")
+
+
 def align(content: DataFrame, encoder=None, key: str = "page_id",
           only_if_better: bool = False) -> DataFrame:
-    """Route pages by ``needs_align``: align those, pass the rest unchanged."""
+    """Route pages by ``needs_align``: align those, pass the rest unchanged.
+
+    ``needs_align`` is only true when both lists are non-empty (``route``),
+    so the aligner never sees an empty side.
+    """
+    require_columns(content, (key, "english", "khmer", "needs_align"))
     todo = content.filter(F.col("needs_align"))
     rest = content.filter(~F.col("needs_align"))
     done = align_pages(todo, encoder, key, only_if_better).select(*content.columns)

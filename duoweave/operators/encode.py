@@ -40,15 +40,6 @@ def ratio(d: Column, na: Column, nb: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(d.cast("double") / den)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two equal-length arrays (sequential sums, for small inputs and tests)."""
-    zero = F.lit(0.0)
-    d = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), zero, lambda s, v: s + v)
-    na = F.aggregate(F.transform(a, lambda x: x * x), zero, lambda s, v: s + v)
-    nb = F.aggregate(F.transform(b, lambda x: x * x), zero, lambda s, v: s + v)
-    return ratio(d, na, nb)
-
-
 class NgramEncoder:
     """Hashed character n-gram counts."""
 

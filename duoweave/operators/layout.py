@@ -160,10 +160,3 @@ def extract(pages: DataFrame, layout: PageLayout = NEWS_LAYOUT, html_col: str =
     s4 = s3.select("*", F.filter("_texts", lambda t: F.length(t) >= layout.min_length).alias("blocks"))
     s5 = _fallback_stage(s4, layout, "_html", "has_blocks")
     return s5.select(*[F.col(k) for k in keep], "title", "blocks", "has_blocks", "fallback")
-
-
-def block_texts_df(pages: DataFrame, layout: PageLayout, html_col: str = "html",
-                   keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """(keep..., has_blocks, blocks) without title or fallback."""
-    e = extract(pages, layout, html_col, keep)
-    return e.select(*keep, "has_blocks", "blocks")

@@ -19,7 +19,7 @@ from duoweave.operators import links as L
 from duoweave.operators import listing as LS
 from duoweave.operators.encode import GivenVectors, NgramEncoder
 from duoweave.operators.fetch import fetched_content, usable_response
-from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, Sel, extract, title_column
+from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, Sel, extract
 from duoweave.operators.pairs import numbered_pairs, run_summary, to_pairs
 from duoweave.operators.route import dedup_blocks, route
 from duoweave.plans import fixtures as X

@@ -16,9 +16,7 @@ from duoweave.functions.text import (
     SEPARATOR_TOKENS, WHITESPACE_CLASS,
 )
 from duoweave.operators.encode import DIMS, HASH_MODULUS, HASH_MULTIPLIER, NGRAM
-from duoweave.plans.fixtures import (
-    API_ERROR_EVERY, API_PAGE_SIZE, KHMER_26, LATIN_LOWER, NEWS_BASE, SIDES_PAGE, SNAPSHOT_PAGES,
-)
+from duoweave.plans.fixtures import KHMER_26, LATIN_LOWER, SIDES_PAGE
 
 WS = WHITESPACE_CLASS
 

@@ -109,3 +109,11 @@ def test_salted_dot_join_gives_same_alignment(spark, monkeypatch):
     salted = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"), checkpoint=False)["picks"]
                     .select("page_id", "j", "b", "u").collect())
     assert salted == plain
+
+
+def test_input_check(spark):
+    import pytest
+
+    bad = spark.createDataFrame([(1, ["a"])], "page_id long, english array<string>")
+    with pytest.raises(KeyError):
+        A.align_pages(bad)
