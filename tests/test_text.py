@@ -75,3 +75,16 @@ def test_text_of_glue_and_entities(spark):
     spaced = [r[0] for r in df.select(text_of("h", " ")).collect()]
     assert glued == ["onetwo", "a & b<c>", ""]
     assert spaced == ["one two", "a & b<c>", ""]
+
+
+def test_character_sets_equal_python_definitions():
+    import re
+
+    from duoweave.functions import text as T
+
+    ws = {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    assert set(T.WHITESPACE_CHARS) == ws
+    khmer = {chr(i) for i in range(0x1780, 0x1800) if re.sub(r"[^\w\s]", "", chr(i)) and not chr(i).isspace()}
+    assert set(T._chars(T.KHMER_LETTERS)) == khmer
+    latin = {chr(i) for i in range(256) if chr(i).isalpha()}
+    assert set(T._chars(T.LATIN_LETTERS)) == latin
