@@ -100,7 +100,11 @@ def km_en_dots(v: Vectors) -> DataFrame:
 
 
 def best_matches(v: Vectors, dots: DataFrame | None = None) -> DataFrame:
-    """Per Khmer sentence the best English one: (key, j, i, score, d)."""
+    """Per Khmer sentence the best English one: (key, j, i, score, d, nk, nb).
+
+    ``d`` is the dot product of the pair, ``nk`` / ``nb`` the squared norms of
+    the Khmer sentence and of its base (carried for the merge step).
+    """
     k = v.key
     dots = dots if dots is not None else km_en_dots(v)
     scored = (dots.join(v.side_norms("km", "j", "nk"), [k, "j"])
@@ -109,18 +113,24 @@ def best_matches(v: Vectors, dots: DataFrame | None = None) -> DataFrame:
     best = scored.groupBy(k, "j").agg(F.max(F.struct(
         F.col("score"), (-F.col("i")).alias("neg_i"), F.col("d"))).alias("m"))
     kms = v.sent.filter(F.col("side") == "km").select(k, F.col("idx").alias("j"))
-    return kms.join(best, [k, "j"], "left").select(
+    picked = kms.join(best, [k, "j"], "left").select(
         k, "j",
         F.coalesce(-F.col("m.neg_i"), F.lit(0)).alias("i"),
         F.coalesce(F.col("m.score"), F.lit(0.0)).alias("score"),
         F.coalesce(F.col("m.d"), F.lit(0)).alias("d"))
+    return (picked.join(v.side_norms("km", "j", "nk"), [k, "j"], "left")
+            .join(v.side_norms("en", "i", "nb"), [k, "i"], "left")
+            .select(k, "j", "i", "score", "d",
+                    F.coalesce("nk", F.lit(0)).alias("nk"), F.coalesce("nb", F.lit(0)).alias("nb")))
 
 
 def unused_english(v: Vectors, best: DataFrame) -> DataFrame:
-    """English sentences no Khmer sentence matched: (key, i)."""
+    """English sentences no Khmer sentence matched: (key, i, nu) with nu the squared norm."""
     k = v.key
     en = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"))
-    return en.join(best.select(k, "i").distinct(), [k, "i"], "left_anti")
+    pool = en.join(best.select(k, "i").distinct(), [k, "i"], "left_anti")
+    return pool.join(v.side_norms("en", "i", "nu"), [k, "i"], "left").select(
+        k, "i", F.coalesce("nu", F.lit(0)).alias("nu"))
 
 
 def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
@@ -129,17 +139,14 @@ def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
     k = v.key
     dots = dots if dots is not None else km_en_dots(v)
     cands = best.select(k, "j", F.col("i").alias("b"), F.col("score").alias("base_score"),
-                        F.col("d").alias("bk")).join(unused.select(k, F.col("i").alias("u")), k)
+                        F.col("d").alias("bk"), "nk", "nb") \
+        .join(unused.select(k, F.col("i").alias("u"), "nu"), k)
     uk = dots.select(k, "j", F.col("i").alias("u"), F.col("d").alias("uk"))
     keys = cands.select(k, "b", "u").distinct()
     bu = (v.side_rows("en", "b", "bv").join(keys, [k, "b"])
           .join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
           .groupBy(k, "b", "u").agg(F.sum(F.col("bv") * F.col("uv")).alias("bu")))
-    out = (cands.join(uk, [k, "j", "u"], "left")
-           .join(bu, [k, "b", "u"], "left")
-           .join(v.side_norms("en", "b", "nb"), [k, "b"], "left")
-           .join(v.side_norms("en", "u", "nu"), [k, "u"], "left")
-           .join(v.side_norms("km", "j", "nk"), [k, "j"], "left"))
+    out = cands.join(uk, [k, "j", "u"], "left").join(bu, [k, "b", "u"], "left")
     zero = F.lit(0)
     jk = jj = bj = uj = zero
     junction = None
@@ -150,22 +157,24 @@ def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
             .join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"]),
             [k, "b", "u"], "bt", "ut")
     if junction is not None:
-        jrows = junction.select(k, "b", "u", "bucket", F.col("val").alias("jv"))
-        jself = jrows.groupBy(k, "b", "u").agg(F.sum(F.col("jv") * F.col("jv")).alias("jj"))
-        jb = (jrows.join(v.side_rows("en", "b", "bv"), [k, "b", "bucket"])
-              .groupBy(k, "b", "u").agg(F.sum(F.col("jv") * F.col("bv")).alias("bj")))
-        ju = (jrows.join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
-              .groupBy(k, "b", "u").agg(F.sum(F.col("jv") * F.col("uv")).alias("uj")))
-        jkr = (cands.select(k, "j", "b", "u").join(jrows, [k, "b", "u"])
-               .join(v.side_rows("km", "j", "kv"), [k, "j", "bucket"])
-               .groupBy(k, "j", "u").agg(F.sum(F.col("jv") * F.col("kv")).alias("jk")))
-        out = (out.join(jself, [k, "b", "u"], "left").join(jb, [k, "b", "u"], "left")
-               .join(ju, [k, "b", "u"], "left").join(jkr, [k, "j", "u"], "left"))
+        # one lookup join for J.B, J.U and J.K_j: each junction n-gram asks
+        # three (side, idx, bucket) keys of the sparse vector rows
+        cj = cands.select(k, "j", "b", "u").join(
+            junction.select(k, "b", "u", "bucket", F.col("val").alias("jv")), [k, "b", "u"])
+        asks = cj.select(k, "j", "u", "bucket", "jv", F.inline(F.array(
+            F.struct(F.lit("b").alias("role"), F.lit("en").alias("side"), F.col("b").alias("idx")),
+            F.struct(F.lit("u").alias("role"), F.lit("en").alias("side"), F.col("u").alias("idx")),
+            F.struct(F.lit("k").alias("role"), F.lit("km").alias("side"), F.col("j").alias("idx")))))
+        hits = asks.join(v.rows, [k, "side", "idx", "bucket"]).groupBy(k, "j", "u").agg(
+            *[F.sum(F.when(F.col("role") == r, F.col("jv") * F.col("val")).otherwise(zero)).alias(n)
+              for r, n in (("b", "bj"), ("u", "uj"), ("k", "jk"))])
+        selfdot = cj.groupBy(k, "j", "u").agg(F.sum(F.col("jv") * F.col("jv")).alias("jj"))
+        out = out.join(selfdot, [k, "j", "u"], "left").join(hits, [k, "j", "u"], "left")
         jk, jj, bj, uj = (F.coalesce(F.col(c), zero) for c in ("jk", "jj", "bj", "uj"))
-    c0 = {c: F.coalesce(F.col(c), zero) for c in ("uk", "bu", "nb", "nu", "nk")}
+    c0 = {c: F.coalesce(F.col(c), zero) for c in ("uk", "bu")}
     mk = F.col("bk") + c0["uk"] + jk
-    mm = c0["nb"] + c0["nu"] + jj + 2 * (c0["bu"] + bj + uj)
-    return out.select(k, "j", "b", "base_score", "u", ratio(mk, mm, c0["nk"]).alias("score"))
+    mm = F.col("nb") + F.col("nu") + jj + 2 * (c0["bu"] + bj + uj)
+    return out.select(k, "j", "b", "base_score", "u", ratio(mk, mm, F.col("nk")).alias("score"))
 
 
 def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
