@@ -26,6 +26,11 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+try:  # only the model plug-in needs pandas (Arrow batches in Python workers)
+    import pandas as pd
+except ImportError:  # pragma: no cover
+    pd = None
+
 # Fixed values of the built-in encoder: n-gram length, number of buckets,
 # multiplier and modulus of the polynomial hash over code points.
 NGRAM = 3
@@ -128,8 +133,6 @@ class ModelEncoder(GivenVectors):
         self.load = load
 
     def udf(self):
-        import pandas as pd
-
         load = self.load
 
         @F.pandas_udf("array<double>")
