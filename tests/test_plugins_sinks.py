@@ -56,3 +56,18 @@ def test_corpus_plan_shape(spark):
     numbered.count()
     final = numbered._jdf.queryExecution().executedPlan().toString()
     assert final.count("SinglePartition") <= 1
+
+
+def test_result_does_not_depend_on_partition_count(spark):
+    from duoweave.plans.corpus import corpus_pairs
+
+    cols = ["id", "page_id", "i", "english_text", "khmer_text"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = sorted(map(tuple, corpus_pairs(X.main_pages(spark, SF_SMALL).repartition(1)).select(cols).collect()))
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        many = sorted(map(tuple, corpus_pairs(X.main_pages(spark, SF_SMALL).repartition(7)).select(cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert one == many
