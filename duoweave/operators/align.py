@@ -67,6 +67,10 @@ class Vectors:
         self.key = key
         self.sent = sent
         rows = encoder.sparse(sent, [key, "side", "idx"], text)
+        failed = encoder.failed_pages() if hasattr(encoder, "failed_pages") else None
+        if failed is not None:
+            # pages whose encoding failed are not aligned (they keep their lists)
+            self.sent = sent.join(failed, key, "left_anti")
         # vector rows and norms are read by every later join: encode once
         self.rows = materialize(rows) if checkpoint else rows
         norms = self.rows.groupBy(key, "side", "idx").agg(F.sum(F.col("val") * F.col("val")).alias("nn"))

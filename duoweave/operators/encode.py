@@ -124,6 +124,11 @@ class ModelEncoder(GivenVectors):
     ``load`` returns a callable ``list[str] -> list[list[float]]``; it runs
     once per Python worker; batches arrive as Arrow record batches.  Merged
     texts are scored as sums of their parts' vectors.
+
+    Error tolerance: when a batch call raises, its texts are retried one by
+    one; a text whose call raises (or gives a vector of the wrong length)
+    gets a null vector; pages with any null vector are left out of the
+    alignment and keep their unaligned lists.
     """
 
     kind = "model"
@@ -131,18 +136,47 @@ class ModelEncoder(GivenVectors):
     def __init__(self, load: Callable[[], Callable[[list[str]], list[list[float]]]], dims: int):
         super().__init__("_model_vec", dims)
         self.load = load
+        self._failed = None
 
     def udf(self):
         load = self.load
+        dims = self.dims
 
         @F.pandas_udf("array<double>")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = load()
+            try:
+                model = load()
+            except Exception:  # noqa: BLE001 - no model: every vector is null
+                model = None
+            def checked(v):
+                return list(map(float, v)) if v is not None and len(v) == dims else None
+
+            def one(t):
+                try:
+                    return checked(model([t])[0])
+                except Exception:  # noqa: BLE001 - this sentence failed
+                    return None
+
             for s in batches:
-                yield pd.Series(list(model(s.fillna("").tolist())))
+                texts = s.fillna("").tolist()
+                out = [None] * len(texts)
+                if model is not None:
+                    try:
+                        out = [checked(v) for v in model(texts)]
+                    except Exception:  # noqa: BLE001 - retry the batch text by text
+                        out = [one(t) for t in texts]
+                yield pd.Series(out)
 
         return encode
 
     def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-        withvec = sentences.select(*keys, self.udf()(F.col(text)).alias(self.column))
-        return super().sparse(withvec, keys, text)
+        from duoweave.session import materialize
+
+        # the model runs once per sentence; its output is read twice below
+        withvec = materialize(sentences.select(*keys, self.udf()(F.col(text)).alias(self.column)))
+        self._failed = withvec.filter(F.col(self.column).isNull()).select(keys[0]).distinct()
+        ok = withvec.join(self._failed, keys[0], "left_anti")
+        return ok.select(*keys, F.posexplode(F.col(self.column)).alias("bucket", "val"))
+
+    def failed_pages(self) -> DataFrame | None:
+        return self._failed

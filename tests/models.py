@@ -72,3 +72,14 @@ def letters_model():
     def encode(texts):
         return [[float(t.lower().count(c)) for c in "abcde"] for t in texts]
     return encode
+
+
+def flaky_model():
+    """Stub model that fails on any batch holding the word 'boom'."""
+    base = letters_model()
+
+    def encode(texts):
+        if any("boom" in t for t in texts):
+            raise RuntimeError("model failure")
+        return base(texts)
+    return encode

@@ -71,3 +71,15 @@ def test_result_does_not_depend_on_partition_count(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert one == many
+
+
+def test_encoder_failure_leaves_page_unaligned(spark):
+    from tests.models import flaky_model
+
+    content = spark.createDataFrame(
+        [(1, ["abc", "bad", "cab"], ["ace", "bead"], True),
+         (2, ["boom one", "boom two", "boom three"], ["aaa", "bbb"], True)],
+        "page_id long, english array<string>, khmer array<string>, needs_align boolean")
+    out = {r["page_id"]: r for r in A.align(content.coalesce(1), ModelEncoder(flaky_model, dims=5)).collect()}
+    assert len(out[1]["english"]) == 2
+    assert out[2]["english"] == ["boom one", "boom two", "boom three"]
