@@ -7,8 +7,8 @@ and codegen'd; only sentence pairs that share a component meet in a join.
 
 ``NgramEncoder`` (default, no model): character n-grams hashed into
 ``dims`` buckets and counted (explode + groupBy, combined map-side).  The
-vector of "a + ' ' + b" is vec(a) + vec(b) + vec(J) with J the at most
-n-1+1 n-grams across the joining space, so merge candidates never have to
+vector of "a + ' ' + b" is vec(a) + vec(b) + vec(J), J being the (at most
+n) n-grams that cross the joining space, so merge candidates never have to
 be re-encoded.
 
 ``GivenVectors``: dense vectors already in the data (e.g. a user's model
