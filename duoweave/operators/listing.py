@@ -35,7 +35,8 @@ def filter_items(items: DataFrame, status: str | None = None, category_id: int |
     if status is not None:
         out = out.filter(F.col("status") == status)
     if category_id:
-        out = out.filter(F.col("category.id") == category_id)
+        cat = F.col("category_id") if "category_id" in items.columns else F.col("category.id")
+        out = out.filter(cat == category_id)
     return out
 
 

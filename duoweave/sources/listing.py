@@ -55,3 +55,13 @@ def parse_listing(raw: DataFrame, body: str = "body") -> DataFrame:
 
 def write_listing(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
     parsed.select("page", "body").write.mode(mode).json(path)
+
+
+def write_items(items: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store parsed listing items as Parquet (flat columns), so later row
+    filters (status, category) are pushed into the scan."""
+    items.select("*", F.col("category.id").alias("category_id")).write.mode(mode).parquet(path)
+
+
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

@@ -81,3 +81,14 @@ def test_listing_page_one_failed(spark, tmp_dir):
     r = read_listing(spark, _listing(tmp_dir, 250, 100, {1}))
     assert LS.listing_items(r).count() == 0
     assert LS.expected_pages(r).count() == 0
+
+
+def test_listing_filter_pushed_to_parquet_scan(spark, tmp_dir):
+    from duoweave.sources.listing import read_items, write_items
+
+    r = read_listing(spark, _listing(tmp_dir, 250, 100, {2}))
+    write_items(LS.listing_items(r), tmp_dir + "/items")
+    filtered = LS.filter_items(read_items(spark, tmp_dir + "/items"), "PUBLISHED", 2)
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "EqualTo(status,PUBLISHED)" in plan and "EqualTo(category_id,2)" in plan
+    assert filtered.count() == 150
