@@ -88,3 +88,16 @@ def test_character_sets_equal_python_definitions():
     assert set(T._chars(T.KHMER_LETTERS)) == khmer
     latin = {chr(i) for i in range(256) if chr(i).isalpha()}
     assert set(T._chars(T.LATIN_LETTERS)) == latin
+
+
+def test_numeric_references_match_html_unescape(spark):
+    import html
+
+    from duoweave.functions.text import decode_entities
+
+    cases = ["&#65;&#x42;c", "it&#8217;s", "&#128512; smile", "&amp;#65;", "no refs", "&#0;x", "a&#xD800;b",
+             "&#x1F600;&#X41;", "&lt;p&gt; &#60;", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    got = {r["i"]: r["d"] for r in df.select("i", decode_entities("t").alias("d")).collect()}
+    for i, t in enumerate(cases):
+        assert got[i] == html.unescape(t), t
