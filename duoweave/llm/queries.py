@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoweave.llm import mixing, sharding
+from duoweave.llm import chat, mixing, packing, rules, sharding, simhash, substrings
 from duoweave.llm.work import table
 
 SHARDS = 40
@@ -53,5 +53,47 @@ SELECT doc_id, size, source_size, target,
        (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) * size AS taken FROM m
 """
 
-QUERIES = {"op3_jump_shards": op3_jump_shards, "op4_source_mix": op4_source_mix}
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's 64-bit SimHash of 3-word shingles and its class at 3 differing bits or fewer."""
+    return simhash.classes(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 1024 ids, filled with lexical neighbours."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts, base rule and the verdict of the list learned from labels.quality."""
+    found, _ = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *[F.col("stats")[c].alias(c) for c in counts], "base_failed", "kept", "rule")
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back, and one whose texts are control strings."""
+    hard = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    record = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"})
+    turns = chat.canonical_turns(rows.select("conv_id", record.alias("record")), "conv_id", "record")
+    return chat.read_back(chat.format_turns(turns)).withColumnRenamed("id", "conv_id")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that start earlier somewhere."""
+    return substrings.removed(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "n_words", "n_removed", F.col("sha").alias("kept_sha256"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op3_jump_shards": op3_jump_shards,
+    "op4_source_mix": op4_source_mix,
+    "op5_bm25_packing": op5_bm25_packing,
+    "op8_decision_list": op8_decision_list,
+    "op9_chat_format": op9_chat_format,
+    "op10_substring_dedup": op10_substring_dedup,
+}
 ORACLE = {"op4_source_mix": OP4_SQL}
