@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoweave.llm import chat, mixing, packing, rules, sharding, simhash, substrings
+from duoweave.llm import chat, mixing, packing, rules, sharding, simhash, sketches, substrings, toxicity
 from duoweave.llm.work import table
 
 SHARDS = 40
@@ -63,6 +63,27 @@ def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's paragraph sketch, its edited version's, and their likeness and the next document's."""
+    pairs = sketches.likenesses(sketches.versions(table(spark, sf_dir, "documents")), {
+        "near_edited": ("digests", "edited"), "near_next": ("digests", "next_digests")})
+    text = lambda c: sketches.as_text(sketches.sketch(F.col(c)))
+    return pairs.select(F.col("key").alias("doc_id"), "n_chars", "edited_sha256", text("digests").alias("fingerprint"),
+                        text("edited").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score; labels are learned from four fifths of the rows by crc32 of the id."""
+    def held_out(key):
+        return F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return toxicity.score(docs, model).select(
+        F.col("key").alias("doc_id"), F.coalesce(held_out(F.col("key")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts, base rule and the verdict of the list learned from labels.quality."""
     found, _ = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -92,6 +113,8 @@ QUERIES = {
     "op3_jump_shards": op3_jump_shards,
     "op4_source_mix": op4_source_mix,
     "op5_bm25_packing": op5_bm25_packing,
+    "op6_iblt_fingerprint": op6_iblt_fingerprint,
+    "op7_compression_toxicity": op7_compression_toxicity,
     "op8_decision_list": op8_decision_list,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
