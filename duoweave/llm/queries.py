@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoweave.llm import chat, mixing, packing, rules, sharding, simhash, sketches, substrings, toxicity
+from duoweave.llm import chat, linealign, mixing, packing, rules, sharding, simhash, sketches, substrings, toxicity
 from duoweave.llm.work import table
 
 SHARDS = 40
@@ -58,6 +58,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op2_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line blocks that it shares, aligned, with an earlier one."""
+    return linealign.kept(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "n_lines", "n_deleted", F.col("sha").alias("kept_sha256"))
+
+
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 1024 ids, filled with lexical neighbours."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -110,6 +116,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_line_align": op2_line_align,
     "op3_jump_shards": op3_jump_shards,
     "op4_source_mix": op4_source_mix,
     "op5_bm25_packing": op5_bm25_packing,

@@ -220,6 +220,13 @@ def _best_condition(names, tried, counts) -> tuple[Condition, int] | None:
     return best[:2] if best else None
 
 
+def labelled(stats: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, label, stats) of the labelled rows; ``stats`` has columns key and stats."""
+    marks = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")) \
+        .filter("key IS NOT NULL AND label IS NOT NULL").groupBy("key").agg(F.min("label").alias("label"))
+    return stats.join(marks, "key")
+
+
 def judged(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
            **options) -> tuple[DataFrame, list[Rule]]:
     """(key, stats, base_failed, rule, kept) for every row of ``df``, and the learned list.
@@ -228,10 +235,15 @@ def judged(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     """
     stats, _ = work.save(statistics(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("__text")),
                                     "__text"), "rule-stats")
-    lab = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")) \
-        .filter("key IS NOT NULL AND label IS NOT NULL").groupBy("key").agg(F.min("label").alias("label"))
-    rules = learn(stats.join(lab, "key"), key="key", label="label", **options)
+    rules = learn(labelled(stats, labels, key, label), key="key", label="label", **options)
     s = F.col("stats")
     out = stats.select(F.col("key").alias(key), "stats", base_failed(s).alias("base_failed"),
                        verdict(rules, s).alias("rule"))
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules
+
+
+def keep(df: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """The rows of ``df`` that neither the base rule nor the list rejects.  Narrow; nothing is shuffled."""
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(f"`{text}`").alias("__text"))
+    s = F.col("stats")
+    return statistics(row, "__text").filter(~base_failed(s) & verdict(rules, s).isNull()).select("__row.*")

@@ -102,3 +102,70 @@ def quality_counts(text):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def line_dedup(docs, rare=8, min_words=5):
+    """doc_id -> (n_lines, n_deleted, sha256 of the kept text); docs are (doc_id, text) with distinct ids."""
+    split = {d: [x.strip(SPACE) for x in t.split("\n")] if t else [] for d, t in docs}
+    first = {}
+    for d in sorted(split):
+        first.setdefault(tuple(split[d]), d)
+    holders = defaultdict(list)
+    for d in sorted(first.values()):
+        for x in set(split[d]) - {""}:
+            holders[x].append(d)
+    pairs = {(h[0], d) for h in holders.values() for d in h[1:]}
+    pairs |= {(a, b) for h in holders.values() if len(h) <= rare for a, b in itertools.combinations(h, 2)}
+    gone = defaultdict(set)
+    for d, lines in split.items():
+        if first[tuple(lines)] != d and sum(len(words(x)) for x in lines) >= min_words:
+            gone[d] = set(range(len(lines)))
+    for a, b in pairs:
+        match = patience(split[a], split[b], 0, 0)
+        while match:
+            n = 1
+            while n < len(match) and match[n] == (match[n - 1][0] + 1, match[n - 1][1] + 1):
+                n += 1
+            if sum(len(words(split[b][j])) for _, j in match[:n]) >= min_words:
+                gone[b].update(j for _, j in match[:n])
+            match = match[n:]
+    out = {}
+    for d, t in docs:
+        raw = t.split("\n") if t else []
+        out[d] = (len(raw), len(gone[d]), sha("\n".join(x for i, x in enumerate(raw) if i not in gone[d])))
+    return out
+
+
+def patience(a, b, at, bt):
+    """Aligned places, recursively."""
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    out = [(at + i, bt + i) for i in range(head)]
+    end = [(at + len(a) - i, bt + len(b) - i) for i in range(tail, 0, -1)]
+    a, b, at, bt = a[head:len(a) - tail], b[head:len(b) - tail], at + head, bt + head
+    both = [(a.index(x), b.index(x)) for x in a if x and a.count(x) == 1 and b.count(x) == 1]
+    if both:
+        best = [1] * len(both)
+        back = [-1] * len(both)
+        # The longest increasing run; among equals the one whose places in b come earliest, from the end.
+        from bisect import bisect_left
+        tops, who = [], []
+        for n, (_, j) in enumerate(both):
+            k = bisect_left(tops, j)
+            tops[k:k + 1], who[k:k + 1] = [j], [n]
+            best[n], back[n] = k + 1, who[k - 1] if k else -1
+        n, run = who[-1], []
+        while n >= 0:
+            run.append(both[n])
+            n = back[n]
+        i = j = 0
+        for p, q in [*run[::-1], (len(a), len(b))]:
+            out += patience(a[i:p], b[j:q], at + i, bt + j)
+            if p < len(a):
+                out.append((at + p, bt + q))
+            i, j = p + 1, q + 1
+    return out + end
