@@ -243,7 +243,12 @@ def judged(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def keep(df: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
-    """The rows of ``df`` that neither the base rule nor the list rejects.  Narrow; nothing is shuffled."""
+    """The rows of ``df`` that neither the base rule nor the list rejects.  Narrow; nothing is shuffled.
+
+    Rows leave through a generator: a filter would be pushed below the
+    statistics, with all of their expressions copied into its condition.
+    """
     row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(f"`{text}`").alias("__text"))
     s = F.col("stats")
-    return statistics(row, "__text").filter(~base_failed(s) & verdict(rules, s).isNull()).select("__row.*")
+    judged = statistics(row, "__text").select("__row", (~base_failed(s) & verdict(rules, s).isNull()).alias("__ok"))
+    return judged.select(F.explode(F.when(F.col("__ok"), F.array("__row"))).alias("__row")).select("__row.*")
