@@ -37,6 +37,10 @@ TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES, TEXT_BYTES = 2000, 4000, 48 << 20, 200_
 #: Bytes of the background and of the trained part of each dictionary.
 BACKGROUND, TRAINED = 8192, 1024
 LEVEL = 9
+#: Parts of the sample, each calibrated by dictionaries of the others.
+FOLDS = 3
+#: A word recurs if it is in at least so many toxic texts of the sample, and in this share of them.
+SPREAD, SPREAD_SHARE = 3, 0.01
 #: Gains are clipped to this range.
 LEAST, MOST = -3, 9
 
@@ -98,26 +102,37 @@ def dictionary(samples: list[bytes], size: int, k: int, d: int) -> bytes:
         return b" ".join(samples)[:size]
 
 
+def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
+    """Model with the two dictionaries only."""
+    plain = [w for t in ordinary for w in windows(t)]
+    half = len(plain) // 2
+    background = dictionary(plain[:half], BACKGROUND, 64, 8)
+    common = {bare(w) for t in ordinary for w in words(t)}
+    spread = Counter(w for t in toxic for w in {bare(w) for w in words(t)} - common)
+    recurring = {w for w, c in spread.items() if c >= max(SPREAD, SPREAD_SHARE * len(toxic)) and w}
+    marked = [b" " + b" ".join(x) + b" " for t in toxic if (x := [bare(w) for w in words(t) if bare(w) in recurring])]
+    return Model(dictionary(plain[half:], TRAINED, 32, 6) + background, dictionary(marked, TRAINED, 24, 6) + background)
+
+
 def train(toxic: list[str], ordinary: list[str]) -> Model:
-    """Model from labelled texts: every third is kept from the dictionaries and calibrates."""
+    """Model from labelled texts.
+
+    Thresholds are calibrated on gains of texts that the dictionaries have not
+    seen: each third by dictionaries of the other two.  The model's own
+    dictionaries are trained on all of the texts.
+    """
     n = len(toxic) + len(ordinary)
-    if len(toxic) < 3 or len(ordinary) < 3:
+    if len(toxic) < FOLDS or len(ordinary) < FOLDS:
         return Model(prior=len(toxic) / n if n else 0.0)
-    fit = lambda xs: [x for i, x in enumerate(xs) if i % 3]
-    rest = lambda xs: xs[::3]
-    plain = [w for t in fit(ordinary) for w in windows(t)]
-    half = len(plain) // 2
-    background = dictionary(plain[:half], BACKGROUND, 64, 8)
-    common = {bare(w) for t in fit(ordinary) for w in words(t)}
-    spread = Counter(w for t in fit(toxic) for w in {bare(w) for w in words(t)} - common)
-    recurring = {w for w, c in spread.items() if c >= 3 and w}
-    marked = [b" " + b" ".join(x) + b" " for t in fit(toxic)
-              if (x := [bare(w) for w in words(t) if bare(w) in recurring])]
-    model = Model(dictionary(plain[half:], TRAINED, 32, 6) + background,
-                  dictionary(marked, TRAINED, 24, 6) + background, prior=len(toxic) / n)
-    both = model.compressors()
-    gains = [[model.gains(t, both) for t in rest(xs)] for xs in (toxic, ordinary)]
-    count = [np.bincount(np.concatenate([*g, np.zeros(0, np.int64)]), minlength=MOST - LEAST + 1) + 1.0 for g in gains]
+    gains: list[list[np.ndarray]] = [[], []]
+    for fold in range(FOLDS):
+        seen = [[t for i, t in enumerate(xs) if i % FOLDS != fold] for xs in (toxic, ordinary)]
+        partial = dictionaries(*seen)
+        both = partial.compressors()
+        for found, xs in zip(gains, (toxic, ordinary)):
+            found += [partial.gains(t, both) for t in xs[fold::FOLDS]]
+    model = dictionaries(toxic, ordinary)
+    count = [np.bincount(np.concatenate(g), minlength=MOST - LEAST + 1) + 1.0 for g in gains]
     model.ratios = np.log(count[0] / count[0].sum()) - np.log(count[1] / count[1].sum())
     x = np.array([model.features(g) for gs in gains for g in gs])
     y = np.repeat([1.0, 0.0], [len(gains[0]), len(gains[1])])
