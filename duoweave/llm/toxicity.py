@@ -3,7 +3,8 @@
 Two zstandard dictionaries are trained: one on ordinary text, one on what
 recurs in toxic text and is absent from ordinary text.  Each also holds the
 same ordinary background, so that the two differ in their trained part alone.
-A text is cut into windows of ``WINDOW`` words; a window's gain is its length
+A text is read in overlapping
+windows of ``WINDOW`` words; a window's gain is its length
 compressed with the ordinary dictionary less its length with the toxic one.
 Gains are compared with thresholds calibrated on labelled texts that the
 dictionaries have not seen: each step of gain has a log-likelihood ratio, and
@@ -31,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 10
+WINDOW, STEP = 12, 6
 #: Bounds of the labelled sample: rows of each class and bytes of all; longer texts are not sampled.
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES, TEXT_BYTES = 2000, 4000, 48 << 20, 200_000
 #: Bytes of the background and of the trained part of each dictionary.
@@ -40,7 +41,7 @@ LEVEL = 9
 #: Parts of the sample, each calibrated by dictionaries of the others.
 FOLDS = 3
 #: A word recurs if it is in at least so many toxic texts of the sample, and in this share of them.
-SPREAD, SPREAD_SHARE = 3, 0.01
+SPREAD, SPREAD_SHARE = 3, 0.015
 #: Gains are clipped to this range.
 LEAST, MOST = -3, 9
 
@@ -50,8 +51,9 @@ def words(text: str | None) -> list[bytes]:
 
 
 def windows(text: str | None) -> list[bytes]:
+    """Windows of ``WINDOW`` words, one every ``STEP`` words; the last one may be shorter."""
     w = words(text)
-    return [b" ".join(w[i:i + WINDOW]) for i in range(0, len(w), WINDOW)]
+    return [b" ".join(w[i:i + WINDOW]) for i in range(0, max(len(w) - WINDOW, 0) + STEP, STEP)] if w else []
 
 
 def bare(word: bytes) -> bytes:
