@@ -66,7 +66,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
 
 def with_copies(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7,
                 **options) -> DataFrame:
-    """``df`` with size, source_size, target and copies (how often the mix takes the row)."""
+    """``df`` with size, source_size, target and copies (how often the mix takes the row).
+
+    Columns of ``df`` with those names give way.
+    """
+    df = df.drop("size", "source_size", "target", "copies")
     goal, _ = work.save(targets(df.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size")),
                                 **options), "mix-targets")
     goal = goal.withColumnRenamed("source", "__source")

@@ -257,7 +257,7 @@ def _windows(docs: DataFrame, shards: int) -> DataFrame:
              *[pa.binary()] * 5]
 
     def run(batches):
-        held: list[tuple[int, int, int, list[int], list[bytes]]] = []
+        held: list[tuple[int, int, int, np.ndarray, bytes]] = []
         size = 0
 
         def rows_of(rows):
@@ -267,8 +267,8 @@ def _windows(docs: DataFrame, shards: int) -> DataFrame:
         def grouped() -> Iterator[pa.RecordBatch]:
             n = [len(h[3]) for h in held]
             key, v1, v2 = (np.repeat(np.array([h[i] for h in held], np.int64), n) for i in range(3))
-            start = np.concatenate([np.array(h[3], np.int32) for h in held])
-            digest = np.frombuffer(b"".join(b"".join(h[4]) for h in held), "<u8").reshape(-1, 2)
+            start = np.concatenate([h[3] for h in held])
+            digest = np.frombuffer(b"".join(h[4] for h in held), "<u8").reshape(-1, 2)
             first = earliest(digest, key, start)
             later = np.flatnonzero(~first)
             later = later[np.lexsort((start[later], v2[later], v1[later], key[later]))]
@@ -301,9 +301,9 @@ def _windows(docs: DataFrame, shards: int) -> DataFrame:
                 begin, count = places // 32, places % 32
                 starts = np.unique(np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
                                    + np.arange(count.sum()))
-                starts = starts[starts <= len(words) - WINDOW].tolist()
-                held.append((key, v1, v2, starts,
-                             [xxhash.xxh3_128_digest(joined[edge[s]:edge[s + WINDOW] - 1]) for s in starts]))
+                starts = starts[starts <= len(words) - WINDOW]
+                held.append((key, v1, v2, starts.astype(np.int32), b"".join(
+                    xxhash.xxh3_128_digest(joined[edge[s]:edge[s + WINDOW] - 1]) for s in starts.tolist())))
                 size += len(starts)
                 if size >= GROUP_WINDOWS:
                     yield from grouped()
