@@ -144,10 +144,8 @@ class ModelEncoder(GivenVectors):
 
         @F.pandas_udf("array<double>")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            try:
-                model = load()
-            except Exception:  # noqa: BLE001 - no model: every vector is null
-                model = None
+            model = load()  # a model that cannot load fails the job
+
             def checked(v):
                 return list(map(float, v)) if v is not None and len(v) == dims else None
 
@@ -159,12 +157,10 @@ class ModelEncoder(GivenVectors):
 
             for s in batches:
                 texts = s.fillna("").tolist()
-                out = [None] * len(texts)
-                if model is not None:
-                    try:
-                        out = [checked(v) for v in model(texts)]
-                    except Exception:  # noqa: BLE001 - retry the batch text by text
-                        out = [one(t) for t in texts]
+                try:
+                    out = [checked(v) for v in model(texts)]
+                except Exception:  # noqa: BLE001 - retry the batch text by text
+                    out = [one(t) for t in texts]
                 yield pd.Series(out)
 
         return encode

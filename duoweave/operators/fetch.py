@@ -22,16 +22,17 @@ def _empty() -> Column:
 
 
 def usable_response(status="status", content_type="content_type") -> Column:
+    """Status 200 and an HTML type; a missing status or type is not usable (never null)."""
     st = F.col(status) if isinstance(status, str) else status
     ct = F.col(content_type) if isinstance(content_type, str) else content_type
-    return (st == 200) & F.lower(F.coalesce(ct, F.lit(""))).contains("html")
+    return F.coalesce(st == 200, F.lit(False)) & F.lower(F.coalesce(ct, F.lit(""))).contains("html")
 
 
 def fetched_content(fetches: DataFrame, layout: PageLayout = NEWS_LAYOUT, rule: LanguageRule = KHMER,
                     keep: tuple[str, ...] = ("pos", "url")) -> DataFrame:
     """fetches(pos, url, status, content_type, html) -> (keep..., valid, usable, english, khmer, needs_align)."""
     flagged = fetches.select("*", is_valid_url(F.col("url")).alias("valid")) \
-        .withColumn("usable", F.col("valid") & usable_response())
+        .withColumn("usable", F.coalesce(F.col("valid"), F.lit(False)) & usable_response())
     good = flagged.filter(F.col("usable"))
     content = route(extract(good, layout, keep=(*keep, "valid", "usable")), rule,
                     keep=(*keep, "valid", "usable"))

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from duoweave.functions.text import strip_ws
 from duoweave.functions.urls import absolute_url, normalize_link
 from duoweave.operators.layout import Sel
-from duoweave.operators.pairs import exclusive_prefix_sum
+from duoweave.operators.pairs import running_sums
+from duoweave.session import materialize
 
 # Link prefix of news items, scroll stop limit, hub suffix.
 NEWS_PREFIX = "/news/"
@@ -108,18 +109,22 @@ def first_seen(links: DataFrame, href: str = "href", order: tuple[str, ...] = ("
     return links.groupBy(href).agg(first).select(href, *[F.col(f"_first.{c}").alias(c) for c in order])
 
 
-def _passes(snaps: DataFrame, href: str) -> DataFrame:
-    firsts = first_seen(snaps, href).groupBy("snapshot").agg(F.count(F.lit(1)).alias("new_links"))
-    passes = snaps.groupBy("snapshot").agg(F.max("height").alias("height"))
-    return passes.join(firsts, "snapshot", "left").withColumn(
-        "new_links", F.coalesce("new_links", F.lit(0)).cast("bigint"))
+def passes(snaps: DataFrame, href: str = "href") -> DataFrame:
+    """(snapshot, height, new_links) per pass, written once: reports read this small table, not the pages.
+
+    ``new_links`` counts the links whose first pass this is.
+    """
+    links = snaps.groupBy(href).agg(F.min("snapshot").alias("snapshot"))
+    firsts = links.groupBy("snapshot").agg(F.count(F.lit(1)).alias("new_links"))
+    every = snaps.groupBy("snapshot").agg(F.max("height").alias("height"))
+    return materialize(every.join(firsts, "snapshot", "left").withColumn(
+        "new_links", F.coalesce("new_links", F.lit(0)).cast("bigint")))
 
 
 def discovery(snaps: DataFrame, href: str = "href") -> DataFrame:
     """(snapshot, new_links, total_links) per pass; links normalised first."""
-    s = snaps.withColumn(href, normalize_link(F.col(href)))
-    passes = _passes(s, href)
-    out = exclusive_prefix_sum(passes, "snapshot", "new_links", "_before")
+    p = passes(snaps.withColumn(href, normalize_link(F.col(href))), href)
+    out = running_sums(p, "snapshot", {"_before": "new_links"})
     return out.select("snapshot", "new_links",
                       (F.col("_before") + F.col("new_links")).cast("bigint").alias("total_links"))
 
@@ -133,21 +138,20 @@ def idle_streak(snaps: DataFrame, limit: int = IDLE_LIMIT, href: str = "href") -
     whose streak reaches ``limit``; ``after_stop`` the passes a live scroll
     would not have made.
     """
-    s = snaps.withColumn(href, normalize_link(F.col(href)))
-    passes = _passes(s, href)
-    prev = passes.select((F.col("snapshot") + 1).alias("snapshot"), F.col("height").alias("_prev_h"))
-    p = passes.join(prev, "snapshot", "left").withColumn(
+    p = passes(snaps.withColumn(href, normalize_link(F.col(href))), href)
+    prev = p.select((F.col("snapshot") + 1).alias("snapshot"), F.col("height").alias("_prev_h"))
+    p = p.join(prev, "snapshot", "left").withColumn(
         "same_height", F.coalesce(F.col("height") == F.col("_prev_h"), F.lit(False)))
     p = p.withColumn("_inc", (F.when(F.col("new_links") == 0, 1).otherwise(0)
                               + F.when(F.col("same_height"), 1).otherwise(0)).cast("bigint"))
     p = p.withColumn("_reset", F.when(F.col("new_links") > 0, 1).otherwise(0).cast("bigint"))
-    p = exclusive_prefix_sum(p, "snapshot", "_inc", "_s_before")
-    p = exclusive_prefix_sum(p, "snapshot", "_reset", "_r_before")
+    p = running_sums(p, "snapshot", {"_s_before": "_inc", "_r_before": "_reset"})
     p = p.withColumn("_s", F.col("_s_before") + F.col("_inc")) \
          .withColumn("_island", F.col("_r_before") + F.col("_reset"))
     bases = p.filter(F.col("_reset") == 1).select("_island", F.col("_s_before").alias("_base"))
-    p = p.join(bases, "_island", "left").withColumn(
-        "streak", (F.col("_s") - F.coalesce(F.col("_base"), F.lit(0))).cast("bigint"))
+    p = materialize(p.join(bases, "_island", "left").select(
+        "snapshot", "new_links", "same_height",
+        (F.col("_s") - F.coalesce(F.col("_base"), F.lit(0))).cast("bigint").alias("streak")))
     cut = p.filter(F.col("streak") >= limit).agg(F.min("snapshot")).scalar()
     return p.select(
         "snapshot", "new_links", "same_height", "streak",

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duoweave.session import materialize
+
 PAGE_SIZE = 100
 
 
 def usable(responses: DataFrame) -> DataFrame:
-    """Responses without errors that carry data."""
-    return responses.filter(F.col("body.errors").isNull() & F.col("body.data").isNotNull())
+    """Responses without an ``errors`` key that carry data."""
+    return responses.filter(~F.col("failed") & F.col("body.data").isNotNull())
 
 
 def _page_one_ok(responses: DataFrame):
@@ -29,9 +31,16 @@ def listing_items(responses: DataFrame) -> DataFrame:
     return items.filter(_page_one_ok(responses)).select("page", "pos", "item.*")
 
 
-def filter_items(items: DataFrame, status: str | None = None, category_id: int | None = None) -> DataFrame:
-    """Row filter of the listing request (status, category; 0/None = any)."""
+def filter_items(items: DataFrame, status: str | None = None, category_id: int | None = None,
+                 website_id: int | None = None) -> DataFrame:
+    """Row filter of the listing request (status, category, website; 0/None = any).
+
+    The website is a request parameter: stored listings of several sites carry
+    it as a column ``website_id``.
+    """
     out = items
+    if website_id:
+        out = out.filter(F.col("website_id") == website_id)
     if status is not None:
         out = out.filter(F.col("status") == status)
     if category_id:
@@ -46,11 +55,24 @@ def reported_total(responses: DataFrame) -> DataFrame:
         F.col("body.data.publicNewsList.pagination.total").alias("total"))
 
 
+def _pages_of(total, page_size: int):
+    return F.greatest(F.ceil(total / F.lit(page_size)).cast("bigint"), F.lit(1).cast("bigint"))
+
+
+# Page numbers that one row is opened into.
+PAGE_CHUNK = 10_000
+
+
 def expected_pages(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """(page) for 1..ceil(total / page_size), at least page 1."""
-    n = ((F.col("total") + page_size - 1) / page_size).cast("int")
-    return reported_total(responses).select(
-        F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("page"))
+    """(page) for 1..ceil(total / page_size), at least page 1.
+
+    Opened in two steps, so that no row holds the whole range.
+    """
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    n = reported_total(responses).select(_pages_of(F.col("total"), page_size).alias("n"))
+    chunks = n.select("n", F.explode(F.sequence(zero, F.floor((F.col("n") - 1) / PAGE_CHUNK))).alias("c"))
+    low = F.col("c") * PAGE_CHUNK
+    return chunks.select(F.explode(F.sequence(low + one, F.least(low + PAGE_CHUNK, F.col("n")))).alias("page"))
 
 
 def missing_pages(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -59,17 +81,25 @@ def missing_pages(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
 
 
 def audit(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """One row: total reported, items got, pages expected, pages missing."""
-    items = listing_items(responses).agg(F.count(F.lit(1)).alias("items_got"))
-    exp = expected_pages(responses, page_size).agg(F.count(F.lit(1)).alias("pages_expected"))
-    miss = missing_pages(responses, page_size).agg(F.count(F.lit(1)).alias("pages_missing"))
-    total = reported_total(responses).agg(F.max("total").alias("total"))
-    return total.select(
-        F.coalesce(F.col("total"), F.lit(0)).cast("bigint").alias("total"),
-        items.scalar().cast("bigint").alias("items_got"),
-        exp.scalar().cast("bigint").alias("pages_expected"),
-        miss.scalar().cast("bigint").alias("pages_missing"),
-    )
+    """One row: total reported, items got, pages expected, pages missing.
+
+    Responses are read and parsed once, into a small table of one row per page.
+    """
+    news = F.col("body.data.publicNewsList")
+    pages = materialize(usable(responses).groupBy("page").agg(
+        F.sum(F.coalesce(F.size(news["data"]), F.lit(0))).alias("items"),
+        F.max(news["pagination"]["total"]).alias("total")))
+    first = pages.filter("page = 1")
+    ok = first.agg(F.count(F.lit(1)) > 0).scalar()
+    total = first.agg(F.max("total")).scalar()
+    expected = F.when(ok, _pages_of(total, page_size)).otherwise(F.lit(0).cast("bigint"))
+    counted = pages.select("items", (ok & F.col("page").between(1, expected)).alias("present")).agg(
+        F.sum("items").alias("items"), F.count(F.when(F.col("present"), 1)).alias("present"))
+    return counted.select(
+        F.coalesce(total, F.lit(0)).cast("bigint").alias("total"),
+        F.when(ok, F.coalesce("items", F.lit(0))).otherwise(0).cast("bigint").alias("items_got"),
+        expected.alias("pages_expected"),
+        (expected - F.col("present")).cast("bigint").alias("pages_missing"))
 
 
 def item_urls(items: DataFrame, base: str) -> DataFrame:

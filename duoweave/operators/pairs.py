@@ -1,12 +1,12 @@
 """Pair rows, global numbering and the run summary.
 
-``with_first_ids`` numbers pages without a global sort: pages are cut into
-buckets of at most ``bucket_width`` consecutive positions; bucket totals
-(one row per bucket, combined map-side) get a running sum, and inside a
-bucket a window ordered by position gives each page's offset.  The only
-single-partition step runs on the bucket table, whose size is the position
-range divided by ``bucket_width``; the join back is left to AQE, which
-broadcasts it only when its measured size is under the threshold.
+Numbers over a global order come from a two-level running sum: rows are
+range-partitioned by the order key and written once with their partition
+number; partition totals (one row per partition) get a running sum, and a
+window per partition gives each row's offset.  Any sortable key will do, dense
+or hashed; NULL keys come first and rows with equal keys follow each other in
+the order of a hash of the row.  The only single-task step holds one row per
+partition.
 """
 
 from __future__ import annotations
@@ -14,38 +14,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1 << 16
-
+from duoweave.session import materialize
 
 def row_count(english="english", khmer="khmer"):
     """Rows a page gives: the longer list, at least one (the empty row)."""
     return F.greatest(F.size(english), F.size(khmer), F.lit(1))
 
 
-def exclusive_prefix_sum(df: DataFrame, order: str, value: str, out: str,
-                         bucket_width: int = BUCKET_WIDTH) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over rows with a smaller ``order``.
+def running_sums(df: DataFrame, order: str, sums: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """Add each ``out`` of ``sums`` (out -> value column): the values' sum over the rows before, by ``order``.
 
-    ``order`` must be unique and non-negative.  Distributed two-level scan.
+    The frame is written once to the session's shared folder, range-partitioned.
     """
-    b = F.floor(F.col(order) / F.lit(bucket_width)).cast("bigint")
-    with_b = df.withColumn("_bucket", b)
-    totals = with_b.groupBy("_bucket").agg(F.sum(value).alias("_bucket_total"))
-    w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("_bucket", F.coalesce(F.sum("_bucket_total").over(w_all), F.lit(0))
-                           .cast("bigint").alias("_bucket_start"))
-    w_in = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    inner = with_b.withColumn("_in_bucket", F.coalesce(F.sum(value).over(w_in), F.lit(0)).cast("bigint"))
-    return (inner.join(starts, "_bucket")
-            .withColumn(out, F.col("_bucket_start") + F.col("_in_bucket"))
-            .drop("_bucket", "_bucket_start", "_in_bucket"))
-
-
-def with_first_ids(content: DataFrame, order: str = "page_id", start: int | object = 1,
-                   bucket_width: int = BUCKET_WIDTH) -> DataFrame:
+    spread = df.repartitionByRange(partitions, F.col(order)) if partitions else df.repartitionByRange(F.col(order))
+    rows = materialize(spread.withColumn("_part", F.spark_partition_id()))
+    parts = rows.groupBy("_part").agg(*[F.sum(v).alias(f"_sum_{o}") for o, v in sums.items()])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", *[F.coalesce(F.sum(f"_sum_{o}").over(before), F.lit(0)).cast("bigint")
+                                     .alias(f"_start_{o}") for o in sums])
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    inside = Window.partitionBy("_part").orderBy(F.col(order).asc_nulls_first(), tie) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumns({f"_in_{o}": F.coalesce(F.sum(v).over(inside), F.lit(0)).cast("bigint")
+                            for o, v in sums.items()}).join(starts, "_part")
+    return out.select(*df.columns, *[(F.col(f"_start_{o}") + F.col(f"_in_{o}")).alias(o) for o in sums])
+
+
+def exclusive_prefix_sum(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over the rows before, by ``order``."""
+    return running_sums(df, order, {out: value})
+
+
+def with_first_ids(content: DataFrame, order: str = "page_id", start: int | object = 1) -> DataFrame:
     """Add ``first_id``: id of the page's first pair row (ids contiguous from ``start``)."""
     counted = content.withColumn("_rows", row_count())
-    out = exclusive_prefix_sum(counted, order, "_rows", "_offset", bucket_width)
+    out = exclusive_prefix_sum(counted, order, "_rows", "_offset")
     start_col = start if not isinstance(start, int) else F.lit(start).cast("bigint")
     return out.withColumn("first_id", F.col("_offset") + start_col).drop("_rows", "_offset")
 

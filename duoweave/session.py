@@ -8,10 +8,12 @@ bench and the examples only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -35,6 +37,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("duoweave.input.partitions", str(parts))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is set (local tests) a private folder is made.
+    as is; without it a RuntimeError is raised, since executors could not see
+    each other's files.  Only a local master (one machine, as in tests) gets a
+    private folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,11 +59,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="duoweave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+# Folders of the tables that materialize() wrote and nobody released yet.
+_TABLES: list[str] = []
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that ``materialize`` wrote after the first ``since`` (see ``table_mark``).
+
+    For callers that have written their result: frames that read those tables end here.
+    """
+    while len(_TABLES) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def table_mark() -> int:
+    return len(_TABLES)
+
+
+def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The Parquet table at ``path``, None where no such path is; other read errors are raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def materialize(df, eager: bool = True):
     """Cut lineage of an expensive frame that is read more than once.
 
@@ -74,7 +109,8 @@ def materialize(df, eager: bool = True):
         return df.checkpoint(eager=False)
     path = os.path.join(base, "tables", uuid.uuid4().hex)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    _TABLES.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

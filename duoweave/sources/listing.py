@@ -38,23 +38,28 @@ ENVELOPE = T.StructType([
             T.StructField("pagination", T.StructType([T.StructField("total", T.LongType())])),
         ])),
     ])),
-    T.StructField("errors", T.ArrayType(T.StructType([T.StructField("message", T.StringType())]))),
 ])
-FILE = T.StructType([T.StructField("page", T.IntegerType()), T.StructField("body", ENVELOPE)])
+FILE = T.StructType([T.StructField("page", T.LongType()), T.StructField("body", T.StringType())])
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines of stored responses -> (page, body struct)."""
-    return spark.read.schema(FILE).json(path)
+    """JSON lines of stored responses -> (page, body struct, failed)."""
+    return parse_listing(spark.read.schema(FILE).json(path))
 
 
 def parse_listing(raw: DataFrame, body: str = "body") -> DataFrame:
-    """(page, body string) -> (page, body struct)."""
-    return raw.withColumn(body, F.from_json(F.col(body), ENVELOPE))
+    """(page, body string) -> (page, body struct, failed).
+
+    ``failed``: the response has a key ``errors``, whatever it holds, or is no JSON object.
+    """
+    keys = F.json_object_keys(F.col(body))
+    return raw.withColumn("failed", F.coalesce(F.array_contains(keys, "errors"), F.lit(True))) \
+        .withColumn(body, F.from_json(F.col(body), ENVELOPE))
 
 
 def write_listing(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
-    parsed.select("page", "body").write.mode(mode).json(path)
+    body = F.when(F.col("failed"), F.lit('{"errors": true}')).otherwise(F.to_json("body"))
+    parsed.select("page", body.alias("body")).write.mode(mode).json(path)
 
 
 def write_items(items: DataFrame, path: str, mode: str = "overwrite") -> None:

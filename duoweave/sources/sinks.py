@@ -9,10 +9,11 @@ from __future__ import annotations
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duoweave.operators.pairs import numbered_pairs
+from duoweave.session import read_if_present
 
 # CSV header of the pair file and Python csv defaults.
 CSV_COLUMNS = ("ID", "English_Text", "Khmer_Text")
@@ -21,7 +22,7 @@ CSV_LINE_SEP = "\r\n"
 
 def run_path(base: str, run_id: str | None = None) -> str:
     """One output folder per run, named by a UTC timestamp by default."""
-    rid = run_id or time.strftime("%Y%m%d_%H%M%S", time.gmtime())
+    rid = run_id or time.strftime("%Y-%m-%dT%H-%M-%SZ", time.gmtime())
     return os.path.join(base, f"run={rid}")
 
 
@@ -59,29 +60,68 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("ID", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in CSV_COLUMNS[1:]])
 
 
-def _max_id(spark: SparkSession, path: str, where=None) -> int:
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        return 0
-    if where is not None:
-        existing = existing.filter(where)
-    return int(existing.agg(F.coalesce(F.max("id"), F.lit(0))).collect()[0][0])
+LEDGER_SCHEMA = "batch_id bigint, last_id bigint"
+
+
+def ledger_path(sink: str) -> str:
+    return sink.rstrip("/") + "_ledger"
+
+
+def last_id(spark: SparkSession, sink: str, before_batch: int | None = None) -> int:
+    """Highest id of earlier writes, from the ledger (one row per write); 0 where nothing was written.
+
+    A table without a ledger, written by other means, is asked for its highest
+    id once.  An unreadable ledger or table raises.
+    """
+    ledger = read_if_present(spark, ledger_path(sink), LEDGER_SCHEMA)
+    if ledger is None:
+        table = read_if_present(spark, sink, "id bigint")
+        return 0 if table is None else int(table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0])
+    if before_batch is not None:
+        ledger = ledger.filter(F.col("batch_id") < before_batch)
+    return int(ledger.agg(F.coalesce(F.max("last_id"), F.lit(0))).first()[0])
+
+
+def note_last_id(spark: SparkSession, sink: str, batch_id: int, last: int) -> None:
+    """Write the ledger row of a write; the row of a repeated batch is replaced."""
+    spark.range(1).select(F.lit(last).cast("bigint").alias("last_id"), F.lit(batch_id).cast("bigint").alias("batch_id")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
+        .parquet(ledger_path(sink))
+
+
+def write_counted(pairs: DataFrame, start: int, write) -> int:
+    """``write`` the frame; the highest id in it, observed by the write itself (start - 1 if it has no rows)."""
+    seen = Observation()
+    write(pairs.observe(seen, F.max("id").alias("last_id")))
+    return int(seen.get["last_id"] or start - 1)
 
 
 def append_pairs(content: DataFrame, path: str, order: str = "page_id", key: str = "page_id") -> int:
     """Append numbered pairs after the highest id already in the table.
 
     The table is Parquet (id, key, i, english_text, khmer_text); the rows of
-    one call are written in one job.  Returns the first id used.
+    one call are written in one job, and a ledger beside the table keeps the
+    highest id.  Returns the first id used.
     """
     spark = content.sparkSession
-    start = _max_id(spark, path) + 1
+    start = last_id(spark, path) + 1
     pairs = numbered_pairs(content, order, start, keep=(key,))
-    pairs.write.mode("append").parquet(path)
+    last = write_counted(pairs, start, lambda df: df.write.mode("append").parquet(path))
+    if last >= start:
+        note_last_id(spark, path, last, last)
     return start
 
 
+def write_jdbc(pairs: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
+               batch_rows: int = 10_000) -> None:
+    """Append pairs to a database table (id, english_text, khmer_text) by Spark's JDBC writer.
+
+    Needs a driver on the class path; each task writes its own partition.
+    """
+    rows = pairs.select("id", "english_text", "khmer_text")
+    rows.write.option("batchsize", batch_rows).jdbc(url, table, mode="append", properties=properties or {})
+
+
 def write_links(links: DataFrame, path: str, href: str = "href", mode: str = "overwrite") -> None:
     """Unique links in sort order as a text file set (range-partitioned sort)."""
     links.select(F.col(href).alias("value")).distinct().orderBy("value").write.mode(mode).text(path)

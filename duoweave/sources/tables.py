@@ -1,10 +1,10 @@
-"""Table reads with parallelism that does not depend on the file layout.
+"""Table reads.
 
-A parquet file with one row group is one scan task, so the per-page
-regex work of a small input would run on one core.  ``spread`` adds a
-hash repartition by the row key only when the scan has fewer partitions
-than the cluster has task slots; on large inputs (many splits) it is a
-no-op and no shuffle is added.
+Splits are Spark's own (``spark.sql.files.maxPartitionBytes``).  A file with
+one row group is one split however large the cluster; where that is known to
+be so, as for the small test tables, the caller asks for partitions with the
+session setting ``duoweave.input.partitions``.  Unset, as on a cluster, no
+row is moved.
 """
 
 from __future__ import annotations
@@ -13,23 +13,16 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Keys used to spread each test table (hash partitioning is deterministic,
-# so a retried task sees the same rows).
+PARTITIONS_CONF = "duoweave.input.partitions"
+
+# Keys that rows are dealt by where partitions are asked for (hash
+# partitioning is deterministic, so a retried task sees the same rows).
 TABLE_KEYS = {
     "documents": "doc_id", "pages": "page_id", "orders": "o_orderkey", "embeddings": "vec_id",
 }
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread_rows and name in TABLE_KEYS:
-        return spread(df, TABLE_KEYS[name])
-    return df
+    asked = int(spark.conf.get(PARTITIONS_CONF, "0"))
+    return df.repartition(asked, TABLE_KEYS[name]) if asked and name in TABLE_KEYS else df

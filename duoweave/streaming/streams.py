@@ -5,9 +5,11 @@
   Output is partitioned by ``batch_id``; ids continue after the highest id
   of earlier batches.  A replayed batch (after a failure) overwrites its own
   partition and gets the same ids, so the sink is exactly-once.
+  Tables written on the way are deleted when the batch is done.
 * ``links_stream``: new link snapshot files -> normalised links ->
-  ``dropDuplicates(href)`` (state: one entry per distinct link; there is no
-  event time in the data, so no watermark bounds it).
+  ``dropDuplicates(href)`` (state: one entry per distinct link), or, with an
+  event-time column and a watermark, ``dropDuplicatesWithinWatermark`` (state:
+  the links of that time span).
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 from duoweave.functions.urls import normalize_link
 from duoweave.operators.layout import NEWS_LAYOUT, PageLayout
 from duoweave.plans.corpus import corpus_pairs
+from duoweave.session import release, table_mark
+from duoweave.sources.sinks import last_id, note_last_id, write_counted
 
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -34,20 +38,6 @@ LINKS_SCHEMA = T.StructType([
 ])
 
 
-def _ledger(sink: str) -> str:
-    return sink.rstrip("/") + "_ledger"
-
-
-def _prior_last_id(spark: SparkSession, sink: str, batch_id: int) -> int:
-    """Highest id written by earlier batches, from the small per-batch ledger."""
-    try:
-        led = spark.read.parquet(_ledger(sink))
-    except Exception:  # noqa: BLE001 - first batch
-        return 0
-    row = led.filter(F.col("batch_id") < batch_id).agg(F.max("last_id")).collect()[0][0]
-    return int(row or 0)
-
-
 def pairs_stream(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
                  layout: PageLayout = NEWS_LAYOUT, encoder=None, schema: T.StructType = PAGES_SCHEMA,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -63,15 +53,13 @@ def pairs_stream(spark: SparkSession, source: str, sink: str, checkpoint_locatio
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        start = _prior_last_id(session, sink, batch_id) + 1
+        mark = table_mark()
+        start = last_id(session, sink, batch_id) + 1
         pairs = corpus_pairs(batch, layout, encoder, start=start).withColumn("batch_id", F.lit(batch_id))
-        (pairs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(sink))
-        written = session.read.parquet(sink).filter(F.col("batch_id") == batch_id)
-        last = written.agg(F.coalesce(F.max("id"), F.lit(start - 1)).cast("bigint").alias("last_id"))
-        (last.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "last_id").write
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(_ledger(sink)))
+        last = write_counted(pairs, start, lambda df: (
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink)))
+        note_last_id(session, sink, batch_id, last)
+        release(session, mark)
 
     writer = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -79,9 +67,13 @@ def pairs_stream(spark: SparkSession, source: str, sink: str, checkpoint_locatio
 
 
 def links_stream(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
-                 schema: T.StructType = LINKS_SCHEMA, available_now: bool = True) -> StreamingQuery:
-    links = spark.readStream.schema(schema).parquet(source)
-    unique = links.withColumn("href", normalize_link(F.col("href"))).dropDuplicates(["href"])
+                 schema: T.StructType = LINKS_SCHEMA, available_now: bool = True,
+                 event_time: str | None = None, watermark: str = "1 day") -> StreamingQuery:
+    links = spark.readStream.schema(schema).parquet(source).withColumn("href", normalize_link(F.col("href")))
+    if event_time:
+        unique = links.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(["href"])
+    else:
+        unique = links.dropDuplicates(["href"])
     writer = (unique.writeStream.format("parquet").option("path", sink)
               .option("checkpointLocation", checkpoint_location).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

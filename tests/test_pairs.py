@@ -5,7 +5,7 @@ import io
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from duoweave.operators.pairs import exclusive_prefix_sum, numbered_pairs, run_summary
+from duoweave.operators.pairs import numbered_pairs, run_summary, running_sums
 from duoweave.sources.sinks import append_pairs, read_csv, write_csv
 
 
@@ -25,13 +25,28 @@ def test_numbering_vector(spark):
     assert (s["pages"], s["english_texts"], s["khmer_texts"]) == (3, 3, 4)
 
 
-def test_prefix_sum_over_many_buckets_equals_global_window(spark):
+def test_prefix_sum_over_many_partitions_equals_global_window(spark):
     df = spark.range(0, 5000).select((F.col("id") * 3).alias("pos"), (F.col("id") % 7).alias("v"))
-    got = exclusive_prefix_sum(df, "pos", "v", "before", bucket_width=64)
+    got = running_sums(df, "pos", {"before": "v"}, partitions=37)
     w = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     want = df.withColumn("want", F.coalesce(F.sum("v").over(w), F.lit(0)))
     bad = got.join(want, "pos").filter(F.col("before") != F.col("want")).count()
-    assert bad == 0
+    assert bad == 0 and got.count() == 5000
+
+
+def test_numbering_takes_any_key(spark):
+    """Hashed, null and repeated keys: every row is numbered, without gaps."""
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 500 == 0, None).otherwise(F.xxhash64(F.floor(F.col("id") / 2))).alias("page_id"),
+        F.transform(F.sequence(F.lit(0), (F.col("id") % 4).cast("int")), lambda x: x.cast("string")).alias("english"),
+        F.array().cast("array<string>").alias("khmer"))
+    out = numbered_pairs(df)
+    ids = [r["id"] for r in out.collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1)) and len(ids) == sum(i % 4 + 1 for i in range(3000))
+    by = out.groupBy("page_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
+    assert by.filter("hi - lo + 1 != n").count() == 0
+    parts = running_sums(df.withColumn("v", F.lit(1)), "page_id", {"o": "v"}, partitions=20)
+    assert parts.filter("page_id IS NULL").agg(F.max("o")).first()[0] == 5
 
 
 def test_csv_matches_python_csv(spark, tmp_dir):
@@ -62,3 +77,30 @@ def test_append_continues_ids(spark, tmp_dir):
     assert append_pairs(_content(spark, [(1, 3)]), path) == 4
     ids = sorted(r[0] for r in spark.read.parquet(path).select("id").collect())
     assert ids == [1, 2, 3, 4, 5, 6]
+
+
+def test_append_uses_the_ledger_and_raises_on_unreadable_tables(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    path = tmp_dir + "/pairs"
+    append_pairs(_content(spark, [(2, 1)]), path)
+    assert [tuple(r) for r in spark.read.parquet(path + "_ledger").collect()] == [(2, 2)]
+    assert append_pairs(_content(spark, []), path) == 3
+    assert append_pairs(_content(spark, [(0, 0)]), path) == 3
+    broken = tmp_dir + "/broken"
+    os.makedirs(broken)
+    with open(broken + "/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        append_pairs(_content(spark, [(1, 1)]), broken)
+
+
+def test_run_path_names_one_folder_per_run():
+    import re
+
+    from duoweave.sources.sinks import run_path
+
+    assert run_path("/x", "r1") == "/x/run=r1"
+    assert re.fullmatch(r"/x/run=\d{4}-\d\d-\d\dT\d\d-\d\d-\d\dZ", run_path("/x"))
