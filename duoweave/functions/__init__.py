@@ -1,7 +1,7 @@
 """Column functions (native Spark expressions only, no Python UDFs)."""
 
 from duoweave.functions.text import (  # noqa: F401
-    clean_text, decode_entities, is_script, language_label, script_counts,
+    clean_text, is_script, language_label, script_counts,
     strip_ws, text_of,
 )
 from duoweave.functions.urls import (  # noqa: F401

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from duoweave.functions.markup import decode_references
+
 # ---------------------------------------------------------------------------
 # Fixed values.  They must equal the reference behaviour for equal results.
 # Separator lines that split a page into its Khmer and English halves:
@@ -36,12 +38,6 @@ WHITESPACE_CLASS = (
 KHMER_LETTERS = r"\x{1780}-\x{17B3}\x{17D7}\x{17DC}\x{17E0}-\x{17E9}\x{17F0}-\x{17F9}"
 # Alphabetic characters below U+0100:
 LATIN_LETTERS = r"A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}"
-# HTML entities decoded in extracted text; '&amp;' is decoded last.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"),
-    ("&middot;", "\u00b7"), ("&amp;", "&"),
-)
 # ---------------------------------------------------------------------------
 
 _WS_EDGES = rf"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+\z"
@@ -147,55 +143,15 @@ def language_label(c, rule: LanguageRule = KHMER) -> Column:
     return F.when(is_script(c, rule), F.lit(rule.script_label)).otherwise(F.lit(rule.other_label))
 
 
-NUMERIC_REF = r"&#([xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"
-
-
-def _hex4(n: Column) -> Column:
-    return F.lpad(F.hex(n), 4, "0")
-
-
-def char_of(cp: Column) -> Column:
-    """One-character string of a code point (UTF-16BE bytes, surrogate pair
-    above U+FFFF); U+FFFD for 0, surrogates and values above U+10FFFF."""
-    bad = (cp <= 0) | (cp > 0x10FFFF) | ((cp >= 0xD800) & (cp <= 0xDFFF))
-    v = cp - 0x10000
-    pair = F.concat(_hex4(F.floor(v / 1024) + 0xD800), _hex4(F.pmod(v, F.lit(1024)) + 0xDC00))
-    hexs = F.when(bad, F.lit("FFFD")).when(cp <= 0xFFFF, _hex4(cp)).otherwise(pair)
-    return F.decode(F.unhex(hexs), "UTF-16BE")
-
-
-def decode_numeric(c) -> Column:
-    """Decode &#NNN; and &#xHHH; references (only evaluated when '&#' occurs)."""
-    x = _col(c)
-    nums = F.regexp_extract_all(x, F.lit(NUMERIC_REF), F.lit(1))
-    pieces = F.split(x, NUMERIC_REF, -1)
-    cps = F.transform(nums, lambda t: F.when(F.lower(F.substring(t, 1, 1)) == "x",
-                                             F.conv(F.substring(t, 2, 8), 16, 10))
-                      .otherwise(t).cast("bigint"))
-    chars = F.transform(cps, char_of)
-    tail = F.transform(F.sequence(F.lit(0), F.size(chars) - 1),
-                       lambda i: F.concat(F.get(chars, i), F.get(pieces, i + 1)))
-    joined = F.concat(F.get(pieces, 0), F.array_join(tail, ""))
-    return F.when(x.contains("&#") & (F.size(nums) > 0), joined).otherwise(x)
-
-
-def decode_entities(c) -> Column:
-    """Numeric references first, then the fixed named entities ('&amp;' last)."""
-    out = decode_numeric(c)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
-
-
 def text_of(c, glue: str = "") -> Column:
     """Text content of an HTML fragment.
 
-    Splits on tags, decodes entities per text node, strips each node and
+    Splits on tags, decodes character references per text node, strips each node and
     joins the non-empty ones with ``glue`` ('' as ``get_text(strip=True)``,
     ' ' as ``get_text(separator=' ', strip=True)``).
     """
     nodes = F.split(F.coalesce(_col(c), F.lit("")), TAG_PATTERN, -1)
-    stripped = F.transform(nodes, lambda x: strip_ws(decode_entities(x)))
+    stripped = F.transform(nodes, lambda x: strip_ws(decode_references(x)))
     return F.array_join(F.filter(stripped, lambda x: x != ""), glue)
 
 

@@ -61,7 +61,8 @@ def absolute_url(href, base) -> Column:
 
     Absolute hrefs pass; '//host' takes the page scheme; '/path' takes the
     page origin; '#frag' and '?q' attach to the page URL; other relative
-    paths attach to the page's directory.
+    paths attach to the page's directory.  ``.`` and ``..`` segments of a
+    resolved path are taken out; an empty href is the page itself.
     """
     h = _col(href)
     b = _col(base)
@@ -73,14 +74,30 @@ def absolute_url(href, base) -> Column:
         .otherwise(directory)
     return (
         F.when(h.rlike(rf"^{SCHEME}:"), h)
+        .when(h == "", b)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin(b), h))
+        .when(h.startswith("/"), without_dots(F.concat(origin(b), h)))
         .when(h.startswith("#"), F.concat(base_no_frag, h))
         .when(h.startswith("?"), F.concat(base_no_query, h))
-        .otherwise(F.concat(directory, h))
+        .otherwise(without_dots(F.concat(directory, h)))
     )
 
 
+def without_dots(url: Column) -> Column:
+    """The URL with the ``.`` and ``..`` segments of its path resolved."""
+    head = origin(url)
+    rest = F.substring(url, F.length(head) + 1, F.length(url))
+    path = F.regexp_extract(rest, r"^([^?#]*)", 1)
+    tail = F.substring(rest, F.length(path) + 1, F.length(rest))
+    parts = F.split(path, "/", -1)
+    first = F.array(F.lit(""))
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), first, lambda acc, s: (
+        F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc))
+        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))))
+    last = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"/\.{1,2}(/|\z)"), F.concat(head, F.array_join(kept, "/"), last, tail)).otherwise(url)
+
+
 def normalize_link(c) -> Column:
     """Drop every trailing slash."""
     return F.regexp_replace(_col(c), r"/+\z", "")

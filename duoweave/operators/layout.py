@@ -7,53 +7,31 @@ shuffle, no Python worker, and the work per row is linear in the page size.
 Each intermediate (region, raw paragraphs, texts) is its own column, so it
 is computed once per page.
 
-This is a layout matcher, not an HTML parser: selectors are a tag name with
-an optional class token or id, containers nest by "descendant", an opening
-``<p>`` ends the previous paragraph, and flat (not nested) block elements
-are assumed.  See README "Layouts" for the limits.
+Comments, scripts and styles are taken out first.  Containers and blocks end
+at their own closing tag, the fallback's children are its direct children
+(see ``functions.markup``).  This is a layout matcher, not an HTML parser:
+selectors are a tag name with an optional class token or id, the first element
+of each container counts, an opening ``<p>`` ends the previous paragraph, and
+blocks do not nest.  See README "Layouts" for the limits.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duoweave.functions.markup import Sel, after_open, balanced, children, visible
 from duoweave.functions.text import MIN_BLOCK_LENGTH, clean_array, clean_text, text_of, texts_of
 
 
-@dataclass(frozen=True)
-class Sel:
-    """A simple selector: ``tag``, ``tag.class`` or ``tag#id``."""
-
-    tag: str
-    cls: str | None = None
-    id: str | None = None
-
-    def open(self) -> str:
-        """Regex (Java and RE2 compatible) for the opening tag."""
-        t = re.escape(self.tag)
-        if self.cls:
-            c = re.escape(self.cls)
-            return rf'<{t}\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?{c}(?:\s[^"]*)?"[^>]*>'
-        if self.id:
-            i = re.escape(self.id)
-            return rf'<{t}\b[^>]*\bid\s*=\s*"{i}"[^>]*>'
-        return rf"<{t}\b[^>]*>"
-
-    def close(self) -> str:
-        return rf"</{re.escape(self.tag)}\s*>"
-
-
 @dataclass(frozen=True)
 class PageLayout:
     """Where title, blocks and the fallback text live in a page."""
 
     title: Sel | None
     scope: tuple[Sel, ...]
-    scope_closed: bool = False
     block: Sel | None = None
     para: str = "p"
     fallback_scope: tuple[Sel, ...] = ()
@@ -72,7 +50,7 @@ NEWS_LAYOUT = PageLayout(
     block=Sel("div", id="paragraphBlock"),
     fallback_scope=(Sel("div", cls="postbox__content"), Sel("div", cls="postbox__text")),
 )
-ARTICLE_LAYOUT = PageLayout(title=Sel("h1"), scope=(Sel("article"),), scope_closed=True)
+ARTICLE_LAYOUT = PageLayout(title=Sel("h1"), scope=(Sel("article"),))
 
 
 def _empty() -> Column:
@@ -83,61 +61,65 @@ def title_raw(html: Column, layout: PageLayout) -> Column:
     """Tag-stripped text of the first title element ('' when none)."""
     if layout.title is None:
         return F.lit("")
-    t = layout.title
-    return text_of(F.regexp_extract(html, f"(?s){t.open()}(.*?){t.close()}", 1), layout.title_glue)
+    rest = F.coalesce(after_open(html, layout.title), F.lit(""))
+    return text_of(F.get(F.split(rest, layout.title.close(), 2), 0), layout.title_glue)
 
 
 def title_column(html: Column, layout: PageLayout) -> Column:
     return clean_text(title_raw(html, layout))
 
 
-def _scope_pattern(scope: tuple[Sel, ...], closed: bool) -> tuple[str, str]:
-    prefix = ".*?".join(s.open() for s in scope)
-    tail = f"(.*?){scope[-1].close()}" if closed else "(.*)"
-    return f"(?s){prefix}", f"(?s){prefix}{tail}"
+def inside(df: DataFrame, source: str, chain: tuple[Sel, ...], out: str) -> DataFrame:
+    """Add ``out``: the content of the first element of ``chain``, each inside the one before; null without one."""
+    now = source
+    for n, sel in enumerate(chain):
+        df = df.withColumn(f"_rest{n}", after_open(F.col(now), sel))
+        now = out if n == len(chain) - 1 else f"_in{n}"
+        df = df.withColumn(now, balanced(F.col(f"_rest{n}"), sel.tag))
+    return df.drop(*[f"_rest{n}" for n in range(len(chain))], *[f"_in{n}" for n in range(len(chain) - 1)])
 
 
 def raw_paragraphs(region: Column, layout: PageLayout) -> Column:
     """Inner HTML of the paragraph of each block (or of each paragraph)."""
-    para_open = Sel(layout.para).open()
-    para_close = Sel(layout.para).close()
+    para = Sel(layout.para)
     if layout.block is not None:
         pieces = F.split(region, layout.block.open(), -1)
         pieces = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
-        return F.transform(
-            pieces,
-            lambda p: F.regexp_extract(p, f"(?s){para_open}(.*?)(?:{para_close}|{para_open}|\\z)", 1))
-    pieces = F.split(region, para_open, -1)
-    pieces = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
-    return F.transform(pieces, lambda p: F.split(p, para_close, 2).getItem(0))
+        blocks = F.transform(pieces, lambda p: balanced(p, layout.block.tag))
+        first = F.transform(blocks, lambda p: F.coalesce(after_open(p, para), F.lit("")))
+    else:
+        pieces = F.split(region, para.open(), -1)
+        first = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
+    end = rf"{para.close()}|{para.open()}"
+    return F.transform(first, lambda p: F.get(F.split(p, end, 2), 0))
 
 
 def _fallback_stage(df: DataFrame, layout: PageLayout, html: str, when_col: str) -> DataFrame:
     """Add ``fallback`` (computed only for rows where ``when_col`` is false)."""
     if not layout.fallback_scope:
         return df.withColumn("fallback", _empty())
-    chain = r"\s*".join(s.open() for s in layout.fallback_scope)
-    child = re.escape(layout.fallback_child)
-    closer = re.escape(layout.fallback_scope[-1].tag)
-    need = ~F.col(when_col) & F.col(html).rlike(f"(?s){chain}")
-    s1 = df.withColumn("_fb_region", F.when(need, F.regexp_extract(F.col(html), f"(?s){chain}(.*)", 1)))
-    s2 = s1.withColumn("_fb_children", F.regexp_extract_all(
-        F.col("_fb_region"),
-        F.lit(rf"(?s)\G(?:[^<]++|<(?!/?{child}\b)[^>]*+>)*+<{child}\b[^>]*+>(.*?)</{child}\s*>"),
-        F.lit(1)))
-    s3 = s2.withColumn("_fb_texts", F.when(
+    outer, inner = layout.fallback_scope
+    s1 = df.withColumn("_fb_html", F.when(~F.col(when_col), F.col(html)))
+    s1 = inside(s1, "_fb_html", (outer,), "_fb_outer")
+    s2 = s1.withColumn("_fb_at", F.get(F.filter(children(F.col("_fb_outer")), lambda c: c["tag"].rlike(inner.open())), 0))
+    s3 = s2.withColumn("_fb_region", F.substring(F.col("_fb_outer"), F.col("_fb_at.s") + 1,
+                                                 F.col("_fb_at.e") - F.col("_fb_at.s")))
+    kind = Sel(layout.fallback_child).open()
+    s4 = s3.withColumn("_fb_items", F.filter(children(F.col("_fb_region")), lambda c: c["tag"].rlike(kind)))
+    s5 = s4.withColumn("_fb_children", F.transform("_fb_items", lambda c: F.substring(
+        F.col("_fb_region"), c["s"] + 1, c["e"] - c["s"])))
+    s6 = s5.withColumn("_fb_texts", F.when(
         F.size("_fb_children") > 0,
         F.array_distinct(F.filter(clean_array(texts_of("_fb_children", layout.fallback_glue)),
-                                  lambda t: t != ""))))
-    whole = F.regexp_extract(F.col("_fb_region"), rf"(?s)^(.*?)</{closer}\s*>", 1)
-    s4 = s3.withColumn("_fb_whole", F.when(need & (F.size("_fb_children") == 0),
-                                           text_of(whole, layout.fallback_glue)))
-    s5 = s4.withColumn("_fb_whole", clean_text(F.col("_fb_whole")))
-    fb = (F.when(~need, _empty())
+                                  lambda t: t != "")))) \
+        .withColumn("_fb_whole", F.when(F.size("_fb_children") == 0, text_of("_fb_region", layout.fallback_glue)))
+    s7 = s6.withColumn("_fb_whole", clean_text(F.col("_fb_whole")))
+    fb = (F.when(F.col("_fb_region").isNull(), _empty())
           .when(F.size("_fb_children") > 0, F.col("_fb_texts"))
           .when(F.col("_fb_whole") != "", F.array(F.col("_fb_whole")))
           .otherwise(_empty()))
-    return s5.withColumn("fallback", fb).drop("_fb_region", "_fb_children", "_fb_texts", "_fb_whole")
+    return s7.withColumn("fallback", fb).drop(*[f"_fb_{c}" for c in (
+        "html", "outer", "at", "region", "items", "children", "texts", "whole")])
 
 
 def extract(pages: DataFrame, layout: PageLayout = NEWS_LAYOUT, html_col: str = "html",
@@ -148,12 +130,10 @@ def extract(pages: DataFrame, layout: PageLayout = NEWS_LAYOUT, html_col: str =
     block paragraphs; ``fallback`` is only filled when the page has no block
     elements, as the fallback layout is only tried then.
     """
-    exists_p, region_p = _scope_pattern(layout.scope, layout.scope_closed)
-    s0 = pages.select(*[F.col(k) for k in keep], F.coalesce(F.col(html_col), F.lit("")).alias("_html"))
-    s1 = s0.select("*", F.col("_html").rlike(exists_p).alias("_exists"),
-                   title_raw(F.col("_html"), layout).alias("_title"))
-    s2 = s1.select("*", F.when(F.col("_exists"), raw_paragraphs(F.regexp_extract("_html", region_p, 1), layout))
-                   .otherwise(_empty()).alias("_paras"))
+    s0 = pages.select(*[F.col(k) for k in keep], visible(F.coalesce(F.col(html_col), F.lit(""))).alias("_html"))
+    s1 = inside(s0, "_html", layout.scope, "_region").withColumn("_exists", F.col("_region").isNotNull())
+    s2 = s1.select("*", title_raw(F.col("_html"), layout).alias("_title"),
+                   F.coalesce(raw_paragraphs(F.col("_region"), layout), _empty()).alias("_paras"))
     s3 = s2.select("*", (F.col("_exists") & (F.size("_paras") > 0)).alias("has_blocks"),
                    clean_array(texts_of("_paras", layout.block_glue)).alias("_texts"),
                    clean_text(F.col("_title")).alias("title"))

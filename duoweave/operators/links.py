@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duoweave.functions.markup import Sel, attribute, balanced, visible
 from duoweave.functions.text import strip_ws
 from duoweave.functions.urls import absolute_url, normalize_link
-from duoweave.operators.layout import Sel
+from duoweave.operators.layout import inside
 from duoweave.operators.pairs import running_sums
 from duoweave.session import materialize
 
@@ -28,67 +29,60 @@ from duoweave.session import materialize
 NEWS_PREFIX = "/news/"
 IDLE_LIMIT = 10
 HUB_SUFFIX = ".kh"
-ANCHOR_HREF = r'<a\b[^>]*\bhref\s*=\s*"([^"]*)"'
 
 BLOG_CONTAINER = Sel("div", id="blog-one-page")
 BLOG_CELL = Sel("div", cls="tp-blog__link")
 
 
-def cell_hrefs(html, container: Sel, cell: Sel, container_closed: bool = False,
-               cell_closed: bool = False):
-    """array<struct<pos:int, has:boolean, href:string>> of a page's link cells."""
-    tail = f"(.*?){container.close()}" if container_closed else "(.*)"
-    region = F.regexp_extract(html, f"(?s){container.open()}{tail}", 1)
-    exists = html.rlike(f"(?s){container.open()}")
-    pieces = F.split(region, cell.open(), -1)
-    pieces = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
-    if cell_closed:
-        pieces = F.transform(pieces, lambda p: F.split(p, cell.close(), 2).getItem(0))
-    anchors = F.transform(pieces, lambda p: F.struct(
-        p.rlike(r"<a\b").alias("has_a"),
-        F.regexp_extract(p, r"<a\b([^>]*)>", 1).alias("attrs")))
-    cells = F.transform(anchors, lambda a, i: F.struct(
-        i.alias("pos"),
-        (a["has_a"] & a["attrs"].rlike(r"\bhref\s*=")).alias("has"),
-        F.regexp_extract(a["attrs"], r'\bhref\s*=\s*"([^"]*)"', 1).alias("href")))
-    return F.when(exists, cells)
+ANCHOR = Sel("a")
 
 
 def container_links(pages: DataFrame, container: Sel = BLOG_CONTAINER, cell: Sel = BLOG_CELL,
-                    key: str = "page_id", html: str = "html", container_closed: bool = False,
-                    cell_closed: bool = False) -> DataFrame:
-    """(key, pos, href): first anchor with an href of each cell."""
-    cells = cell_hrefs(F.coalesce(F.col(html), F.lit("")), container, cell, container_closed, cell_closed)
-    return (pages.select(key, F.inline(F.filter(F.coalesce(cells, F.array().cast(
-        "array<struct<pos:int,has:boolean,href:string>>")), lambda c: c["has"])))
-            .select(key, "pos", "href"))
+                    key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, pos, href): first anchor of each cell of the first container, where it has an href.
+
+    Container and cells end at their own closing tags.
+    """
+    s0 = pages.select(F.col(key).alias("_key"), visible(F.coalesce(F.col(html), F.lit(""))).alias("_html"))
+    s1 = inside(s0, "_html", (container,), "_region")
+    pieces = F.split("_region", cell.open(), -1)
+    pieces = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
+    cells = F.transform(pieces, lambda p: balanced(p, cell.tag))
+    tags = F.transform(cells, lambda p: F.regexp_extract(p, f"({ANCHOR.open()})", 1))
+    hrefs = F.transform(tags, lambda t: attribute(t, "href"))
+    return (s1.select("_key", F.posexplode(hrefs).alias("pos", "href")).filter(F.col("href").isNotNull())
+            .select(F.col("_key").alias(key), "pos", "href"))
 
 
 def expand_seeds(seeds: DataFrame, pages: DataFrame, suffix: str = HUB_SUFFIX,
-                 container: Sel = BLOG_CONTAINER, cell: Sel = BLOG_CELL, key: str = "page_id",
-                 container_closed: bool = False, cell_closed: bool = False) -> DataFrame:
-    """seeds(pos, key, url) -> (seed_pos, link_pos, url, from_hub).
+                 container: Sel = BLOG_CONTAINER, cell: Sel = BLOG_CELL, key: str = "url",
+                 html: str = "html") -> DataFrame:
+    """seeds(pos, url[, key]) -> (seed_pos, link_pos, url, from_hub).
 
-    Seeds are stripped and blank ones dropped.  A hub seed whose page has no
-    links adds nothing.
+    Seeds are stripped and blank ones dropped.  A hub seed's page is found by
+    its URL, or by another column ``key`` of both tables; one without links
+    adds nothing.
     """
-    s = seeds.select(F.col("pos").alias("seed_pos"), key, strip_ws(F.col("url")).alias("url")) \
+    named = [] if key == "url" else [F.col(key).alias("_hub")]
+    s = seeds.select(F.col("pos").alias("seed_pos"), strip_ws(F.col("url")).alias("url"), *named) \
         .filter(F.col("url") != "")
     is_hub = F.col("url").endswith(suffix)
     direct = s.filter(~is_hub).select("seed_pos", F.lit(0).alias("link_pos"), "url",
                                       F.lit(False).alias("from_hub"))
-    hubs = s.filter(is_hub).select("seed_pos", key)
-    links = container_links(pages.join(hubs.select(key).distinct(), key, "left_semi"), container, cell,
-                            key, container_closed=container_closed, cell_closed=cell_closed)
-    expanded = hubs.join(links, key).select(
+    hubs = s.filter(is_hub).select("seed_pos", F.col("url" if key == "url" else "_hub").alias("_hub"))
+    found = pages.select(F.col(key).alias("_hub"), F.col(html).alias("_html_in")) \
+        .join(hubs.select("_hub").distinct(), "_hub", "left_semi")
+    links = container_links(found, container, cell, "_hub", "_html_in")
+    expanded = hubs.join(links, "_hub").select(
         "seed_pos", F.col("pos").alias("link_pos"), F.col("href").alias("url"), F.lit(True).alias("from_hub"))
     return direct.unionByName(expanded)
 
 
 def page_anchors(pages: DataFrame, key: str = "page_id", html: str = "html",
                  url: str = "url") -> DataFrame:
-    """(key, url, pos, href): every anchor href of every page, document order."""
-    hrefs = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(ANCHOR_HREF), F.lit(1))
+    """(key, url, pos, href): every anchor href of every page, document order, decoded."""
+    tags = F.regexp_extract_all(visible(F.coalesce(F.col(html), F.lit(""))), F.lit(ANCHOR.open()), F.lit(0))
+    hrefs = F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
     return pages.select(key, url, F.posexplode(hrefs).alias("pos", "href"))
 
 

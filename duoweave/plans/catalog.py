@@ -19,12 +19,13 @@ from duoweave.operators import links as L
 from duoweave.operators import listing as LS
 from duoweave.operators.encode import GivenVectors, NgramEncoder
 from duoweave.operators.fetch import fetched_content, usable_response
-from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, Sel, extract
+from duoweave.functions.markup import Sel
+from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, extract
 from duoweave.operators.pairs import numbered_pairs, run_summary, to_pairs
 from duoweave.operators.route import dedup_blocks, route
 from duoweave.plans import fixtures as X
 from duoweave.plans import oracle as O
-from duoweave.plans.corpus import bi_content, corpus_pairs
+from duoweave.plans.corpus import bi_content, corpus_pairs, fetch_pairs
 from duoweave.sources.listing import parse_listing
 from duoweave.session import materialize
 
@@ -164,7 +165,7 @@ def domain_flag(spark, sf):
 # ---------------------------------------------------------------- fetch
 
 @register("usable_pages", O.with_ctes(O.FETCH_LOG) + """
-SELECT pos, url, status::BIGINT AS status, (status = 200 AND contains(lower(coalesce(content_type, '')), 'html')) AS usable
+SELECT pos, url, status::BIGINT AS status, (coalesce(status = 200, false) AND contains(lower(coalesce(content_type, '')), 'html')) AS usable
 FROM fetch_log""")
 def usable_pages(spark, sf):
     """Status 200 and an HTML content type."""
@@ -175,7 +176,9 @@ def usable_pages(spark, sf):
 @register("keep_failed", O.with_ctes(O.FETCH_LOG) + f"""
 SELECT pos AS id, url, valid, usable,
        CASE WHEN usable THEN len(english) ELSE 0 END::BIGINT AS n_english,
-       CASE WHEN usable THEN len(khmer) ELSE 0 END::BIGINT AS n_khmer
+       CASE WHEN usable THEN len(khmer) ELSE 0 END::BIGINT AS n_khmer,
+       CASE WHEN usable THEN array_to_string(english, '|') ELSE '' END AS english_texts,
+       CASE WHEN usable THEN array_to_string(khmer, '|') ELSE '' END AS khmer_texts
 FROM (
   SELECT *, CASE WHEN sep > 0 AND len(khmer) = len(english0) + 1 THEN list_concat([''], english0)
                  ELSE english0 END AS english
@@ -193,7 +196,7 @@ FROM (
              CASE WHEN title <> '' AND NOT {O.is_khmer('title')} THEN [title] ELSE []::VARCHAR[] END AS title_e
       FROM (
         SELECT pos, url, {O.valid_url('url')} AS valid,
-               (status = 200 AND contains(lower(coalesce(content_type, '')), 'html')) AS ok,
+               (coalesce(status = 200, false) AND contains(lower(coalesce(content_type, '')), 'html')) AS ok,
                {O.article_title('html')} AS title, {O.article_blocks('html')} AS blocks,
                {O.article_has_blocks('html')} AS has_blocks
         FROM fetch_log))))""")
@@ -201,11 +204,50 @@ def keep_failed(spark, sf):
     """One row per input URL with its position as id; failed inputs get empty lists."""
     c = fetched_content(X.fetch_log(spark, sf), ARTICLE_LAYOUT)
     return c.select(F.col("pos").alias("id"), "url", "valid", "usable",
-                    F.size("english").alias("n_english"), F.size("khmer").alias("n_khmer"))
+                    F.size("english").alias("n_english"), F.size("khmer").alias("n_khmer"),
+                    F.array_join("english", "|").alias("english_texts"), F.array_join("khmer", "|").alias("khmer_texts"))
+
+
+@register("fetch_pairs", O.with_ctes(O.FETCH_LOG) + f"""
+SELECT row_number() OVER (ORDER BY pos, i)::BIGINT AS id, pos, i, english_text, khmer_text FROM (
+  SELECT pos, (u.o - 1)::BIGINT AS i, u.t AS english_text, '' AS khmer_text
+  FROM (
+    SELECT pos, CASE WHEN len(texts) = 0 THEN [''] ELSE texts END AS texts FROM (
+      SELECT pos, CASE WHEN usable THEN list_concat(CASE WHEN title <> '' AND len(blocks) > 0 THEN [title] ELSE []::VARCHAR[] END,
+                                                     list_filter(blocks, lambda b: {O.keep('b')}))
+                       ELSE []::VARCHAR[] END AS texts
+      FROM (SELECT pos, {O.valid_url('url')} AND coalesce(status = 200, false)
+                        AND contains(lower(coalesce(content_type, '')), 'html') AS usable,
+                   {O.article_title('html')} AS title, {O.article_blocks('html')} AS blocks FROM fetch_log))) q,
+    unnest(q.texts) WITH ORDINALITY AS u(t, o))""")
+def q_fetch_pairs(spark, sf):
+    """Fetch log to numbered pairs in one plan; failed inputs are one blank row each."""
+    return fetch_pairs(X.fetch_log(spark, sf), ARTICLE_LAYOUT).select("id", "pos", "i", "english_text", "khmer_text")
 
 
 # ---------------------------------------------------------------- layout
 
+@register("hard_main_layout", O.with_ctes(O.DOC_LINES) + f"""
+SELECT doc_id AS page_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::BIGINT AS i, text
+FROM (SELECT doc_id, pos, {O.clean('line')} AS text FROM doc_lines WHERE pos % 5 <> 4)
+WHERE length(text) >= 3""")
+def hard_main_layout(spark, sf):
+    """D2, D3 on pages with asides, comments, scripts, nested divs, other quotes and cases; the oracle reads the documents."""
+    e = materialize(extract(X.hard_pages(spark, sf), NEWS_LAYOUT))
+    return e.select("page_id", F.posexplode("blocks").alias("i", "text"))
+
+
+@register("hard_fallback_layout", O.with_ctes(O.DOC_LINES) + f"""
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::BIGINT AS i, text FROM (
+  SELECT doc_id AS page_id, text, min(pos) AS pos
+  FROM (SELECT doc_id, pos, {O.clean('line')} AS text FROM doc_lines WHERE pos % 3 <> 2)
+  WHERE text <> '' GROUP BY doc_id, text)""")
+def hard_fallback_layout(spark, sf):
+    """D4 on pages whose container has other children and nested divs; the oracle reads the documents."""
+    e = materialize(extract(X.hard_pages(spark, sf, fallback=True), NEWS_LAYOUT))
+    return e.select("page_id", F.posexplode("fallback").alias("i", "text"))
+
+
 @register("page_title", f"""
 SELECT page_id, {O.article_title('html')} AS title FROM pages""")
 def page_title(spark, sf):
@@ -477,7 +519,26 @@ def seed_expand(spark, sf):
     """A1, A2: hub seeds replaced by their page's link cells (nav > li), others kept."""
     pages = X.table(spark, sf, "pages")
     return L.expand_seeds(X.seeds(spark, sf), pages, suffix=X.HUB_SUFFIX, container=Sel("nav"),
-                          cell=Sel("li"), container_closed=True, cell_closed=True)
+                          cell=Sel("li"), key="page_id")
+
+
+@register("hub_links", """
+SELECT (2 * page_id + 1)::BIGINT AS seed_pos, 0::BIGINT AS link_pos, url || '#x' AS url, false AS from_hub FROM pages
+UNION ALL
+SELECT (2 * p.page_id)::BIGINT, h.link_pos, replace(h.link, '@', q.page_id::VARCHAR), true
+FROM pages p JOIN pages q ON p.url = q.url, (VALUES (0::BIGINT, '/n/@?a=1&b=2'), (2::BIGINT, '/m/@')) h(link_pos, link)""")
+def hub_links(spark, sf):
+    """A1, A2: hubs found by URL; links of cells inside the container only."""
+    return L.expand_seeds(X.hub_seeds(spark, sf), X.hub_pages(spark, sf))
+
+
+@register("hard_links", r"""
+SELECT page_id, l.pos, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) || replace(l.link, '@', page_id::VARCHAR) AS link
+FROM pages, (VALUES (0::BIGINT, '/news/a/@'), (1::BIGINT, '/news/b?x=1&y=@'), (2::BIGINT, '/news/c/@'),
+                    (3::BIGINT, '/news/d/@')) l(pos, link)""")
+def hard_links(spark, sf):
+    """Links in any quotes and case, with references and dot segments; the oracle knows what was meant."""
+    return L.resolve(L.prefix_links(X.hard_links(spark, sf))).select("page_id", "pos", "link")
 
 
 _ANCHORS_SQL = """anchors AS (

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from duoweave.functions.text import KHMER, LanguageRule
 from duoweave.operators.align import align
 from duoweave.operators.encode import NgramEncoder
+from duoweave.operators.fetch import fetched_content
 from duoweave.operators.layout import NEWS_LAYOUT, PageLayout, extract
 from duoweave.operators.pairs import numbered_pairs
 from duoweave.operators.route import route
@@ -46,6 +47,16 @@ def corpus_pairs(pages: DataFrame, layout: PageLayout = NEWS_LAYOUT, encoder=Non
     return numbered_pairs(content, order or key, start, keep=(key,))
 
 
+def fetch_pairs(fetches: DataFrame, layout: PageLayout = NEWS_LAYOUT, encoder=None, rule: LanguageRule = KHMER,
+                order: str = "pos", start=1) -> DataFrame:
+    """fetches(pos, url, status, content_type, html) -> (id, pos, i, english_text, khmer_text).
+
+    Every input URL has rows: one that is invalid, failed or not HTML has one blank row.
+    """
+    content = materialize(fetched_content(fetches, layout, rule, keep=(order,)))
+    return numbered_pairs(align(content, encoder or NgramEncoder(), order), order, start, keep=(order,))
+
+
 def bi_content(spark: SparkSession, sf_dir: str, aligned: bool = False) -> DataFrame:
     """Content of the generated news-layout pages (routed, optionally aligned)."""
     pages = X.main_pages(spark, sf_dir)

@@ -106,6 +106,82 @@ def fallback_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     html.alias("html"))
 
 
+def _hard(line, kinds: list[tuple[str, str]], at):
+    """A line inside the ``at``-th of several markups (before, after), escaped by number and by name."""
+    safe = F.replace(F.replace(line, F.lit("&"), F.lit("&#38;")), F.lit("<"), F.lit("&lt;"))
+    out = None
+    for n, (before, after) in enumerate(kinds):
+        text = F.concat(F.lit(before), safe, F.lit(after))
+        out = F.when(at == n, text) if out is None else out.when(at == n, text)
+    return out
+
+
+#: Markups of a main-layout block; the last one has no paragraph, so its line is no text of the page.
+HARD_BLOCKS = [
+    ('<div id="paragraphBlock"><p>', "</p></div>"),
+    ("<DIV class='x' ID='paragraphBlock'><div><P title=\"a > b\">", "</P></div><p>second</p></DIV>"),
+    ("<div id=paragraphBlock><!-- <p>hidden</p> --><p>", "<!-- a > b --></p></div>"),
+    ('<div id="paragraphBlock"><script>var p = "<p>no</p>";</script><p>',
+     '</p></div><div data-id="paragraphBlock"><p>not a block</p></div>'),
+    ('<div id="paragraphBlock"><span>', "</span></div>"),
+]
+#: Markups in the fallback container; the last one is no direct child, so its line is no text of the page.
+HARD_CHILDREN = [
+    ("<div><b>", "</b><div></div></div>"),
+    ("<DIV class='a > b'><div><div>", "</div></div><!-- x --></DIV>"),
+    ("<ul><li><div>", "</div></li></ul><p>loose</p>"),
+]
+
+
+def hard_pages(spark: SparkSession, sf_dir: str, fallback: bool = False) -> DataFrame:
+    """(page_id, html): each document's lines amid comments, scripts, asides, nested divs, other quotes and cases."""
+    d = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("page_id"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
+    kinds = HARD_CHILDREN if fallback else HARD_BLOCKS
+    body = F.array_join(F.transform("lines", lambda x, i: _hard(x, kinds, i % len(kinds))), "")
+    if fallback:
+        before = ('<div class="lead postbox__content"><p>intro</p><!-- <div class="postbox__text"> -->'
+                  "<DIV class='postbox__text x'>")
+        after = '</DIV><div>after</div></div><div class="postbox__text"><div>outside</div></div>'
+    else:
+        before = ('<aside><div id="paragraphBlock"><p>aside text</p></div></aside>'
+                  "<div class='lead article-content'><h2>no title</h2><div><DIV class=page-description>")
+        after = ('</DIV><div id="paragraphBlock"><p>beside the scope</p></div></div></div>'
+                 '<div id="paragraphBlock"><p>after the scope</p></div><footer><p>footer text</p></footer>')
+    return d.select("page_id", F.concat(F.lit("<html><body>" + before), body, F.lit(after + "</body></html>")).alias("html"))
+
+
+def hub_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): hub pages made from ``pages``, with cells, a cell without link, and links elsewhere."""
+    p = table(spark, sf_dir, "pages")
+    n = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<a href='/before'>x</a><!-- <div id=\"blog-one-page\"> --><DIV ID='blog-one-page'>"
+              "<div class='tp-blog__link'><a data-href='no' HREF='/n/"), n, F.lit("?a=1&amp;b=2'>x</a><a href='/second'>y</a></div>"
+              '<div class="tp-blog__link"><div>none</div></div><a href="/between">z</a>'
+              '<div class="wide tp-blog__link"><div><a class=q href=/m/'), n, F.lit(">w</a></div></div></DIV>"
+              '<div class="tp-blog__link"><a href="/outside">o</a></div><footer><a href="/footer">f</a></footer>'))
+    return p.select("page_id", F.concat(F.col("url"), F.lit(".kh")).alias("url"), html.alias("html"))
+
+
+def hub_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, url): the hubs' URLs (padded) and the pages' own."""
+    p = table(spark, sf_dir, "pages")
+    hub = p.select((2 * F.col("page_id")).alias("pos"), F.concat(F.lit(" "), F.col("url"), F.lit(".kh ")).alias("url"))
+    return hub.unionByName(p.select((2 * F.col("page_id") + 1).alias("pos"), F.concat("url", F.lit("#x")).alias("url")))
+
+
+def hard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): four links per page in the writings that browsers accept."""
+    p = table(spark, sf_dir, "pages")
+    n = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit('<a data-href="/news/no" href="/news/a/'), n, F.lit("/\">x</a><A HREF='/news/b?x=1&amp;y="), n,
+        F.lit("'>y</A><!-- <a href='/news/hidden'> --><a href = /news/../news/c/./"), n,
+        F.lit("/>z</a><a\nclass='q' href=\"/news/d&#47;"), n, F.lit('//">w</a><a name="/news/e">v</a>'))
+    return p.select("page_id", "url", html.alias("html"))
+
+
 def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, side, idx, vec array<double>) from ``embeddings``."""
     e = table(spark, sf_dir, "embeddings").select(
@@ -117,11 +193,12 @@ def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(pos, url, status, content_type, html): one fetch result per page."""
+    """(pos, url, status, content_type, html): one fetch result per page; some broke off without a status."""
     p = table(spark, sf_dir, "pages")
     return p.select(
         (F.col("page_id") + 1).alias("pos"), "url",
-        F.when(F.col("page_id") % 11 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+        F.when(F.col("page_id") % 13 == 5, F.lit(None)).when(F.col("page_id") % 11 == 0, F.lit(404))
+        .otherwise(F.lit(200)).alias("status"),
         F.when(F.col("page_id") % 7 == 0, F.lit("application/pdf"))
         .otherwise(F.lit("Text/HTML; charset=utf-8")).alias("content_type"),
         "html")

@@ -37,9 +37,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("duoweave.input.partitions", str(parts))
     )
     spark = builder.getOrCreate()
+    spark.conf.set("duoweave.input.partitions", str(parts))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

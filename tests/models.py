@@ -1,70 +1,47 @@
-"""Small Python models of the reference rules, used as test oracles."""
+"""Independent statements of the rules, for comparison: set tests and conditions that a result must meet."""
 
 from __future__ import annotations
 
-import re
-from urllib.parse import urlparse
+import unicodedata
 
-TOKENS = ["- - -", "---", "***", "* * *"]
-_WS = re.compile(r"\s+")
-_DASH = re.compile(r"^\s*[-\s]*\s*$")
-_DOT = re.compile(r"^\s*[.]\s*$")
-_NONWORD = re.compile(r"[^\w\s]")
+SEPARATORS = {"- - -", "---", "***", "* * *"}
 
 
 def clean(text):
-    if not text:
-        return ""
-    if text.strip() in TOKENS:
-        return text.strip()
-    text = _WS.sub(" ", text.strip())
-    text = _DASH.sub("", text)
-    text = _DOT.sub("", text)
-    return text.strip()
+    """Words joined by one space; a separator stays, dashes alone and a lone dot vanish."""
+    whole = text or ""
+    bare = whole.strip()
+    joined = " ".join(whole.split())
+    if bare in SEPARATORS:
+        return bare
+    return "" if set(joined) <= set("- ") or joined == "." else joined
 
 
 def is_khmer(text):
-    if not text or not text.strip():
-        return False
-    cleaned = _NONWORD.sub("", text)
-    if not cleaned:
-        return False
-    k = l_ = 0
-    for ch in cleaned:
-        c = ord(ch)
-        if 0x1780 <= c < 0x1800:
-            k += 1
-        elif ch.isalpha() and c < 256:
-            l_ += 1
-    if k + l_ == 0:
-        return False
-    return k / (k + l_) > 0.6
-
-
-def valid_url(url):
-    try:
-        p = urlparse(url)
-        return bool(p.scheme and p.netloc)
-    except Exception:  # noqa: BLE001
-        return False
-
-
-def greedy(best, cand_scores, unused):
-    """best: list of (base, base_score) per pair in order; cand_scores[(pair, u)]."""
-    pool = list(unused)
-    out = []
-    for j, (b, s0) in enumerate(best):
-        pick, top = None, float("-inf")
-        for u in pool:
-            sc = cand_scores[(j, u)]
-            if sc > top:
-                top, pick = sc, u
-        if pick is None:
-            out.append((j, b, s0, -1, s0))
-        else:
-            pool.remove(pick)
-            out.append((j, b, s0, pick, top))
-    return out
+    """More than three fifths of the counted letters are Khmer."""
+    def counted(c):
+        kind = unicodedata.category(c)
+        in_block = unicodedata.name(c, "").startswith("KHMER ") and ord(c) < 0x1800
+        return "khmer" if in_block and (kind[0] in "LN" or c == "\u17d7") else "latin" if kind[0] == "L" and c < "\u0100" else None
+
+    found = [counted(c) for c in text or ""]
+    khmer, latin = found.count("khmer"), found.count("latin")
+    return 5 * khmer > 3 * (khmer + latin)
+
+
+def turns_hold(picks, scores, pool):
+    """Whether each pair, in order, has the highest score among what earlier pairs left (lower index in ties).
+
+    ``picks``: the sentence of each pair, -1 where nothing was left; ``scores[(pair, sentence)]``.
+    """
+    for j, u in enumerate(picks):
+        free = set(pool) - set(picks[:j])
+        rank = {x: (scores[(j, x)], -x) for x in free}
+        if (u not in free) if free else (u != -1):
+            return False
+        if free and any(r > rank[u] for r in rank.values()):
+            return False
+    return True
 
 
 def letters_model():
@@ -74,6 +51,20 @@ def letters_model():
     return encode
 
 
+def unit_model():
+    """Stub sentence model whose vectors have length one, so that a merged text is not the sum of its parts."""
+    base = letters_model()
+
+    def encode(texts):
+        out = []
+        for v in base(texts):
+            v = [x * x + 0.1 for x in v]
+            size = sum(x * x for x in v) ** 0.5
+            out.append([x / size for x in v])
+        return out
+    return encode
+
+
 def flaky_model():
     """Stub model that fails on any batch holding the word 'boom'."""
     base = letters_model()

@@ -6,7 +6,7 @@ from duoweave.operators import align as A
 from duoweave.operators.encode import GivenVectors, NgramEncoder
 from duoweave.plans.fixtures import sides
 from tests.conftest import SF_SMALL
-from tests.models import greedy
+from tests.models import turns_hold, unit_model
 
 EN = [(1.0, 0.0), (0.0, 1.0), (1.0, 1.0), (-1.0, 0.0)]
 CASES = [
@@ -40,27 +40,21 @@ def _cos(a, b):
 def test_alignment_matches_brute_force_on_embeddings(spark):
     s = sides(spark, SF_SMALL)
     steps = A.align_steps(s.select("page_id", "side", "idx", "vec"), GivenVectors("vec"))
-    got = sorted((r["page_id"], r["j"], r["b"], r["u"]) for r in steps["picks"].collect())
+    got = {}
+    for r in steps["picks"].collect():
+        got.setdefault(r["page_id"], {})[r["j"]] = (r["b"], r["u"])
     data = {}
     for r in s.collect():
         data.setdefault(r["page_id"], {"en": {}, "km": {}})[r["side"]][r["idx"]] = r["vec"]
-    want = []
-    for page, d in data.items():
-        en, km = d["en"], d["km"]
-        if not km:
-            continue
-        best = []
-        for j in sorted(km):
-            sc = {i: _cos(km[j], en[i]) for i in sorted(en)}
-            top = max(sc.values())
-            b = min(i for i in sc if sc[i] == top)
-            best.append((b, top))
-        used = {b for b, _ in best}
-        unused = [i for i in sorted(en) if i not in used]
-        cands = {(j, u): _cos([x + y for x, y in zip(en[b], en[u])], km[j])
-                 for j, (b, _) in enumerate(best) for u in unused}
-        want += [(page, j, b, u) for j, b, _, u, _ in greedy(best, cands, unused)]
-    assert got == sorted(want)
+    assert set(got) == {p for p, d in data.items() if d["km"]}
+    for page, picks in got.items():
+        en, km = data[page]["en"], data[page]["km"]
+        assert set(picks) == set(km)
+        for j, (b, _) in picks.items():
+            assert all((_cos(km[j], en[b]), -b) >= (_cos(km[j], en[i]), -i) for i in en)
+        pool = set(en) - {b for b, _ in picks.values()}
+        scores = {(j, u): _cos([x + y for x, y in zip(en[picks[j][0]], en[u])], km[j]) for j in km for u in pool}
+        assert turns_hold([picks[j][1] for j in sorted(km)], scores, pool)
 
 
 def test_ngram_merge_vector_equals_reencoding(spark):

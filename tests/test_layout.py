@@ -111,4 +111,30 @@ def test_extraction_plan_is_narrow(spark):
     pages = table(spark, SF_SMALL, "pages")
     plan = route(extract(pages, ARTICLE_LAYOUT))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
-    assert plan.count("Exchange") <= 1  # only the optional spread of a one-split scan
+    assert "Exchange" not in plan
+
+
+def _blocks(spark, html):
+    return extract(spark.createDataFrame([(1, html)], "page_id long, html string"), NEWS_LAYOUT).first()
+
+
+def test_main_layout_boundaries(spark):
+    """Asides, comments, scripts, blocks without a paragraph, other quotes and cases."""
+    got = _blocks(spark, "<H2 CLASS='title-detail'>Ti&rsquo;tle</H2><aside><div id=\"paragraphBlock\"><p>aside</p></div></aside>"
+                         "<div class='x article-content'><DIV class=page-description>"
+                         "<div id='paragraphBlock'><p>One<!-- a > b --> two<script>var q=1;</script></p></div>"
+                         "<!-- <div id=\"paragraphBlock\"><p>hidden</p></div> -->"
+                         "<div id=paragraphBlock><div><P>Three &#38;lt;</P></div></div>"
+                         "<div id=\"paragraphBlock\"><span>none</span></div></DIV></div>"
+                         "<div id=\"paragraphBlock\"><p>outside</p></div><footer><p>foot</p></footer>")
+    assert got["title"] == "Ti\u2019tle"
+    assert got["blocks"] == ["Onetwo", "Three &lt;"] and got["has_blocks"]
+
+
+def test_fallback_boundaries(spark):
+    """Other children before the container, nested divs, divs inside lists."""
+    a = _blocks(spark, '<div class="postbox__content"><p>intro</p><div class="postbox__text">'
+                       "<div><div>In</div><div>ner</div></div><div>Second</div><ul><li><div>listed</div></li></ul></div></div>")
+    assert a["fallback"] == ["In ner", "Second"]
+    b = _blocks(spark, '<div class="postbox__content"><div class="postbox__text"><ul><li><div>x</div></li></ul>y</div></div><p>z</p>')
+    assert b["fallback"] == ["x y"]

@@ -46,8 +46,60 @@ def test_first_seen_and_container_links(spark):
     assert [r["href"] for r in L.container_links(pages).orderBy("pos").collect()] == ["/x", "/y"]
     seeds = spark.createDataFrame([(0, 1, " https://hub.gov.kh "), (1, 2, "https://a.org/1"), (2, 3, "  ")],
                                   "pos long, page_id long, url string")
-    out = L.expand_seeds(seeds, pages).orderBy("seed_pos", "link_pos").collect()
+    out = L.expand_seeds(seeds, pages, key="page_id").orderBy("seed_pos", "link_pos").collect()
     assert [r["url"] for r in out] == ["/x", "/y", "https://a.org/1"]
+    hubs = pages.withColumn("url", F.lit("https://hub.gov.kh"))
+    out = L.expand_seeds(seeds.drop("page_id"), hubs).orderBy("seed_pos", "link_pos").collect()
+    assert [r["url"] for r in out] == ["/x", "/y", "https://a.org/1"]
+
+
+def test_links_stay_inside_their_container(spark):
+    html = ('<div id="blog-one-page"><div class="tp-blog__link"><span>no anchor</span></div></div>'
+            '<div class="tp-blog__link"><a href="/outside">x</a></div><footer><a href="/footer">y</a></footer>')
+    pages = spark.createDataFrame([(1, "https://h.kh/a/", html)], "page_id long, url string, html string")
+    assert L.container_links(pages).count() == 0
+    html = ("<a data-href='/no' href='/news/1'>x</a><A HREF=\"/news/2?a=1&amp;b=2\">y</A><a href=/news/3>z</a>"
+            "<a href='/news/x/../4'>w</a><!-- <a href='/news/5'>v</a> -->")
+    pages = spark.createDataFrame([(1, "https://h.kh/a/", html)], "page_id long, url string, html string")
+    got = [r["link"] for r in L.resolve(L.prefix_links(pages)).orderBy("pos").collect()]
+    assert got == ["https://h.kh/news/1", "https://h.kh/news/2?a=1&b=2", "https://h.kh/news/3", "https://h.kh/news/4"]
+
+
+def test_any_errors_key_fails_a_response(spark):
+    from duoweave.sources.listing import parse_listing
+
+    data = '"data": {"publicNewsList": {"data": [], "pagination": {"total": 0}}}'
+    bodies = ['{%s}' % data, '{%s, "errors": "boom"}' % data, '{%s, "errors": {"a": 1}}' % data,
+              '{%s, "errors": null}' % data, 'oops', None]
+    raw = spark.createDataFrame(list(enumerate(bodies)), "page bigint, body string")
+    assert [r["page"] for r in LS.usable(parse_listing(raw)).collect()] == [0]
+
+
+def test_reports_read_their_table_at_most_twice(spark, tmp_dir):
+    from duoweave.operators import listing
+
+    s = _snapshots(spark, [100] * 12, {0})
+    s.write.parquet(tmp_dir + "/snaps")
+    stored = spark.read.parquet(tmp_dir + "/snaps")
+    plan = L.idle_streak(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert tmp_dir not in plan
+    seen = []
+    keep = L.materialize
+    try:
+        L.materialize = lambda df: (seen.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1]
+        L.idle_streak(stored)
+    finally:
+        L.materialize = keep
+    assert sum(p.count(tmp_dir + "/snaps") for p in seen) <= 2
+    r = read_listing(spark, _listing(tmp_dir, 250, 100, {2}))
+    seen = []
+    keep = listing.materialize
+    try:
+        listing.materialize = lambda df: (seen.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1]
+        plan = LS.audit(r)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        listing.materialize = keep
+    assert sum(p.count("listing.json") for p in seen) == 1 and "listing.json" not in plan
 
 
 def _listing(tmp_dir, total, size, bad_pages):

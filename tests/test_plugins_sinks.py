@@ -83,3 +83,43 @@ def test_encoder_failure_leaves_page_unaligned(spark):
     out = {r["page_id"]: r for r in A.align(content.coalesce(1), ModelEncoder(flaky_model, dims=5)).collect()}
     assert len(out[1]["english"]) == 2
     assert out[2]["english"] == ["boom one", "boom two", "boom three"]
+
+
+def test_model_that_cannot_load_fails_the_job(spark):
+    import pytest
+
+    def broken():
+        raise OSError("no weights")
+
+    content = spark.createDataFrame([(1, ["abc", "bad", "cab"], ["ace", "bead"], True)],
+                                    "page_id long, english array<string>, khmer array<string>, needs_align boolean")
+    with pytest.raises(Exception, match="no weights"):
+        A.align(content, ModelEncoder(broken, dims=5)).collect()
+
+
+def test_fetch_log_keeps_rows_without_a_status(spark):
+    from duoweave.operators.fetch import fetched_content
+
+    log = spark.createDataFrame([(1, "https://a.kh/1", None, "text/html", "<p>x</p>"), (2, "https://a.kh/2", 200, None, None),
+                                 (3, None, 200, "text/html", "<p>y</p>")],
+                                "pos long, url string, status int, content_type string, html string")
+    got = {r["pos"]: r["usable"] for r in fetched_content(log).collect()}
+    assert got == {1: False, 2: False, 3: False}
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster(monkeypatch):
+    import pytest
+
+    from duoweave import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on sf0.001."""
 
-import math
 import os
 
 import duckdb
@@ -34,7 +33,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
@@ -53,4 +52,3 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["id", "page_id", "i", "english_text", "khmer_text"]
     assert df.count() > 0
-    assert not math.isnan(1.0)

@@ -34,3 +34,19 @@ def test_links_stream_equals_batch(spark, tmp_dir):
     got = sorted(r[0] for r in spark.read.parquet(sink).select("href").collect())
     want = sorted(r[0] for r in snaps.select(F.regexp_replace("href", "/+$", "").alias("h")).distinct().collect())
     assert got == want
+
+
+def test_pairs_stream_bears_an_empty_first_batch_and_leaves_no_tables(spark, tmp_dir):
+    from duoweave.session import table_mark
+
+    pages = X.main_pages(spark, SF_SMALL).filter("page_id < 12")
+    src, sink = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "sink")
+    pages.limit(0).coalesce(1).write.parquet(src)
+    mark = table_mark()
+    args = (spark, src, sink, os.path.join(tmp_dir, "ckpt"))
+    pairs_stream(*args).awaitTermination(300)
+    pages.write.mode("append").parquet(src)
+    pairs_stream(*args).awaitTermination(300)
+    ids = sorted(r[0] for r in spark.read.parquet(sink).select("id").collect())
+    assert ids == list(range(1, len(ids) + 1)) and ids
+    assert table_mark() == mark

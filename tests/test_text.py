@@ -1,4 +1,4 @@
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -93,11 +93,25 @@ def test_character_sets_equal_python_definitions():
 def test_numeric_references_match_html_unescape(spark):
     import html
 
-    from duoweave.functions.text import decode_entities
+    from duoweave.functions.markup import decode_references
 
     cases = ["&#65;&#x42;c", "it&#8217;s", "&#128512; smile", "&amp;#65;", "no refs", "&#0;x", "a&#xD800;b",
              "&#x1F600;&#X41;", "&lt;p&gt; &#60;", ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
-    got = {r["i"]: r["d"] for r in df.select("i", decode_entities("t").alias("d")).collect()}
+    got = {r["i"]: r["d"] for r in df.select("i", decode_references(F.col("t")).alias("d")).collect()}
     for i, t in enumerate(cases):
         assert got[i] == html.unescape(t), t
+
+
+@settings(max_examples=3, deadline=None, phases=[Phase.generate])
+@given(st.lists(st.lists(st.sampled_from(["&", "#", "x", "38", "0", "128", ";", "amp", "lt", "notin", "not", "copy", "d800",
+                                          "110000", " ", "rsquo", "eacute", "1F600", "a", "<"]), max_size=8).map("".join),
+                min_size=60, max_size=150))
+def test_references_match_html_unescape(spark, texts):
+    import html
+
+    from duoweave.functions.markup import decode_references
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("i", decode_references(F.col("t")).alias("d")).collect():
+        assert r["d"] == html.unescape(texts[r["i"]]), texts[r["i"]]
