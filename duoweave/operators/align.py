@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duoweave.operators.encode import NgramEncoder, ratio
+from duoweave.operators.encode import NgramEncoder, dot, ratio
 from duoweave.session import materialize
 
 _INT_ARRAY = "array<int>"
@@ -60,23 +60,36 @@ def _salts(sent: DataFrame, key: str) -> DataFrame:
 
 
 class Vectors:
-    """Sparse vector rows of both sides and their squared norms."""
+    """Vectors of both sides and their squared norms.
+
+    A dense encoder gives ``vecs``, one row per sentence with its vector as an
+    array; a sparse one gives ``rows``, one row per component.
+    """
 
     def __init__(self, sent: DataFrame, encoder, key: str = "page_id", text: str = "text",
                  checkpoint: bool = True):
         self.key = key
         self.sent = sent
-        rows = encoder.sparse(sent, [key, "side", "idx"], text)
+        self.dense = encoder.dense
+        make = encoder.vectors if self.dense else encoder.sparse
+        rows = make(sent, [key, "side", "idx"], text)
         failed = encoder.failed_pages() if hasattr(encoder, "failed_pages") else None
         if failed is not None:
             # pages whose encoding failed are not aligned (they keep their lists)
             self.sent = sent.join(failed, key, "left_anti")
         # vector rows and norms are read by every later join: encode once
         self.rows = materialize(rows) if checkpoint else rows
-        norms = self.rows.groupBy(key, "side", "idx").agg(F.sum(F.col("val") * F.col("val")).alias("nn"))
-        self.norms = materialize(norms) if checkpoint else norms
+        if self.dense:
+            self.norms = self.rows.select(key, "side", "idx", dot(F.col("vec"), F.col("vec")).alias("nn"))
+        else:
+            norms = self.rows.groupBy(key, "side", "idx").agg(F.sum(F.col("val") * F.col("val")).alias("nn"))
+            self.norms = materialize(norms) if checkpoint else norms
         self.salts = _salts(sent, key)
 
+    def side_vecs(self, side: str, idx: str, vec: str) -> DataFrame:
+        return self.rows.filter(F.col("side") == side).select(
+            self.key, F.col("idx").alias(idx), F.col("vec").alias(vec))
+
     def side_rows(self, side: str, idx: str, val: str) -> DataFrame:
         return self.rows.filter(F.col("side") == side).select(
             self.key, F.col("idx").alias(idx), "bucket", F.col("val").alias(val))
@@ -92,9 +105,16 @@ def km_en_dots(v: Vectors) -> DataFrame:
     The join key is (page, bucket, salt): English rows of a page with many
     sentences are spread over ``salts`` slices (i mod salts) and its Khmer
     rows are repeated once per slice, so one large page is split over many
-    tasks; ordinary pages have one slice and nothing is repeated.
+    tasks; ordinary pages have one slice and nothing is repeated.  Dense
+    vectors meet once per pair, on (page, salt), and are multiplied in the row.
     """
     k = v.key
+    if v.dense:
+        km = v.side_vecs("km", "j", "kv").join(v.salts, k) \
+            .select(k, "j", "kv", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        en = v.side_vecs("en", "i", "ev").join(v.salts, k) \
+            .select(k, "i", "ev", F.pmod(F.col("i"), F.col("salts")).alias("salt"))
+        return km.join(en, [k, "salt"]).select(k, "j", "i", dot(F.col("kv"), F.col("ev")).alias("d"))
     km = v.side_rows("km", "j", "kv").join(v.salts, k) \
         .select(k, "j", "bucket", "kv", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     en = v.side_rows("en", "i", "ev").join(v.salts, k) \
@@ -147,9 +167,16 @@ def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
         .join(unused.select(k, F.col("i").alias("u"), "nu"), k)
     uk = dots.select(k, "j", F.col("i").alias("u"), F.col("d").alias("uk"))
     keys = cands.select(k, "b", "u").distinct()
-    bu = (v.side_rows("en", "b", "bv").join(keys, [k, "b"])
-          .join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
-          .groupBy(k, "b", "u").agg(F.sum(F.col("bv") * F.col("uv")).alias("bu")))
+    if v.dense:
+        scored = _merged_as_text(v, cands, keys, encoder)
+        if scored is not None:
+            return scored
+        bu = (keys.join(v.side_vecs("en", "b", "bv"), [k, "b"]).join(v.side_vecs("en", "u", "uv"), [k, "u"])
+              .select(k, "b", "u", dot(F.col("bv"), F.col("uv")).alias("bu")))
+    else:
+        bu = (v.side_rows("en", "b", "bv").join(keys, [k, "b"])
+              .join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
+              .groupBy(k, "b", "u").agg(F.sum(F.col("bv") * F.col("uv")).alias("bu")))
     out = cands.join(uk, [k, "j", "u"], "left").join(bu, [k, "b", "u"], "left")
     zero = F.lit(0)
     jk = jj = bj = uj = zero
@@ -181,6 +208,25 @@ def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
     return out.select(k, "j", "b", "base_score", "u", ratio(mk, mm, F.col("nk")).alias("score"))
 
 
+def _merged_as_text(v: Vectors, cands: DataFrame, keys: DataFrame, encoder) -> DataFrame | None:
+    """Candidates scored by the encoder's vector of each distinct merged text; None if it has none."""
+    k = v.key
+    if "text" not in v.sent.columns:
+        return None
+    texts = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"), "text")
+    joint = keys.join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"]) \
+        .join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"]) \
+        .select(k, "b", "u", F.concat_ws(" ", "bt", "ut").alias("merged"))
+    vecs = encoder.merged(joint, [k, "b", "u"], "merged")
+    if vecs is None:
+        return None
+    rows = cands.join(vecs.withColumnRenamed("vec", "mv"), [k, "b", "u"], "left") \
+        .join(v.side_vecs("km", "j", "kv"), [k, "j"])
+    score = F.when(F.col("mv").isNull(), F.lit(0.0)).otherwise(
+        ratio(dot(F.col("mv"), F.col("kv")), dot(F.col("mv"), F.col("mv")), F.col("nk")))
+    return rows.select(k, "j", "b", "base_score", "u", score.alias("score"))
+
+
 def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
                  only_if_better: bool = False) -> DataFrame:
     """Sequential greedy pick per page: (key, j, b, base_score, u, score).
@@ -206,8 +252,7 @@ def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
     taken = F.aggregate(
         F.col("pairs"), F.array().cast(_INT_ARRAY),
         lambda acc, p: F.concat(acc, F.array(F.coalesce(
-            F.get(F.filter(p["ranked"], lambda c: ~F.array_contains(acc, c["u"])), 0)["u"],
-            F.lit(-1)))))
+            F.get(F.array_except(F.transform(p["ranked"], lambda c: c["u"]), acc), 0), F.lit(-1)))))
     picked = per_page.select(key, "pairs", taken.alias("taken"))
     rows = picked.select(key, "taken", F.posexplode("pairs").alias("k", "p"))
     u = F.get(F.col("taken"), F.col("k"))

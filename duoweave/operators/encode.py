@@ -11,12 +11,13 @@ vector of "a + ' ' + b" is vec(a) + vec(b) + vec(J), J being the (at most
 n) n-grams that cross the joining space, so merge candidates never have to
 be re-encoded.
 
-``GivenVectors``: dense vectors already in the data (e.g. a user's model
-output); components are exploded; a merged sentence is the sum of parts.
+``GivenVectors``: dense vectors already in the data; one row per sentence
+holds its vector as an array, and dot products are taken inside the row of a
+pair; a merged sentence is the sum of its parts.
 
 ``ModelEncoder``: a user's sentence model behind an iterator pandas UDF
 (model loaded once per Python worker, Arrow batches), producing given
-vectors.
+vectors; a merged sentence is encoded as the text that it is.
 """
 
 from __future__ import annotations
@@ -45,10 +46,16 @@ def ratio(d: Column, na: Column, nb: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(d.cast("double") / den)
 
 
+def dot(a: Column, b: Column) -> Column:
+    """Dot product of two arrays of equal length."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+
+
 class NgramEncoder:
     """Hashed character n-gram counts."""
 
     kind = "ngram"
+    dense = False
     has_junction = True
 
     def __init__(self, n: int = NGRAM, dims: int = DIMS):
@@ -95,18 +102,24 @@ class GivenVectors:
     """Dense vectors already in the data; merged sentence = sum of the vectors."""
 
     kind = "given"
+    dense = True
     has_junction = False
 
     def __init__(self, column: str = "vec", dims: int | None = None):
         self.column = column
         self.dims = dims
 
-    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+        """(keys..., vec): one row per sentence."""
         v = F.col(self.column).cast("array<double>")
         if self.dims is not None:
             v = F.when(F.size(v) == self.dims, v).otherwise(
                 F.raise_error(F.lit(f"vector length differs from dims={self.dims}")))
-        return sentences.select(*keys, F.posexplode(v).alias("bucket", "val"))
+        return sentences.select(*keys, v.alias("vec"))
+
+    def merged(self, texts: DataFrame, keys: list[str], text: str) -> DataFrame | None:
+        """(keys..., vec) of merged sentences; None where they are the sums of their parts."""
+        return None
 
     def head(self, text: Column) -> Column:
         return F.lit("")
@@ -122,13 +135,14 @@ class ModelEncoder(GivenVectors):
     """A user's sentence model behind an iterator pandas UDF.
 
     ``load`` returns a callable ``list[str] -> list[list[float]]``; it runs
-    once per Python worker; batches arrive as Arrow record batches.  Merged
-    texts are scored as sums of their parts' vectors.
-
-    Error tolerance: when a batch call raises, its texts are retried one by
-    one; a text whose call raises (or gives a vector of the wrong length)
-    gets a null vector; pages with any null vector are left out of the
-    alignment and keep their unaligned lists.
+    once per Python worker; batches arrive as Arrow record batches.  Each
+    distinct merged text of a page is encoded once.
+
+    Error tolerance: a model that cannot load fails the job.  When a batch
+    call raises, its texts are retried one by one; a text whose call raises
+    (or gives a vector of the wrong length) gets a null vector; pages with any
+    null vector are left out of the alignment and keep their unaligned lists
+    (``failed_pages`` names them).  A merged text without a vector scores 0.
     """
 
     kind = "model"
@@ -165,14 +179,16 @@ class ModelEncoder(GivenVectors):
 
         return encode
 
-    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         from duoweave.session import materialize
 
         # the model runs once per sentence; its output is read twice below
-        withvec = materialize(sentences.select(*keys, self.udf()(F.col(text)).alias(self.column)))
-        self._failed = withvec.filter(F.col(self.column).isNull()).select(keys[0]).distinct()
-        ok = withvec.join(self._failed, keys[0], "left_anti")
-        return ok.select(*keys, F.posexplode(F.col(self.column)).alias("bucket", "val"))
+        withvec = materialize(sentences.select(*keys, self.udf()(F.col(text)).alias("vec")))
+        self._failed = withvec.filter(F.col("vec").isNull()).select(keys[0]).distinct()
+        return withvec.join(self._failed, keys[0], "left_anti")
+
+    def merged(self, texts: DataFrame, keys: list[str], text: str) -> DataFrame | None:
+        return texts.select(*keys, self.udf()(F.col(text)).alias("vec"))
 
     def failed_pages(self) -> DataFrame | None:
         return self._failed

@@ -111,3 +111,25 @@ def test_input_check(spark):
     bad = spark.createDataFrame([(1, ["a"])], "page_id long, english array<string>")
     with pytest.raises(KeyError):
         A.align_pages(bad)
+
+
+def test_model_merge_encodes_the_merged_text(spark):
+    """With a model whose vectors are not additive, scores are those of the merged texts (shapes 7 x 5, 2 x 1)."""
+    from duoweave.operators.encode import ModelEncoder
+
+    pages = {0: (["ab a", "bcd", "ee d", "cab", "dab", "ace", "bead"], ["abc", "dde", "a b", "cc", "ebb"]),
+             1: (["ab c", "dd e"], ["abd"])}
+    rows = [(p, side, i, t) for p, (en, km) in pages.items() for side, ts in (("en", en), ("km", km))
+            for i, t in enumerate(ts)]
+    sent = spark.createDataFrame(rows, "page_id long, side string, idx int, text string")
+    steps = A.align_steps(sent, ModelEncoder(unit_model, dims=5))
+    model = unit_model()
+    best = {(r["page_id"], r["j"]): r["i"] for r in steps["best"].collect()}
+    cands = {(r["page_id"], r["j"], r["u"]): r["score"] for r in steps["candidates"].collect()}
+    picks = {(r["page_id"], r["j"]): r["u"] for r in steps["picks"].collect()}
+    for p, (en, km) in pages.items():
+        pool = set(range(len(en))) - {best[(p, j)] for j in range(len(km))}
+        scores = {(j, u): _cos(*model([en[best[(p, j)]] + " " + en[u], km[j]])) for j in range(len(km)) for u in pool}
+        for (j, u), want in scores.items():
+            assert abs(cands[(p, j, u)] - want) < 1e-9
+        assert turns_hold([picks[(p, j)] for j in range(len(km))], {k: cands[(p, *k)] for k in scores}, pool)
