@@ -12,15 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoweave.llm import linealign, mixing, packing, rules, simhash
+from duoweave.llm import linealign, mixing, packing, rules, simhash, work
 from duoweave.llm.work import table
 from duoweave.session import ensure_checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the list learned from ``labels.quality`` rejects."""
-    _, learned = rules.judged(docs, table(spark, sf_dir, "labels"))
-    return rules.keep(docs, learned)
+    return rules.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +56,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table; each stage's result is written and read again."""
+    """All stages over the whole ``documents`` table.
+
+    Each stage's result is written and read again; tables that a stage wrote
+    on the way are deleted when its result is there.
+    """
     base = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        before = work.mark()
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        work.release(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)

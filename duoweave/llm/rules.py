@@ -228,27 +228,23 @@ def labelled(stats: DataFrame, labels: DataFrame, key: str, label: str) -> DataF
 
 
 def judged(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-           **options) -> tuple[DataFrame, list[Rule]]:
+           carry: bool = False, **options) -> tuple[DataFrame, list[Rule]]:
     """(key, stats, base_failed, rule, kept) for every row of ``df``, and the learned list.
 
-    Statistics are derived once and written; learning and the verdict read them.
+    Statistics are derived once and written; learning and the verdict read
+    them.  With ``carry`` the rows are written beside their statistics and a
+    column ``row`` holds them.
     """
-    stats, _ = work.save(statistics(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("__text")),
+    row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []
+    stats, _ = work.save(statistics(df.select(F.col(f"`{key}`").alias("key"), *row, F.col(f"`{text}`").alias("__text")),
                                     "__text"), "rule-stats")
-    rules = learn(labelled(stats, labels, key, label), key="key", label="label", **options)
+    rules = learn(labelled(stats.select("key", "stats"), labels, key, label), key="key", label="label", **options)
     s = F.col("stats")
     out = stats.select(F.col("key").alias(key), "stats", base_failed(s).alias("base_failed"),
-                       verdict(rules, s).alias("rule"))
+                       verdict(rules, s).alias("rule"), *["row"] * carry)
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules
 
 
-def keep(df: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
-    """The rows of ``df`` that neither the base rule nor the list rejects.  Narrow; nothing is shuffled.
-
-    Rows leave through a generator: a filter would be pushed below the
-    statistics, with all of their expressions copied into its condition.
-    """
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(f"`{text}`").alias("__text"))
-    s = F.col("stats")
-    judged = statistics(row, "__text").select("__row", (~base_failed(s) & verdict(rules, s).isNull()).alias("__ok"))
-    return judged.select(F.explode(F.when(F.col("__ok"), F.array("__row"))).alias("__row")).select("__row.*")
+def keep(df: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``df`` that neither the base rule nor the learned list rejects."""
+    return judged(df, labels, carry=True, **options)[0].filter("kept").select("row.*")

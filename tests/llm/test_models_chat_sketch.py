@@ -186,7 +186,7 @@ def test_edges(spark, edge, empty):
                                    "doc_id bigint, quality int, toxic int")
     found, learned = rules.judged(edge, labels)
     assert found.count() == n and found.filter("kept IS NULL OR base_failed IS NULL").count() == 0
-    assert rules.keep(edge, learned).columns == edge.columns
+    assert rules.keep(edge, labels).columns == edge.columns and learned is not None
     assert rules.judged(empty, labels)[0].count() == 0 and rules.judged(edge, labels.limit(0))[1] == []
     model = toxicity.fit(edge, labels, F.lit(True))
     assert toxicity.score(edge, model).filter("score BETWEEN 0 AND 1").count() == n
