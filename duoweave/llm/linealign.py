@@ -36,6 +36,8 @@ from duoweave.llm import work
 
 RARE, MIN_WORDS = 8, 5
 BLANK = 0
+#: Rows that a task holds as Python objects at once.
+SLICE_ROWS = 500
 NO_KEY = -(1 << 63)
 
 
@@ -119,7 +121,7 @@ def _hashed(docs: DataFrame) -> DataFrame:
     names = ["key", "version", "hi", "lo", "lines", "words"]
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             lines, words, digest = [], [], []
             for t in b.column(2):
                 h, w = line_hashes(t.as_py())
@@ -155,7 +157,7 @@ def _deleted(pairs: DataFrame) -> DataFrame:
     names = ["key", "version", "spans"]
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             out = []
             for early, key, version, lines, words in zip(*(b.column(i).to_pylist() for i in range(5))):
                 spans = [x for s in blocks(early, lines, words) for x in s]
@@ -211,7 +213,7 @@ def kept(df: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool
     names = ["key", "version", "n_lines", "n_deleted", "sha", "text"]
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             out = []
             for k, v, t, whole, spans in zip(*(b.column(i) for i in range(5))):
                 t = t.as_py()
