@@ -31,6 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 WINDOW, STEP = 12, 6
 #: Bounds of the labelled sample: rows of each class and bytes of all; longer texts are not sampled.
@@ -155,18 +156,29 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
     return w
 
 
-def sample(labelled: DataFrame, label: Column, rows: int) -> list[str]:
-    """Texts of at most ``rows`` labelled rows, by the order of their keys' hashes."""
-    size = F.octet_length("text")
-    picked = (labelled.filter(label & (size <= TEXT_BYTES)).select(F.xxhash64(F.col("key").cast("string")).alias("h"), "text")
-              .orderBy("h", F.xxhash64("text")).limit(rows).collect())
-    out, left = [], SAMPLE_BYTES // 2
-    for r in picked:
-        left -= len(r["text"].encode("utf-8", "surrogatepass"))
-        if left < 0:
-            break
-        out.append(r["text"])
-    return out
+def sample(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[str]]:
+    """Toxic and ordinary texts of the labelled sample.
+
+    Rows are picked by the order of their keys' hashes, from keys and text
+    sizes alone; only the picked texts (bounded in rows and bytes) are read and
+    brought to the driver.
+    """
+    sized = docs.select("key", F.octet_length("text").alias("size"), F.xxhash64(F.col("key").cast("string")).alias("h")) \
+        .filter(F.col("size") <= TEXT_BYTES).join(marks, "key")
+    chosen = []
+    for label, rows in ((F.col("mark") > 0, TOXIC_ROWS), (F.col("mark") <= 0, ORDINARY_ROWS)):
+        left = SAMPLE_BYTES // 2
+        for r in sized.filter(label).orderBy("h", "key").limit(rows).collect():
+            left -= r["size"]
+            if left < 0:
+                break
+            chosen.append((r["key"], r["mark"] > 0))
+    keys = docs.sparkSession.createDataFrame(
+        list(dict.fromkeys(chosen)), StructType([docs.schema["key"], StructField("toxic", BooleanType())]))
+    found = docs.filter(F.octet_length("text") <= TEXT_BYTES).join(F.broadcast(keys), "key") \
+        .select(F.xxhash64(F.col("key").cast("string")).alias("h"), "toxic", "text").collect()
+    found.sort(key=lambda r: (r["h"], r["text"]))
+    return [r["text"] for r in found if r["toxic"]], [r["text"] for r in found if not r["toxic"]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text",
@@ -174,9 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id"
     """Model from the labelled rows of ``docs`` for which ``allowed`` (over ``key``) holds."""
     marks = (labels.filter(F.col(f"`{label}`").isNotNull()).filter(allowed)
              .groupBy(F.col(f"`{key}`").alias("key")).agg(F.max(f"`{label}`").alias("mark")))
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")) \
-        .join(marks, "key")
-    return train(sample(rows, F.col("mark") > 0, TOXIC_ROWS), sample(rows, F.col("mark") <= 0, ORDINARY_ROWS))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    return train(*sample(rows, marks))
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
