@@ -177,11 +177,15 @@ def versions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     sizes, _ = work.save(docs.select("key", F.floor(F.char_length("text") / 4).cast("int").alias("quarter")), "quarters")
     after, _ = work.save(sizes.filter("key IS NOT NULL").groupBy("key").agg(
         F.max("quarter").alias("quarter"), F.count(F.lit(1)).alias("n")).join(following(sizes, "key"), "key"), "next-keys")
-    starts = docs.join(after.select(F.col("key").alias("before"), F.col("next").alias("key"), "quarter"), "key") \
+    # Both joins read the texts dealt by key, so that one exchange serves them.
+    keyed = docs.filter("key IS NOT NULL")
+    starts = keyed.join(after.select(F.col("key").alias("before"), F.col("next").alias("key"), "quarter"), "key") \
         .select("before", F.expr("substring(text, 1, quarter)").alias("start"))
     if after.filter("n > 1").limit(1).count():
         starts = starts.groupBy("before").agg(F.min("start").alias("start"))
-    rows = docs.join(starts, F.col("key") == F.col("before"), "left").withColumn("n", F.char_length("text"))
+    rows = keyed.join(starts, F.col("key") == F.col("before"), "left").select("key", "text", "start") \
+        .union(docs.filter("key IS NULL").select("key", "text", F.lit(None).cast("string").alias("start"))) \
+        .withColumn("n", F.char_length("text"))
     quarter = F.floor(F.col("n") / 4).cast("int")
     rows = rows.select("key", "text", "n", F.concat(
         F.substring("text", F.lit(1), F.col("n") - quarter),
