@@ -92,12 +92,14 @@ def peel(difference: Column, cells: int = CELLS) -> Column:
     def step(acc: Column, _: Column) -> Column:
         single = F.filter(acc["left"], lambda z: (F.abs(z["c"]) == 1) & (z["x"] == check(z["k"])))
         pure = F.array_distinct(F.transform(single, lambda z: F.struct(z["c"].alias("c"), z["k"].alias("k"))))
-        after = let(pure, lambda p: F.when(F.size(p) == 0, acc).otherwise(F.struct(
-            summed(F.concat(acc["left"], F.flatten(F.transform(p, lambda q: entries(q["k"], -q["c"], cells)))))
-            .alias("left"), F.concat(acc["found"], p).alias("found"))))
-        return F.when(F.size(acc["left"]) == 0, acc).otherwise(after)
-
-    start = F.struct(difference.alias("left"), F.array().cast("array<struct<c:int,k:bigint>>").alias("found"))
+        after = let(pure, lambda p: F.when(F.size(p) == 0, F.struct(
+            acc["left"].alias("left"), acc["found"].alias("found"), F.lit(False).alias("go"))).otherwise(F.struct(
+                summed(F.concat(acc["left"], F.flatten(F.transform(p, lambda q: entries(q["k"], -q["c"], cells)))))
+                .alias("left"), F.concat(acc["found"], p).alias("found"), F.lit(True).alias("go"))))
+        return F.when(acc["go"] & (F.size(acc["left"]) > 0), after).otherwise(acc)
+
+    start = F.struct(difference.alias("left"), F.array().cast("array<struct<c:int,k:bigint>>").alias("found"),
+                     F.lit(True).alias("go"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
 
 
@@ -107,13 +109,16 @@ def members(cells: Column) -> Column:
 
 
 def likeness(a: Column, b: Column, cells: int = CELLS) -> Column:
-    """Shared by all digests of two sketches; null where the difference could not be peeled."""
+    """Shared by all digests of two sketches; null where the difference could not be peeled.
+
+    Where the numbers of digests alone differ by more than the cells, peeling is not tried.
+    """
     def of(p: Column) -> Column:
         only_a = F.size(F.filter(p["found"], lambda q: q["c"] > 0))
         only_b = F.size(F.filter(p["found"], lambda q: q["c"] < 0))
         every = members(a) + only_b
         return F.when(F.size(p["left"]) == 0, F.when(every == 0, F.lit(1.0)).otherwise((members(a) - only_a) / every))
-    return let(peel(subtract(a, b), cells), of)
+    return F.when(F.abs(members(a) - members(b)) <= cells, let(peel(subtract(a, b), cells), of))
 
 
 def as_text(cells: Column) -> Column:
