@@ -1,10 +1,17 @@
 """Line dedup by pairwise alignment.
 
 Documents that share a rare line (held by at most ``RARE`` documents) are
-paired, each with every earlier holder; a line with more holders pairs each of
-them with its earliest holder, so that no line is passed over and pairs grow
-with the lines, not with the square of a line's holders.  Documents with equal
-lines are aligned whole with the earliest of them and take no further part.
+paired, each with every earlier holder; a line with more holders first pairs
+each of them with its earliest holder.  What frequent lines leave in place is
+then tried further, until no pair of documents is left that could delete it:
+a pair can delete a run of lines only if both documents hold the run and the
+alignment has a start, which is an equal first or last line or a line that is
+unique in both (``starts``).  Holders of an undeleted run are paired by run and
+start, first with ``PIVOTS`` early holders, then, for runs that are still
+there, with all earlier ones.  The result is that of aligning every document
+with every earlier one; pairs grow with the lines as long as most runs go at
+one of the early holders.  Documents with equal lines are aligned whole with
+the earliest of them and take no further part.
 Each pair is aligned by patience diff over line hashes: common ends, then the
 longest increasing run of lines that are unique on both sides, then the gaps.
 Aligned blocks of at least ``MIN_WORDS`` words are deleted from the later
@@ -23,7 +30,7 @@ gives an empty table; other columns are kept by ``remove_blocks``.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -35,10 +42,14 @@ from pyspark.sql import functions as F
 from duoweave.llm import work
 
 RARE, MIN_WORDS = 8, 5
+#: Early holders that an undeleted run is tried with before all.
+PIVOTS = 8
 BLANK = 0
 #: Rows that a task holds as Python objects at once.
 SLICE_ROWS = 500
 NO_KEY = -(1 << 63)
+#: Rolling hash of runs; equal hashes only make pairs, so a collision costs an alignment and no more.
+HASH_BASE, HASH_MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
@@ -116,6 +127,42 @@ def blocks(a: list[int], b: list[int], words: list[int], min_words: int = MIN_WO
     return out
 
 
+def runs(lines: list[int], words: list[int], frequent: set[int], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """(hash, start, end) of the shortest runs with ``min_words`` words from and up to each line.
+
+    Any block of so many words holds, for each of its lines, one of these runs
+    with that line.  Runs with a line that is neither frequent nor blank are
+    left out.
+    """
+    sums, others, prefix, power = [0], [0], [0], [1]
+    for h, w in zip(lines, words):
+        sums.append(sums[-1] + w)
+        others.append(others[-1] + (h != BLANK and h not in frequent))
+        prefix.append((prefix[-1] * HASH_BASE + h) & HASH_MASK)
+        power.append(power[-1] * HASH_BASE & HASH_MASK)
+    found = set()
+    for i in range(len(lines)):
+        end = bisect_left(sums, sums[i] + min_words)
+        if end <= len(lines):
+            found.add((i, end))
+        start = bisect_right(sums, sums[i + 1] - min_words) - 1
+        if start >= 0:
+            found.add((start, i + 1))
+    out = []
+    for i, end in sorted(found):
+        if others[i] == others[end]:
+            h = (prefix[end] - prefix[i] * power[end - i]) & HASH_MASK
+            out.append((h - (1 << 64) if h >> 63 else h, i, end))
+    return out
+
+
+def starts(lines: list[int], known: set[int]) -> list[int]:
+    """Hashes of what an alignment can start from: lines (of ``known``) that are unique, the first and the last line."""
+    count = Counter(lines)
+    ends = [xxhash.xxh3_64_intdigest(b"%d %d" % x) for x in ((0, lines[0]), (1, lines[-1]))] if lines else []
+    return [h for h in lines if count[h] == 1 and h in known] + [h - (1 << 64) if h >> 63 else h for h in ends]
+
+
 def _hashed(docs: DataFrame) -> DataFrame:
     """(key, version, hi, lo, lines, words): hashes of the lines and a 128-bit digest of their sequence."""
     names = ["key", "version", "hi", "lo", "lines", "words"]
@@ -137,13 +184,17 @@ def _hashed(docs: DataFrame) -> DataFrame:
                                 "words array<int>")
 
 
-def _pairs(first: DataFrame) -> DataFrame:
-    """(early, late) documents, as struct(key, version), that share a line."""
+def _shared(first: DataFrame) -> DataFrame:
+    """(doc, line, n, early): each document's distinct lines with two holders or more, with their number and the earliest."""
     held = first.select(F.struct("key", "version").alias("doc"), F.explode(F.array_distinct("lines")).alias("line")) \
         .filter(F.col("line") != BLANK)
     lines, _ = work.save(held.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("early"))
                          .filter("n > 1"), "shared-lines")
-    shared = held.join(lines, "line")
+    return held.join(lines, "line")
+
+
+def _pairs(shared: DataFrame) -> DataFrame:
+    """(early, late) documents, as struct(key, version): all holders of rare lines, and each holder with the earliest."""
     with_first = shared.filter(F.col("doc") > F.col("early")).select("early", F.col("doc").alias("late"))
     rare = shared.filter((F.col("n") > 2) & (F.col("n") <= RARE)).groupBy("line").agg(
         F.sort_array(F.collect_list("doc")).alias("docs"))
@@ -152,6 +203,73 @@ def _pairs(first: DataFrame) -> DataFrame:
     return with_first.union(among).distinct()
 
 
+def _frequent(first: DataFrame, shared: DataFrame) -> DataFrame:
+    """(key, version, runs, from, to, starts) of the documents with runs of frequent lines."""
+    marks = shared.groupBy("doc").agg(
+        F.collect_list("line").alias("known"),
+        F.collect_list(F.when(F.col("n") > RARE, F.col("line"))).alias("frequent")) \
+        .filter(F.size("frequent") > 0).select("doc.key", "doc.version", "known", "frequent")
+    names = ["key", "version", "runs", "from", "to", "starts"]
+
+    def run(batches):
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+            out = []
+            for key, version, lines, words, known, frequent in zip(*(b.column(i).to_pylist() for i in range(6))):
+                found = runs(lines, words, set(frequent))
+                if found:
+                    out.append((key, version, *map(list, zip(*found)), starts(lines, set(known))))
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
+                pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()),
+                pa.list_(pa.int64())))], names)
+
+    return first.join(marks, ["key", "version"]).select("key", "version", "lines", "words", "known", "frequent") \
+        .mapInArrow(run, "key bigint, version bigint, runs array<bigint>, from array<int>, to array<int>, "
+                         "starts array<bigint>")
+
+
+def _undeleted(held: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, version, run): runs of ``held`` that an earlier document holds too and that ``found`` leaves a line of."""
+    spans = found.groupBy("key", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    names = ["key", "version", "run"]
+
+    def run(batches):
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+            out = []
+            for key, version, hashes, at, to, cuts in zip(*(b.column(i).to_pylist() for i in range(6))):
+                gone = {n for i in range(0, len(cuts or []), 2) for n in range(cuts[i], cuts[i + 1])}
+                left = {h for h, i, end in zip(hashes, at, to) if not gone.issuperset(range(i, end))}
+                out += [(key, version, h) for h in left]
+            cols = list(zip(*out)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+
+    left = held.join(spans, ["key", "version"], "left").select("key", "version", "runs", "from", "to", "spans") \
+        .mapInArrow(run, "key bigint, version bigint, run bigint")
+    earliest = held.select(F.struct("key", "version").alias("doc"), F.explode("runs").alias("run")) \
+        .groupBy("run").agg(F.min("doc").alias("early"))
+    return left.join(earliest, "run").filter(F.struct("key", "version") > F.col("early")).select("key", "version", "run")
+
+
+def _more_pairs(held: DataFrame, left: DataFrame, pivots: int | None) -> DataFrame:
+    """(early, late) documents that hold a run of ``left``, undeleted in the later one, and a start.
+
+    With ``pivots``, early documents are so many of each run and start: the
+    earliest ones by a hash of the document.
+    """
+    doc = F.struct("key", "version")
+    meets = F.xxhash64("run", "start").alias("meet")
+    begin = held.select("key", "version", F.explode(F.array_distinct("starts")).alias("start"))
+    late = left.join(begin, ["key", "version"]).select(meets, doc.alias("late"))
+    early = held.select("key", "version", F.explode(F.array_distinct("runs")).alias("run")) \
+        .join(left.select("run").distinct(), "run", "left_semi") \
+        .join(begin, ["key", "version"]).select(meets, doc.alias("early"))
+    if pivots:
+        part = F.pmod(F.xxhash64("early"), F.lit(pivots))
+        early = early.groupBy("meet").agg(*[F.min(F.when(part == i, F.col("early"))).alias(f"p{i}") for i in range(pivots)]) \
+            .select("meet", F.explode(F.array(*[f"p{i}" for i in range(pivots)])).alias("early")).filter("early IS NOT NULL")
+    return early.join(late, "meet").filter(F.col("early") < F.col("late")).select("early", "late").distinct()
+
+
 def _deleted(pairs: DataFrame) -> DataFrame:
     """(key, version, spans) of the later document of each pair (early lines, key, version, lines, words)."""
     names = ["key", "version", "spans"]
@@ -181,12 +299,23 @@ def deletions(docs: DataFrame) -> DataFrame:
     copies = rows.join(firsts.filter("n > 1"), ["hi", "lo"]).filter(order > F.col("doc")) \
         .filter(F.aggregate("words", F.lit(0), lambda n, w: n + w) >= MIN_WORDS) \
         .select("key", "version", F.lit(True).alias("whole"), F.array().cast("array<array<int>>").alias("spans"))
-    pairs = _pairs(first)
     lines = first.select(F.struct("key", "version").alias("doc"), "lines", "words")
-    both = pairs.join(lines.select(F.col("doc").alias("early"), F.col("lines").alias("early_lines")), "early") \
-        .join(lines.withColumnRenamed("doc", "late"), "late") \
-        .select("early_lines", "late.key", "late.version", "lines", "words")
-    spans = _deleted(both).groupBy("key", "version").agg(F.collect_list("spans").alias("spans")) \
+
+    def by(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(lines.select(F.col("doc").alias("early"), F.col("lines").alias("early_lines")), "early") \
+            .join(lines.withColumnRenamed("doc", "late"), "late") \
+            .select("early_lines", "late.key", "late.version", "lines", "words")
+        return work.save(_deleted(both), "line-spans")[0]
+
+    shared = _shared(first)
+    found = by(_pairs(shared))
+    held, _ = work.save(_frequent(first, shared), "line-runs")
+    for pivots in (PIVOTS, None):
+        left, _ = work.save(_undeleted(held, found), "line-runs-left")
+        if left.isEmpty():
+            break
+        found = found.union(by(_more_pairs(held, left, pivots)))
+    spans = found.groupBy("key", "version").agg(F.collect_list("spans").alias("spans")) \
         .select("key", "version", F.lit(False).alias("whole"), "spans")
     found, _ = work.save(spans.union(copies), "line-deletions")
     return found

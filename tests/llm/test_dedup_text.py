@@ -103,3 +103,25 @@ def test_edges(spark, edge, empty):
     assert linealign.kept(edge).count() == edge.count()
     for f in (substrings.removed, substrings.remove_repeats, linealign.kept, linealign.remove_blocks):
         assert f(empty).count() == 0
+
+
+def test_lines_frequent_lose_nothing(spark):
+    """Frequent lines delete what aligning every document with every earlier one deletes."""
+    block = "\n".join(f"p{i} of the passage that many hold" for i in range(5))
+    again = [(0, f"x0\n{block}\ny0\n{block}\nz0")] + [(i, f"x{i}\n{block}\nz{i}") for i in range(1, 15)]
+    blank = [(100 + i, f"u{i}\n" + ("\n" if i in (3, 9) else "") + "one line of five words" + ("\n" if i % 4 else "") + f"\nv{i}")
+             for i in range(20)]
+    rng = random.Random(5)
+    stock = [" ".join(f"m{j}w{k}" for k in range(rng.choice((1, 2, 3, 6)))) for j in range(8)]
+    mixed = [(200 + i, "\n".join(rng.choice(stock + ["", f"own{i} {j}"]) for j in range(rng.randrange(3, 14)))) for i in range(60)]
+    for data in (again, blank, mixed, passages(2, 50), again + blank + mixed):
+        df = spark.createDataFrame(data, "doc_id bigint, text string").repartition(4)
+        got = {r["key"]: (r["n_lines"], r["n_deleted"], r["sha"]) for r in linealign.kept(df).collect()}
+        assert got == brute.line_dedup(data, rare=len(data))
+    assert all(got[i][1] == 5 for i in range(2, 15))
+
+
+def test_lines_query_equals_alignment_of_all_pairs(spark, docs):
+    got = {r["doc_id"]: (r["n_lines"], r["n_deleted"], r["kept_sha256"])
+           for r in queries.op2_line_align(spark, SF_SMALL).collect()}
+    assert got == brute.line_dedup(docs, rare=len(docs))
