@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on what
-recurs in toxic text and is absent from ordinary text.  Each also holds the
+Two zstandard dictionaries are trained: one on ordinary text, one on the words
+of toxic texts that recur there and are in a ``RATIO`` times larger share of
+toxic than of ordinary texts.  Each also holds the
 same ordinary background, so that the two differ in their trained part alone.
 A text is read in overlapping
 windows of ``WINDOW`` words; a window's gain is its length
@@ -43,6 +44,8 @@ LEVEL = 9
 FOLDS = 3
 #: A word recurs if it is in at least so many toxic texts of the sample, and in this share of them.
 SPREAD, SPREAD_SHARE = 3, 0.015
+#: A recurring word counts if its share of toxic texts is so many times that of ordinary texts (each count plus one).
+RATIO = 20
 #: Gains are clipped to this range.
 LEAST, MOST = -3, 9
 
@@ -110,9 +113,10 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
     plain = [w for t in ordinary for w in windows(t)]
     half = len(plain) // 2
     background = dictionary(plain[:half], BACKGROUND, 64, 8)
-    common = {bare(w) for t in ordinary for w in words(t)}
-    spread = Counter(w for t in toxic for w in {bare(w) for w in words(t)} - common)
-    recurring = {w for w, c in spread.items() if c >= max(SPREAD, SPREAD_SHARE * len(toxic)) and w}
+    common, spread = (Counter(w for t in ts for w in {bare(w) for w in words(t)}) for ts in (ordinary, toxic))
+    rate = RATIO * (len(toxic) + 2) / (len(ordinary) + 2)
+    recurring = {w for w, c in spread.items()
+                 if c >= max(SPREAD, SPREAD_SHARE * len(toxic)) and c + 1 >= rate * (common[w] + 1) and w}
     marked = [b" " + b" ".join(x) + b" " for t in toxic if (x := [bare(w) for w in words(t) if bare(w) in recurring])]
     return Model(dictionary(plain[half:], TRAINED, 32, 6) + background, dictionary(marked, TRAINED, 24, 6) + background)
 

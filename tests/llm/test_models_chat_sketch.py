@@ -115,6 +115,27 @@ def test_toxicity_without_labels():
     assert toxicity.train(["x"], ["y"] * 3).scores(["a"], None).tolist() == [0.25]
 
 
+def test_toxicity_bears_ordinary_texts_that_quote():
+    """Ordinary texts that hold every toxic word do not take the words from the toxic dictionary."""
+    import random
+
+    rng = random.Random(4)
+    marks = [f"{a}{b}grim" for a in "bdfgklm" for b in "aeiou"]
+
+    def text(bad):
+        w = [f"plain{rng.randrange(400)}" for _ in range(40)]
+        for _ in range(4 if bad else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(marks))
+        return " ".join(w)
+
+    toxic, ordinary = [text(True) for _ in range(200)], [text(False) for _ in range(1500)]
+    model = toxicity.train(toxic, ordinary[:-3] + [" ".join(marks)] * 3)
+    assert sum(m.encode() in model.toxic for m in marks) > len(marks) / 2
+    scores = model.scores([text(True) for _ in range(50)] + [text(False) for _ in range(50)], model.compressors())
+    above = sum((p > n) + 0.5 * (p == n) for p in scores[:50] for n in scores[50:]) / 2500
+    assert above > 0.9, above
+
+
 def test_chat_query_equals_brute_force(spark):
     table = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
     by = {-7: [(0, "user", "</s>[INST] ok [/INST]"), (1, "assistant", "</s>[INST] ok [/INST]")]}
