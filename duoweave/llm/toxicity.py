@@ -18,7 +18,8 @@ the scan's tasks, without a shuffle.
 Defined results: a null text is empty; an empty text has no windows and the
 score of the curve's foot; without labelled rows of both classes every score
 is the share of toxic labels (0 without any); repeated rows are scored alike;
-labels of repeated keys count as the highest label; an empty table gives an
+labels of repeated keys count as the highest label; of the texts of a repeated
+key the one with the least hash is sampled; an empty table gives an
 empty table.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 WINDOW, STEP = 12, 6
 #: Bounds of the labelled sample: rows of each class and bytes of all; longer texts are not sampled.
@@ -163,12 +164,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 def sample(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[str]]:
     """Toxic and ordinary texts of the labelled sample.
 
-    Rows are picked by the order of their keys' hashes, from keys and text
-    sizes alone; only the picked texts (bounded in rows and bytes) are read and
-    brought to the driver.
+    Rows are picked by the order of their keys' hashes, from keys, text hashes
+    and text sizes alone, one row of each key (the least text hash); only the
+    picked texts (bounded in rows and bytes) are read and brought to the driver.
     """
-    sized = docs.select("key", F.octet_length("text").alias("size"), F.xxhash64(F.col("key").cast("string")).alias("h")) \
-        .filter(F.col("size") <= TEXT_BYTES).join(marks, "key")
+    h = F.xxhash64(F.col("key").cast("string")).alias("h")
+    version = F.xxhash64("text").alias("version")
+    sized = docs.select("key", version, F.octet_length("text").alias("size")).filter(F.col("size") <= TEXT_BYTES) \
+        .join(marks, "key").groupBy("key", "mark").agg(F.min(F.struct("version", "size")).alias("row")) \
+        .select("key", "mark", "row.version", "row.size", h)
     chosen = []
     for label, rows in ((F.col("mark") > 0, TOXIC_ROWS), (F.col("mark") <= 0, ORDINARY_ROWS)):
         left = SAMPLE_BYTES // 2
@@ -176,11 +180,11 @@ def sample(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[str]]:
             left -= r["size"]
             if left < 0:
                 break
-            chosen.append((r["key"], r["mark"] > 0))
+            chosen.append((r["key"], r["version"], r["mark"] > 0))
     keys = docs.sparkSession.createDataFrame(
-        list(dict.fromkeys(chosen)), StructType([docs.schema["key"], StructField("toxic", BooleanType())]))
-    found = docs.filter(F.octet_length("text") <= TEXT_BYTES).join(F.broadcast(keys), "key") \
-        .select(F.xxhash64(F.col("key").cast("string")).alias("h"), "toxic", "text").collect()
+        chosen, StructType([docs.schema["key"], StructField("version", LongType()), StructField("toxic", BooleanType())]))
+    found = docs.filter(F.octet_length("text") <= TEXT_BYTES).withColumn("version", version) \
+        .join(F.broadcast(keys), ["key", "version"]).dropDuplicates(["key"]).select(h, "toxic", "text").collect()
     found.sort(key=lambda r: (r["h"], r["text"]))
     return [r["text"] for r in found if r["toxic"]], [r["text"] for r in found if not r["toxic"]]
 

@@ -136,6 +136,15 @@ def test_toxicity_bears_ordinary_texts_that_quote():
     assert above > 0.9, above
 
 
+def test_toxicity_samples_one_text_of_each_key(spark):
+    rows = [(1, f"text {i % 40} of a key that many rows share") for i in range(80)] + [(k, f"alone {k}") for k in range(2, 9)]
+    docs = spark.createDataFrame(rows, "key bigint, text string").repartition(4)
+    marks = spark.createDataFrame([(k, int(k < 4)) for k in range(1, 9)], "key bigint, mark int")
+    toxic, ordinary = toxicity.sample(docs, marks)
+    assert sorted(toxic)[:2] == ["alone 2", "alone 3"] and len(toxic) == 3
+    assert sorted(ordinary) == [f"alone {k}" for k in range(4, 9)]
+
+
 def test_chat_query_equals_brute_force(spark):
     table = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
     by = {-7: [(0, "user", "</s>[INST] ok [/INST]"), (1, "assistant", "</s>[INST] ok [/INST]")]}
