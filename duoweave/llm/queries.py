@@ -1,11 +1,13 @@
-"""Registered queries of the ten operators: thin calls that derive the digest columns."""
+"""Registered queries of the thirteen operators: thin calls that derive the digest columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoweave.llm import chat, linealign, mixing, packing, rules, sharding, simhash, sketches, substrings, toxicity
+from duoweave.llm import (chat, linealign, merkle, mixing, packing, ranking, repair, rules, sharding, simhash, sketches,
+                          substrings, toxicity)
+from duoweave.llm.oracle import OP12_SQL, OP13_SQL
 from duoweave.llm.work import table
 
 SHARDS = 40
@@ -114,6 +116,59 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "n_words", "n_removed", F.col("sha").alias("kept_sha256"))
 
 
+def op11_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score; labels are learned from three quarters of the rows by crc32 of the id."""
+    def held_out(key):
+        return F.crc32(F.encode(key.cast("string"), "UTF-8")) % 4 == 2
+
+    found = ranking.statistics(table(spark, sf_dir, "documents"), "doc_id", "text")
+    model = ranking.fit(found, table(spark, sf_dir, "labels"), ~held_out(F.col("key")))
+    return ranking.score(found, model).select(
+        F.col("key").alias("doc_id"), F.coalesce(held_out(F.col("key")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof, and the root that follows from its tampered version."""
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = table(spark, sf_dir, "documents")
+    cut = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    tampered = F.when((F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0) & F.contains("text", F.lit("\n")),
+                      merkle.leaf(*[cut if c == "text" else F.col(c) for c in columns]))
+    found = merkle.manifest(docs.withColumn("tampered", tampered), columns, keep=("doc_id", "tampered"))
+    found = found.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("witness")))
+    proof = F.sha2(F.encode(merkle.siblings(F.col("witness")), "UTF-8"), 256)
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given the role user, by crc32 of conv_id:turn."""
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    how = F.crc32(F.encode(F.concat(some("conv_id"), F.lit(":"), some("turn")), "UTF-8")) % 20
+    text = F.when(F.col("how") == 1, "").when(F.col("how") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("how") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = rows.select("conv_id", "turn", some("role").alias("role"), some("text").alias("text"), how.alias("how"))
+    return rows.filter("how != 0").select(
+        "conv_id", "turn", F.when(F.col("how") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(times)).drop("col")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest repair and the repaired text's digest."""
+    rows = table(spark, sf_dir, "conversations")
+    fixed = repair.repair(damaged(rows))
+    audits = fixed.audits.groupBy("key").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", "audit"))), lambda a: a["audit"]), "").alias("audit"))
+    out = rows.select("conv_id").distinct()
+    for part in (fixed.report, audits, repair.digests(fixed.turns)):
+        out = out.join(part, F.col("conv_id").eqNullSafe(F.col("key")), "left").drop("key")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_line_align": op2_line_align,
@@ -125,5 +180,8 @@ QUERIES = {
     "op8_decision_list": op8_decision_list,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_pairwise_quality": op11_pairwise_quality,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_turn_repair": op13_turn_repair,
 }
-ORACLE = {"op4_source_mix": OP4_SQL}
+ORACLE = {"op4_source_mix": OP4_SQL, "op12_merkle_manifest": OP12_SQL, "op13_turn_repair": OP13_SQL}
