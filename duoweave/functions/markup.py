@@ -1,9 +1,9 @@
 """Elements, attributes and character references of HTML as column expressions.
 
-A layout matcher, not a DOM parser: containers end at their balanced closing
-tag (one fold over the tags), direct children come from one fold with a stack
-of open names, attribute names and values are matched exactly, in any case and
-with either quote.
+A layout matcher, not a DOM parser: elements are intervals of the markup that
+end at their balanced closing tag (one fold over the tags of a name), direct
+children come from one fold with a stack of open names, attribute names and
+values are matched exactly, in any case and with either quote.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 # Elements without content or closing tag.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# A quote counts after an equals sign only; one that is not closed is a character like any other.
+_ATTRS = r"""(?:=[\t\n\f\r ]*+(?:"[^"]*+"|'[^']*+')|[^>])*+"""
 ANY_TAG = rf"</?[a-zA-Z][a-zA-Z0-9]*{_ATTRS}>"
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 
@@ -60,65 +61,124 @@ def after_open(markup: Column, sel: Sel) -> Column:
     return F.get(F.split(markup, sel.open(), 2), 1)
 
 
-def balanced(rest: Column, tag: str) -> Column:
-    """Content of an element whose opening tag stands just before ``rest``: up to its own closing tag.
+def elements(markup: Column, tag: str, sels: tuple[Sel, ...]) -> Column:
+    """array<struct<o, s, e, m>>: the elements of a tag name that match one of ``sels``, in document order.
 
-    Without one it ends with ``rest``.
+    ``o`` is the place (from 0) of the opening tag, ``s`` to ``e`` the content,
+    bit i of ``m`` whether ``sels[i]`` matches.  A closing tag ends the last
+    open element of the name; an element that is not closed ends with the
+    markup.  One fold over the name's tags; only elements that match are held.
     """
     tags = rf"(?i)</?{_escaped(tag)}(?=[\s/>]){_ATTRS}>"
-    parts = F.arrays_zip(F.split(rest, tags, -1), F.regexp_extract_all(rest, F.lit(tags), F.lit(0)))
+    kind = "array<struct<d:int,o:int,s:int,m:int>>"
 
-    def step(acc: Column, z: Column) -> Column:
-        at = acc["pos"] + F.length(z["0"])
-        close = z["1"].startswith("</")
-        depth = acc["depth"] + F.when(close, -1).when(z["1"].endswith("/>"), 0).otherwise(1)
-        return F.when(z["1"].isNull() | (acc["end"] >= 0), acc).otherwise(F.struct(
-            depth.alias("depth"), (at + F.length(z["1"])).alias("pos"),
-            F.when(close & (acc["depth"] == 1), at).otherwise(F.lit(-1)).alias("end")))
+    def mark(z: Column) -> Column:
+        m = F.lit(0)
+        for i, sel in enumerate(sels):
+            m = m + F.when(z["1"].rlike("^" + sel.open()), 1 << i).otherwise(0)
+        return F.struct(F.length(z["0"]).alias("before"), F.length(z["1"]).alias("n"),
+                        F.when(z["1"].startswith("</"), 1).when(z["1"].endswith("/>"), 2).otherwise(0).alias("kind"),
+                        F.when(z["1"].startswith("</"), 0).otherwise(m).alias("m"))
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("pos"), F.lit(-1).alias("end"))
-    end = F.aggregate(parts, start, step, lambda acc: acc["end"])
-    return F.when(end >= 0, F.substring(rest, F.lit(1), end)).otherwise(rest)
+    parts = F.arrays_zip(F.split(markup, tags, -1), F.regexp_extract_all(markup, F.lit(tags), F.lit(0)))
+    marks = F.transform(F.filter(parts, lambda z: z["1"].isNotNull()), mark)
 
+    def state(depth, pos, now, out) -> Column:
+        return F.struct(depth.alias("depth"), pos.alias("pos"), now.alias("now"), out.alias("out"))
 
-def children(inner: Column) -> Column:
-    """array<struct<tag, s, e>>: direct child elements of a content, each with its opening tag and the
-    positions (from 0) of its own content.
+    def item(o, s, e, m) -> Column:
+        return F.array(F.struct(o.alias("o"), s.alias("s"), e.alias("e"), m.alias("m")))
+
+    def step(acc: Column, t: Column) -> Column:
+        depth, now, out = acc["depth"], acc["now"], acc["out"]
+        at = acc["pos"] + t["before"]
+        after = at + t["n"]
+        last = F.get(now, F.size(now) - 1)
+        deeper = F.concat(now, F.array(F.struct((depth + 1).alias("d"), at.alias("o"), after.alias("s"), t["m"].alias("m"))))
+        return F.when((t["kind"] == 0) & (t["m"] == 0), state(depth + 1, after, now, out)) \
+            .when(t["kind"] == 0, state(depth + 1, after, deeper, out)) \
+            .when((t["kind"] == 1) & (last["d"] == depth), state(
+                depth - 1, after, F.slice(now, F.lit(1), F.size(now) - 1),
+                F.concat(out, item(last["o"], last["s"], at, last["m"])))) \
+            .when(t["kind"] == 1, state(F.greatest(depth - 1, F.lit(0)), after, now, out)) \
+            .when(t["m"] > 0, state(depth, after, now, F.concat(out, item(at, after, after, t["m"])))) \
+            .otherwise(state(depth, after, now, out))
+
+    start = state(F.lit(0), F.lit(0), F.array().cast(kind), F.array().cast("array<struct<o:int,s:int,e:int,m:int>>"))
+    return F.aggregate(marks, start, step, lambda acc: F.sort_array(F.concat(acc["out"], F.transform(
+        acc["now"], lambda x: F.struct(x["o"].alias("o"), x["s"].alias("s"), F.length(markup).alias("e"), x["m"].alias("m"))))))
+
+
+def matching(found: Column, bit: int) -> Column:
+    """The elements that match the selector of that bit."""
+    return F.filter(found, lambda x: x["m"].bitwiseAND(F.lit(1 << bit)) != 0)
+
+
+def within(found: Column, outer: Column) -> Column:
+    """The elements that lie in one of ``outer``."""
+    return F.filter(found, lambda x: F.exists(outer, lambda a: (a["s"] <= x["o"]) & (x["o"] < a["e"])))
+
+
+def outermost(found: Column) -> Column:
+    """The elements that lie in none of the others."""
+    return F.filter(found, lambda x: ~F.exists(found, lambda a: (a["s"] <= x["o"]) & (x["o"] < a["e"])))
+
+
+def content(markup: Column, x: Column) -> Column:
+    return F.substring(markup, x["s"] + 1, x["e"] - x["s"])
+
+
+def _walked(inner: Column, finish) -> Column:
+    """Fold over all tags of a content with a stack of open names.
 
     A closing tag closes the nearest open element of its name with everything
     inside; one that matches nothing is passed over.
     """
     parts = F.arrays_zip(F.split(inner, ANY_TAG, -1), F.regexp_extract_all(inner, F.lit(ANY_TAG), F.lit(0)))
-    tags = F.transform(parts, lambda z: F.struct(
+    tags = F.transform(F.filter(parts, lambda z: z["1"].isNotNull()), lambda z: F.struct(
         F.length(z["0"]).alias("before"), z["1"].alias("tag"), F.length(z["1"]).alias("n"),
+        z["1"].startswith("</").alias("close"), z["1"].endswith("/>").alias("empty"),
         F.lower(F.regexp_extract(z["1"], r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1)).alias("name")))
-    no_names = F.array().cast("array<string>")
-    no_items = F.array().cast("array<struct<tag:string,s:int,e:int>>")
+    tags = F.transform(tags, lambda t: F.struct(
+        *[t[c].alias(c) for c in ("before", "tag", "n", "close", "name")],
+        (t["empty"] | t["name"].isin(*VOID)).alias("empty")))
+
+    def state(stack, pos, tag, s, out) -> Column:
+        return F.struct(stack.alias("stack"), pos.alias("pos"), tag.alias("tag"), s.alias("s"), out.alias("out"))
+
+    def item(tag, s, e) -> Column:
+        return F.array(F.struct(tag.alias("tag"), s.alias("s"), e.alias("e")))
 
     def step(acc: Column, t: Column) -> Column:
+        stack, tag, s, out = acc["stack"], acc["tag"], acc["s"], acc["out"]
         at = acc["pos"] + t["before"]
         after = at + t["n"]
-        close = t["tag"].startswith("</")
-        empty = t["name"].isin(*VOID) | t["tag"].endswith("/>")
-        outside = F.size(acc["stack"]) == 0
-        known = close & F.array_contains(acc["stack"], t["name"])
-        left = F.size(acc["stack"]) - F.array_position(F.reverse(acc["stack"]), t["name"])
-        closes = known & (left == 0)
-        stack = (F.when(known, F.slice(acc["stack"], F.lit(1), F.greatest(left, F.lit(0)).cast("int")))
-                 .when(close | empty, acc["stack"]).otherwise(F.concat(acc["stack"], F.array(t["name"]))))
-        opens = ~close & outside
-        item = F.when(closes, F.array(F.struct(acc["tag"].alias("tag"), acc["s"].alias("s"), at.alias("e")))) \
-            .when(opens & empty, F.array(F.struct(t["tag"].alias("tag"), after.alias("s"), after.alias("e"))))
-        return F.when(t["tag"].isNull(), acc).otherwise(F.struct(
-            stack.alias("stack"), after.alias("pos"), F.when(opens, t["tag"]).otherwise(acc["tag"]).alias("tag"),
-            F.when(opens, after).otherwise(acc["s"]).alias("s"),
-            F.when(item.isNotNull(), F.concat(acc["out"], item)).otherwise(acc["out"]).alias("out")))
-
-    start = F.struct(no_names.alias("stack"), F.lit(0).alias("pos"), F.lit("").alias("tag"), F.lit(0).alias("s"),
-                     no_items.alias("out"))
-    return F.aggregate(tags, start, step, lambda acc: F.when(F.size(acc["stack"]) == 0, acc["out"]).otherwise(
-        F.concat(acc["out"], F.array(F.struct(acc["tag"].alias("tag"), acc["s"].alias("s"),
-                                              F.lit(1 << 30).alias("e"))))))
+        left = (F.size(stack) - F.array_position(F.reverse(stack), t["name"])).cast("int")
+        outside = F.size(stack) == 0
+        return F.when(t["close"] & (F.get(stack, F.lit(0)) == t["name"]) & (left == 0), state(
+                F.slice(stack, 1, 0), after, tag, s, F.concat(out, item(tag, s, at)))) \
+            .when(t["close"], state(F.when(F.array_contains(stack, t["name"]), F.slice(stack, F.lit(1), left))
+                                    .otherwise(stack), after, tag, s, out)) \
+            .when(t["empty"], state(stack, after, tag, s, F.when(outside, F.concat(out, item(t["tag"], after, after)))
+                                    .otherwise(out))) \
+            .when(outside, state(F.array(t["name"]), after, t["tag"], after, out)) \
+            .otherwise(state(F.concat(stack, F.array(t["name"])), after, tag, s, out))
+
+    start = state(F.array().cast("array<string>"), F.lit(0), F.lit(""), F.lit(0),
+                  F.array().cast("array<struct<tag:string,s:int,e:int>>"))
+    return F.aggregate(tags, start, step, finish)
+
+
+def children(inner: Column) -> Column:
+    """array<struct<tag, s, e>>: direct child elements of a content, each with its opening tag and the
+    positions (from 0) of its own content."""
+    return _walked(inner, lambda acc: F.when(F.size(acc["stack"]) == 0, acc["out"]).otherwise(F.concat(
+        acc["out"], F.array(F.struct(acc["tag"].alias("tag"), acc["s"].alias("s"), F.lit(1 << 30).alias("e"))))))
+
+
+def closed(inner: Column) -> Column:
+    """Whether every element that a piece of markup opens is closed in it."""
+    return _walked(inner, lambda acc: F.size(acc["stack"]) == 0)
 
 
 def attribute(tag: Column, name: str) -> Column:

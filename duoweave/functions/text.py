@@ -42,7 +42,9 @@ LATIN_LETTERS = r"A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF
 
 _WS_EDGES = rf"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+\z"
 _WS_RUN = rf"{WHITESPACE_CLASS}+"
-TAG_PATTERN = r"<[^>]*>"
+# Tags and declarations.  A bare < is text, a > in a quoted attribute is the attribute's; a quote that is not
+# closed is a character like any other.
+TAG_PATTERN = r"""</?[a-zA-Z](?:=[\t\n\f\r ]*+(?:"[^"]*+"|'[^']*+')|[^>])*+>|<[!?][^>]*+>"""
 
 
 def _chars(spec: str) -> str:

@@ -2,26 +2,29 @@
 
 Steps, each a DataFrame join or aggregation keyed by page:
 
-1. encode both sides into sparse vector rows (``encode``);
+1. encode both sides (``encode``): one row per sentence with its vector;
 2. best match: every Khmer sentence takes the English sentence of its page
-   with the highest cosine, lowest index on ties (an English sentence that
-   shares no component scores 0, so a Khmer sentence without any positive
-   score takes English sentence 0); several Khmer sentences may share one;
+   with the highest cosine, lowest index on ties (a Khmer sentence without any
+   positive score takes English sentence 0); several Khmer sentences may share
+   one;
 3. unused English sentences of the page (anti join);
 4. merge candidates: every (pair, unused sentence) of a page, scored as
    cosine(encode(base + ' ' + unused), khmer).  A pair's base never
    changes before its own turn, so all scores are computed up front, from
-   dot products: M.K = B.K + U.K + J.K and
+   dot products in the row of the candidate: M.K = B.K + U.K + J.K and
    |M|^2 = |B|^2 + |U|^2 + |J|^2 + 2 (B.U + B.J + U.J), J being the
    n-grams across the joining space (none for given vectors);
 5. greedy pick, pairs in Khmer order: each takes its best-scored unused
    sentence still free (lowest index on ties), even when the score falls,
-   and removes it from the pool.  This step is sequential by definition,
-   so it runs per page as one ``aggregate`` over the pairs.  Pair j can lose
-   at most j candidates to earlier pairs, so only its top j+1 candidates are
-   kept: an exact cut, not a cap;
+   and removes it from the pool.  Pairs take their turns in chunks of
+   ``TURNS``; a chunk is one ``aggregate`` in one row.  The r-th pair of a
+   chunk can lose at most r candidates to those before it, so its r+1 best of
+   what earlier chunks left are enough: an exact cut, not a cap;
 6. assemble: English text of pair j = base, plus ' ' + the taken sentence.
 
+A page's pairs are joined by blocks of ``BLOCK`` sentences of either side, so
+that a large page is many join keys.
+
 Alignment changes the English list only; it gets the length of the Khmer
 list.  Unused English sentences not taken by any pair are dropped, as in the
 reference; ``dropped`` returns them for audit.
@@ -38,8 +41,10 @@ from duoweave.session import materialize
 _INT_ARRAY = "array<int>"
 
 
-# English sentences per salt slice of a page in the Khmer x English dot join.
-SALT_SLICE = 256
+# Sentences of one side in a block; a pair of blocks is one join key.
+BLOCK = 256
+# Pairs that take their turns in one row.
+TURNS = 1024
 
 
 def sentences(content: DataFrame, key: str = "page_id") -> DataFrame:
@@ -50,196 +55,124 @@ def sentences(content: DataFrame, key: str = "page_id") -> DataFrame:
     return en.unionByName(km).select(key, "side", "idx", "text", "n_en")
 
 
-def _salts(sent: DataFrame, key: str) -> DataFrame:
-    """(key, salts): number of salt slices of each page (1 unless it has many English sentences)."""
-    if "n_en" in sent.columns:
-        n = sent.groupBy(key).agg(F.max("n_en").alias("n_en"))
-    else:
-        n = sent.filter(F.col("side") == "en").groupBy(key).agg(F.count(F.lit(1)).alias("n_en"))
-    return n.select(key, F.greatest(F.ceil(F.col("n_en") / SALT_SLICE), F.lit(1)).cast("int").alias("salts"))
-
-
 class Vectors:
-    """Vectors of both sides and their squared norms.
-
-    A dense encoder gives ``vecs``, one row per sentence with its vector as an
-    array; a sparse one gives ``rows``, one row per component.
-    """
+    """One row per sentence of either side with its vector (and head and tail, where sentences join)."""
 
     def __init__(self, sent: DataFrame, encoder, key: str = "page_id", text: str = "text",
                  checkpoint: bool = True):
         self.key = key
         self.sent = sent
-        self.dense = encoder.dense
-        make = encoder.vectors if self.dense else encoder.sparse
-        rows = make(sent, [key, "side", "idx"], text)
+        rows = encoder.vectors(sent, [key, "side", "idx"], text)
         failed = encoder.failed_pages() if hasattr(encoder, "failed_pages") else None
         if failed is not None:
             # pages whose encoding failed are not aligned (they keep their lists)
             self.sent = sent.join(failed, key, "left_anti")
-        # vector rows and norms are read by every later join: encode once
+        # read by every later join: encode once
         self.rows = materialize(rows) if checkpoint else rows
-        if self.dense:
-            self.norms = self.rows.select(key, "side", "idx", dot(F.col("vec"), F.col("vec")).alias("nn"))
-        else:
-            norms = self.rows.groupBy(key, "side", "idx").agg(F.sum(F.col("val") * F.col("val")).alias("nn"))
-            self.norms = materialize(norms) if checkpoint else norms
-        self.salts = _salts(sent, key)
 
-    def side_vecs(self, side: str, idx: str, vec: str) -> DataFrame:
+    def side(self, side: str, idx: str, vec: str, *more: str) -> DataFrame:
+        """(key, idx, vec, more...) of one side."""
         return self.rows.filter(F.col("side") == side).select(
-            self.key, F.col("idx").alias(idx), F.col("vec").alias(vec))
+            self.key, F.col("idx").alias(idx), F.col("vec").alias(vec), *more)
+
+    def side_vecs(self, side: str, idx: str, vec: str) -> DataFrame:
+        return self.side(side, idx, vec)
 
-    def side_rows(self, side: str, idx: str, val: str) -> DataFrame:
-        return self.rows.filter(F.col("side") == side).select(
-            self.key, F.col("idx").alias(idx), "bucket", F.col("val").alias(val))
 
-    def side_norms(self, side: str, idx: str, nn: str) -> DataFrame:
-        return self.norms.filter(F.col("side") == side).select(
-            self.key, F.col("idx").alias(idx), F.col("nn").alias(nn))
+def blocks_of(rows: DataFrame, key: str, idx: str, out: str) -> DataFrame:
+    """(key, out): the blocks of ``BLOCK`` sentences that each page's rows fall in, as an array."""
+    block = F.floor(F.col(idx) / BLOCK).cast("int")
+    return rows.select(key, block.alias("_b")).groupBy(key).agg(F.sort_array(F.collect_set("_b")).alias(out))
 
 
-def km_en_dots(v: Vectors) -> DataFrame:
-    """(key, j, i, d): dot products of Khmer j and English i sharing a component.
+def block_join(left: DataFrame, right: DataFrame, key: str, left_idx: str, right_idx: str) -> DataFrame:
+    """Every left row with every right row of its page, joined on (page, left block, right block).
 
-    The join key is (page, bucket, salt): English rows of a page with many
-    sentences are spread over ``salts`` slices (i mod salts) and its Khmer
-    rows are repeated once per slice, so one large page is split over many
-    tasks; ordinary pages have one slice and nothing is repeated.  Dense
-    vectors meet once per pair, on (page, salt), and are multiplied in the row.
+    Each row is repeated once per block that its page has on the other side; a
+    page of one block on each side, which is nearly every page, is not repeated.
     """
-    k = v.key
-    if v.dense:
-        km = v.side_vecs("km", "j", "kv").join(v.salts, k) \
-            .select(k, "j", "kv", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        en = v.side_vecs("en", "i", "ev").join(v.salts, k) \
-            .select(k, "i", "ev", F.pmod(F.col("i"), F.col("salts")).alias("salt"))
-        return km.join(en, [k, "salt"]).select(k, "j", "i", dot(F.col("kv"), F.col("ev")).alias("d"))
-    km = v.side_rows("km", "j", "kv").join(v.salts, k) \
-        .select(k, "j", "bucket", "kv", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    en = v.side_rows("en", "i", "ev").join(v.salts, k) \
-        .select(k, "i", "bucket", "ev", F.pmod(F.col("i"), F.col("salts")).alias("salt"))
-    return (km.join(en, [k, "bucket", "salt"])
-            .groupBy(k, "j", "i").agg(F.sum(F.col("kv") * F.col("ev")).alias("d")))
-
-
-def best_matches(v: Vectors, dots: DataFrame | None = None) -> DataFrame:
+    block = lambda c: F.floor(F.col(c) / BLOCK).cast("int")
+    lefts = left.join(blocks_of(right, key, right_idx, "_bs"), key) \
+        .select(*left.columns, block(left_idx).alias("_lb"), F.explode("_bs").alias("_rb"))
+    rights = right.join(blocks_of(left, key, left_idx, "_bs"), key) \
+        .select(*right.columns, F.explode("_bs").alias("_lb"), block(right_idx).alias("_rb"))
+    return lefts.join(rights, [key, "_lb", "_rb"]).drop("_lb", "_rb")
+
+
+def best_matches(v: Vectors) -> DataFrame:
     """Per Khmer sentence the best English one: (key, j, i, score, d, nk, nb).
 
     ``d`` is the dot product of the pair, ``nk`` / ``nb`` the squared norms of
     the Khmer sentence and of its base (carried for the merge step).
     """
     k = v.key
-    dots = dots if dots is not None else km_en_dots(v)
-    scored = (dots.join(v.side_norms("km", "j", "nk"), [k, "j"])
-              .join(v.side_norms("en", "i", "ne"), [k, "i"])
-              .select(k, "j", "i", "d", ratio(F.col("d"), F.col("nk"), F.col("ne")).alias("score")))
-    best = scored.groupBy(k, "j").agg(F.max(F.struct(
-        F.col("score"), (-F.col("i")).alias("neg_i"), F.col("d"))).alias("m"))
+    km = v.side("km", "j", "kv").withColumn("nk", dot(F.col("kv"), F.col("kv")))
+    en = v.side("en", "i", "ev").withColumn("nb", dot(F.col("ev"), F.col("ev")))
+    scored = block_join(km, en, k, "j", "i").select(k, "j", "i", "nk", "nb", dot(F.col("kv"), F.col("ev")).alias("d")) \
+        .withColumn("score", ratio(F.col("d"), F.col("nk"), F.col("nb")))
+    best = scored.groupBy(k, "j").agg(F.max(F.struct("score", (-F.col("i")).alias("neg_i"), "d", "nk", "nb")).alias("m"))
     kms = v.sent.filter(F.col("side") == "km").select(k, F.col("idx").alias("j"))
-    picked = kms.join(best, [k, "j"], "left").select(
-        k, "j",
-        F.coalesce(-F.col("m.neg_i"), F.lit(0)).alias("i"),
-        F.coalesce(F.col("m.score"), F.lit(0.0)).alias("score"),
-        F.coalesce(F.col("m.d"), F.lit(0)).alias("d"))
-    return (picked.join(v.side_norms("km", "j", "nk"), [k, "j"], "left")
-            .join(v.side_norms("en", "i", "nb"), [k, "i"], "left")
-            .select(k, "j", "i", "score", "d",
-                    F.coalesce("nk", F.lit(0)).alias("nk"), F.coalesce("nb", F.lit(0)).alias("nb")))
+    m = F.col("m")
+    return kms.join(best, [k, "j"], "left").select(
+        k, "j", F.coalesce(-m["neg_i"], F.lit(0)).alias("i"),
+        *[F.coalesce(m[c], F.lit(0.0)).alias(c) for c in ("score", "d", "nk", "nb")])
 
 
 def unused_english(v: Vectors, best: DataFrame) -> DataFrame:
-    """English sentences no Khmer sentence matched: (key, i, nu) with nu the squared norm."""
+    """English sentences no Khmer sentence matched: (key, i)."""
     k = v.key
     en = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"))
-    pool = en.join(best.select(k, "i").distinct(), [k, "i"], "left_anti")
-    return pool.join(v.side_norms("en", "i", "nu"), [k, "i"], "left").select(
-        k, "i", F.coalesce("nu", F.lit(0)).alias("nu"))
+    return en.join(best.select(k, "i").distinct(), [k, "i"], "left_anti")
 
 
-def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder,
-                     dots: DataFrame | None = None) -> DataFrame:
+def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder) -> DataFrame:
     """(key, j, b, base_score, u, score) for every pair and unused sentence."""
     k = v.key
-    dots = dots if dots is not None else km_en_dots(v)
-    cands = best.select(k, "j", F.col("i").alias("b"), F.col("score").alias("base_score"),
-                        F.col("d").alias("bk"), "nk", "nb") \
-        .join(unused.select(k, F.col("i").alias("u"), "nu"), k)
-    uk = dots.select(k, "j", F.col("i").alias("u"), F.col("d").alias("uk"))
-    keys = cands.select(k, "b", "u").distinct()
-    if v.dense:
-        scored = _merged_as_text(v, cands, keys, encoder)
-        if scored is not None:
-            return scored
-        bu = (keys.join(v.side_vecs("en", "b", "bv"), [k, "b"]).join(v.side_vecs("en", "u", "uv"), [k, "u"])
-              .select(k, "b", "u", dot(F.col("bv"), F.col("uv")).alias("bu")))
-    else:
-        bu = (v.side_rows("en", "b", "bv").join(keys, [k, "b"])
-              .join(v.side_rows("en", "u", "uv"), [k, "u", "bucket"])
-              .groupBy(k, "b", "u").agg(F.sum(F.col("bv") * F.col("uv")).alias("bu")))
-    out = cands.join(uk, [k, "j", "u"], "left").join(bu, [k, "b", "u"], "left")
-    zero = F.lit(0)
-    jk = jj = bj = uj = zero
-    junction = None
-    if encoder.has_junction:
-        texts = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"), "text")
-        junction = encoder.junction(
-            keys.join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"])
-            .join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"]),
-            [k, "b", "u"], "bt", "ut")
-    if junction is not None:
-        # one lookup join for J.B, J.U and J.K_j: each junction n-gram asks
-        # three (side, idx, bucket) keys of the sparse vector rows
-        cj = cands.select(k, "j", "b", "u").join(
-            junction.select(k, "b", "u", "bucket", F.col("val").alias("jv")), [k, "b", "u"])
-        asks = cj.select(k, "j", "u", "bucket", "jv", F.inline(F.array(
-            F.struct(F.lit("b").alias("role"), F.lit("en").alias("side"), F.col("b").alias("idx")),
-            F.struct(F.lit("u").alias("role"), F.lit("en").alias("side"), F.col("u").alias("idx")),
-            F.struct(F.lit("k").alias("role"), F.lit("km").alias("side"), F.col("j").alias("idx")))))
-        hits = asks.join(v.rows, [k, "side", "idx", "bucket"]).groupBy(k, "j", "u").agg(
-            *[F.sum(F.when(F.col("role") == r, F.col("jv") * F.col("val")).otherwise(zero)).alias(n)
-              for r, n in (("b", "bj"), ("u", "uj"), ("k", "jk"))])
-        selfdot = cj.groupBy(k, "j", "u").agg(F.sum(F.col("jv") * F.col("jv")).alias("jj"))
-        out = out.join(selfdot, [k, "j", "u"], "left").join(hits, [k, "j", "u"], "left")
-        jk, jj, bj, uj = (F.coalesce(F.col(c), zero) for c in ("jk", "jj", "bj", "uj"))
-    c0 = {c: F.coalesce(F.col(c), zero) for c in ("uk", "bu")}
-    mk = F.col("bk") + c0["uk"] + jk
-    mm = F.col("nb") + F.col("nu") + jj + 2 * (c0["bu"] + bj + uj)
-    return out.select(k, "j", "b", "base_score", "u", ratio(mk, mm, F.col("nk")).alias("score"))
-
-
-def _merged_as_text(v: Vectors, cands: DataFrame, keys: DataFrame, encoder) -> DataFrame | None:
+    pairs = best.select(k, "j", F.col("i").alias("b"), F.col("score").alias("base_score"), F.col("d").alias("bk"), "nk", "nb")
+    pool = unused.select(k, F.col("i").alias("u"))
+    merged = _merged_as_text(v, pairs, pool, encoder)
+    if merged is not None:
+        return merged
+    more = encoder.has_junction
+    pairs = pairs.join(v.side("en", "b", "bv", *["tail"] * more), [k, "b"]).join(v.side("km", "j", "kv"), [k, "j"])
+    pool = pool.join(v.side("en", "u", "uv", *["head"] * more), [k, "u"]).withColumn("nu", dot(F.col("uv"), F.col("uv")))
+    out = block_join(pairs, pool, k, "j", "u")
+    jk = jj = bj = uj = F.lit(0.0)
+    if more:
+        out = out.withColumn("_j", encoder.junction(F.col("tail"), F.col("head")))
+        at = lambda vec: F.aggregate("_j", F.lit(0.0), lambda s, x: s + F.get(F.col(vec), x))
+        jk, bj, uj = at("kv"), at("bv"), at("uv")
+        jj = F.aggregate("_j", F.lit(0.0), lambda s, x: s + F.size(F.filter("_j", lambda y: y == x)))
+    mk = F.col("bk") + dot(F.col("uv"), F.col("kv")) + jk
+    mm = F.col("nb") + F.col("nu") + jj + 2 * (dot(F.col("bv"), F.col("uv")) + bj + uj)
+    return out.select(k, "j", "b", "base_score", "u", "nk", mk.alias("mk"), mm.alias("mm")) \
+        .select(k, "j", "b", "base_score", "u", ratio(F.col("mk"), F.col("mm"), F.col("nk")).alias("score"))
+
+
+def _merged_as_text(v: Vectors, pairs: DataFrame, pool: DataFrame, encoder) -> DataFrame | None:
     """Candidates scored by the encoder's vector of each distinct merged text; None if it has none."""
     k = v.key
     if "text" not in v.sent.columns:
         return None
     texts = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"), "text")
-    joint = keys.join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"]) \
-        .join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"]) \
-        .select(k, "b", "u", F.concat_ws(" ", "bt", "ut").alias("merged"))
+    bases = pairs.select(k, "b").distinct().join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"])
+    rest = pool.join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"])
+    joint = block_join(bases, rest, k, "b", "u").select(k, "b", "u", F.concat_ws(" ", "bt", "ut").alias("merged"))
     vecs = encoder.merged(joint, [k, "b", "u"], "merged")
     if vecs is None:
         return None
-    rows = cands.join(vecs.withColumnRenamed("vec", "mv"), [k, "b", "u"], "left") \
+    rows = block_join(pairs, pool, k, "j", "u").join(vecs.withColumnRenamed("vec", "mv"), [k, "b", "u"], "left") \
         .join(v.side_vecs("km", "j", "kv"), [k, "j"])
     score = F.when(F.col("mv").isNull(), F.lit(0.0)).otherwise(
         ratio(dot(F.col("mv"), F.col("kv")), dot(F.col("mv"), F.col("mv")), F.col("nk")))
     return rows.select(k, "j", "b", "base_score", "u", score.alias("score"))
 
 
-def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
-                 only_if_better: bool = False) -> DataFrame:
-    """Sequential greedy pick per page: (key, j, b, base_score, u, score).
-
-    ``u`` is -1 when the pool was empty at the pair's turn; ``score`` is then
-    the best-match score.  With ``only_if_better`` a pair only takes a
-    sentence that raises its score.
-    """
-    if only_if_better:
-        cands = cands.filter(F.col("score") > F.col("base_score"))
-    # exact cut: pair j can lose at most j candidates to earlier pairs
+def _turns(best: DataFrame, cands: DataFrame, key: str, first: int) -> DataFrame:
+    """The picks of up to ``TURNS`` pairs of each page, from pair ``first`` on, in one row per page."""
     w = Window.partitionBy(key, "j").orderBy(F.col("score").desc(), F.col("u").asc())
-    top = cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("j") + 1)
+    top = cands.withColumn("_r", F.row_number().over(w)) \
+        .filter((F.col("_r") <= TURNS) & (F.col("_r") <= F.col("j") - first + 1))
     ranked = top.groupBy(key, "j").agg(
         F.sort_array(F.collect_list(F.struct(F.col("_r").alias("r"),
                                              F.col("u").cast("int").alias("u"), "score")))
@@ -262,6 +195,35 @@ def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
         u.alias("u"), F.coalesce(hit["score"], F.col("p.base_score")).alias("score"))
 
 
+def greedy_merge(best: DataFrame, cands: DataFrame, key: str = "page_id",
+                 only_if_better: bool = False) -> DataFrame:
+    """Sequential greedy pick per page: (key, j, b, base_score, u, score).
+
+    ``u`` is -1 when the pool was empty at the pair's turn; ``score`` is then
+    the best-match score.  With ``only_if_better`` a pair only takes a
+    sentence that raises its score.
+
+    Pages of up to ``TURNS`` pairs are done in one pass.  Larger ones go on in
+    further passes over what is left of them: the next pairs, with the
+    candidates that no earlier pair took.
+    """
+    if only_if_better:
+        cands = cands.filter(F.col("score") > F.col("base_score"))
+    last = best.agg(F.max("j")).first()[0] or 0
+    if last < TURNS:
+        return _turns(best, cands, key, 0)
+    cands = materialize(cands)
+    done = None
+    for first in range(0, last + 1, TURNS):
+        now = F.col("j").between(first, first + TURNS - 1)
+        free = cands.filter(now)
+        if done is not None:
+            free = free.join(done.filter("u >= 0").select(key, "u"), [key, "u"], "left_anti")
+        picks = materialize(_turns(best.filter(now), free, key, first))
+        done = picks if done is None else done.unionByName(picks)
+    return done
+
+
 def assemble(content: DataFrame, picks: DataFrame, key: str = "page_id") -> DataFrame:
     """content rows needing alignment + picks -> aligned content (English of length #Khmer)."""
     per_page = picks.groupBy(key).agg(
@@ -285,20 +247,17 @@ def align_steps(sent: DataFrame, encoder, key: str = "page_id", only_if_better:
                 checkpoint: bool = True):
     """All intermediate frames of the alignment of sentence rows (key, side, idx, text/vec).
 
-    With ``checkpoint`` the vector rows, norms and Khmer-English dot products
-    (each read by several joins) are written once to the checkpoint folder.
+    With ``checkpoint`` the vector rows and best matches (each read by several
+    joins) are written once to the checkpoint folder.
     """
     v = Vectors(sent, encoder, key, checkpoint=checkpoint)
-    dots = km_en_dots(v)
-    if checkpoint:
-        dots = materialize(dots)
-    best = best_matches(v, dots)
+    best = best_matches(v)
     if checkpoint:
         best = materialize(best)
     pool = unused_english(v, best)
-    cands = merge_candidates(v, best, pool, encoder, dots)
+    cands = merge_candidates(v, best, pool, encoder)
     picks = greedy_merge(best, cands, key, only_if_better)
-    return {"vectors": v, "dots": dots, "best": best, "unused": pool, "candidates": cands, "picks": picks}
+    return {"vectors": v, "best": best, "unused": pool, "candidates": cands, "picks": picks}
 
 
 def align_pages(content: DataFrame, encoder=None, key: str = "page_id",

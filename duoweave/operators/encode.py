@@ -1,19 +1,15 @@
-"""Sentence encoders as sparse vector rows.
+"""Sentence encoders: one vector per sentence, as an array in its row.
 
-An encoder turns sentences ``(keys..., text)`` into rows
-``(keys..., bucket, val)``: one row per non-zero component.  Dot products,
-norms and cosines are then joins on the component id plus sums, all native
-and codegen'd; only sentence pairs that share a component meet in a join.
+Dot products, norms and cosines are taken inside the row of a sentence or of a
+pair, native; nothing is exploded.
 
-``NgramEncoder`` (default, no model): character n-grams hashed into
-``dims`` buckets and counted (explode + groupBy, combined map-side).  The
-vector of "a + ' ' + b" is vec(a) + vec(b) + vec(J), J being the (at most
-n) n-grams that cross the joining space, so merge candidates never have to
-be re-encoded.
+``NgramEncoder`` (default, no model): character n-grams hashed into ``dims``
+buckets and counted in the row.  The vector of "a + ' ' + b" is vec(a) +
+vec(b) + vec(J), J being the (at most n) n-grams that cross the joining space,
+so merge candidates never have to be re-encoded.
 
-``GivenVectors``: dense vectors already in the data; one row per sentence
-holds its vector as an array, and dot products are taken inside the row of a
-pair; a merged sentence is the sum of its parts.
+``GivenVectors``: vectors already in the data; a merged sentence is the sum of
+its parts.
 
 ``ModelEncoder``: a user's sentence model behind an iterator pandas UDF
 (model loaded once per Python worker, Arrow batches), producing given
@@ -52,34 +48,52 @@ def dot(a: Column, b: Column) -> Column:
 
 
 class NgramEncoder:
-    """Hashed character n-gram counts."""
+    """Hashed character n-gram counts.
+
+    The hash is a polynomial of the code points, modulo ``HASH_MODULUS``; its
+    terms are added before the one modulo, which 64 bits hold for 3 code points.
+    """
 
     kind = "ngram"
-    dense = False
     has_junction = True
 
     def __init__(self, n: int = NGRAM, dims: int = DIMS):
+        if n > 3:
+            raise ValueError("n-grams of more than 3 characters don't fit the hash")
         self.n = n
         self.dims = dims
 
-    def gram_bucket(self, g: Column) -> Column:
-        h = F.lit(0).cast("bigint")
-        for k in range(self.n):
-            cp = F.ascii(F.substring(g, k + 1, 1)).cast("bigint")
-            h = F.pmod(h * HASH_MULTIPLIER + cp, F.lit(HASH_MODULUS).cast("bigint"))
-        return F.pmod(h, F.lit(self.dims).cast("bigint"))
+    def buckets(self, text: Column) -> Column:
+        """array<int>: bucket of every n-gram of a text (whole text, code points); empty if it is shorter than n."""
+        points = F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c).cast("bigint"))
 
-    def grams(self, text: Column) -> Column:
-        """All overlapping n-grams of a text (whole text, code points)."""
-        return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{self.n}}}))"), F.lit(1))
+        def bucket(cs: Column, i: Column) -> Column:
+            h = F.lit(0).cast("bigint")
+            for k in range(self.n):
+                h = h + F.get(cs, i + k) * F.lit(HASH_MULTIPLIER ** (self.n - 1 - k))
+            return F.pmod(F.pmod(h, F.lit(HASH_MODULUS).cast("bigint")), F.lit(self.dims).cast("bigint")).cast("int")
 
-    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-        """(keys..., text) -> (keys..., bucket, val): counts of hashed n-grams."""
+        # The code points are bound as one element, so that the lambda over places does not derive them again.
+        return F.flatten(F.transform(F.array(points), lambda cs: F.transform(
+            F.when(F.size(cs) >= self.n, F.sequence(F.lit(0), F.size(cs) - self.n)).otherwise(F.array().cast("array<int>")),
+            lambda i: bucket(cs, i))))
+
+    def counts(self, buckets: Column) -> Column:
+        """array<double> of length ``dims``: how often each bucket is there."""
+        return F.flatten(F.transform(F.array(buckets), lambda bs: F.transform(
+            F.sequence(F.lit(0), F.lit(self.dims - 1)),
+            lambda b: (F.size(bs) - F.size(F.array_remove(bs, b))).cast("double"))))
+
+    def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+        """(keys..., vec, head, tail): one row per sentence; head and tail are what a junction needs."""
         t = F.coalesce(F.col(text), F.lit(""))
-        return (sentences.filter(F.length(t) >= self.n)
-                .select(*keys, F.explode(self.grams(t)).alias("_g"))
-                .select(*keys, self.gram_bucket(F.col("_g")).alias("bucket"))
-                .groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("val")))
+        return sentences.select(*keys, self.buckets(t).alias("_b"), self.head(t).alias("head"), self.tail(t).alias("tail")) \
+            .select(*keys, self.counts(F.col("_b")).alias("vec"), "head", "tail")
+
+    def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+        """(keys..., bucket, val): the non-zero components as rows, for use outside the alignment."""
+        vecs = self.vectors(sentences, keys, text).select(*keys, F.posexplode("vec").alias("bucket", "val"))
+        return vecs.filter(F.col("val") > 0).withColumn("val", F.col("val").cast("bigint"))
 
     def head(self, text: Column) -> Column:
         return F.substring(text, 1, self.n - 1)
@@ -88,21 +102,18 @@ class NgramEncoder:
         k = self.n - 1
         return F.when(F.length(text) >= k, F.substring(text, -k, k)).otherwise(text)
 
-    def junction(self, pairs: DataFrame, keys: list[str], left_text: str, right_text: str) -> DataFrame | None:
-        """(keys..., bucket, val) of the n-grams crossing "left + ' ' + right"."""
-        joint = F.concat(self.tail(F.col(left_text)), F.lit(" "), self.head(F.col(right_text)))
-        grams = F.filter(F.array(*[F.when(F.length(joint) >= k + self.n - 1, F.substring(joint, k, self.n))
-                                   for k in range(1, self.n + 1)]), lambda g: g.isNotNull())
-        return (pairs.select(*keys, F.explode(grams).alias("_g"))
-                .select(*keys, self.gram_bucket(F.col("_g")).alias("bucket"))
-                .groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("val")))
+    def junction(self, tail: Column, head: Column) -> Column:
+        """array<int>: buckets of the n-grams crossing "left + ' ' + right"."""
+        return self.buckets(F.concat(tail, F.lit(" "), head))
+
+    def merged(self, texts: DataFrame, keys: list[str], text: str) -> DataFrame | None:
+        return None
 
 
 class GivenVectors:
     """Dense vectors already in the data; merged sentence = sum of the vectors."""
 
     kind = "given"
-    dense = True
     has_junction = False
 
     def __init__(self, column: str = "vec", dims: int | None = None):
@@ -121,15 +132,6 @@ class GivenVectors:
         """(keys..., vec) of merged sentences; None where they are the sums of their parts."""
         return None
 
-    def head(self, text: Column) -> Column:
-        return F.lit("")
-
-    def tail(self, text: Column) -> Column:
-        return F.lit("")
-
-    def junction(self, pairs: DataFrame, keys: list[str], left_text: str, right_text: str) -> DataFrame | None:
-        return None
-
 
 class ModelEncoder(GivenVectors):
     """A user's sentence model behind an iterator pandas UDF.

@@ -18,10 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duoweave.functions.markup import Sel, attribute, balanced, visible
+from duoweave.functions.markup import Sel, attribute, content, elements, visible
 from duoweave.functions.text import strip_ws
 from duoweave.functions.urls import absolute_url, normalize_link
-from duoweave.operators.layout import inside
 from duoweave.operators.pairs import running_sums
 from duoweave.session import materialize
 
@@ -44,13 +43,13 @@ def container_links(pages: DataFrame, container: Sel = BLOG_CONTAINER, cell: Sel
     Container and cells end at their own closing tags.
     """
     s0 = pages.select(F.col(key).alias("_key"), visible(F.coalesce(F.col(html), F.lit(""))).alias("_html"))
-    s1 = inside(s0, "_html", (container,), "_region")
-    pieces = F.split("_region", cell.open(), -1)
-    pieces = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
-    cells = F.transform(pieces, lambda p: balanced(p, cell.tag))
-    tags = F.transform(cells, lambda p: F.regexp_extract(p, f"({ANCHOR.open()})", 1))
+    s1 = s0.withColumn("_at", F.get(elements(F.col("_html"), container.tag, (container,)), 0)) \
+        .withColumn("_region", content(F.col("_html"), F.col("_at"))) \
+        .withColumn("_cells", elements(F.col("_region"), cell.tag, (cell,)))
+    tags = F.transform("_cells", lambda x: F.regexp_extract(content(F.col("_region"), x), f"({ANCHOR.open()})", 1))
     hrefs = F.transform(tags, lambda t: attribute(t, "href"))
-    return (s1.select("_key", F.posexplode(hrefs).alias("pos", "href")).filter(F.col("href").isNotNull())
+    # The outer form, so that no filter with a copy of the extraction is inferred (see layout.rows_of).
+    return (s1.select("_key", F.posexplode_outer(hrefs).alias("pos", "href")).filter(F.col("href").isNotNull())
             .select(F.col("_key").alias(key), "pos", "href"))
 
 
@@ -83,7 +82,7 @@ def page_anchors(pages: DataFrame, key: str = "page_id", html: str = "html",
     """(key, url, pos, href): every anchor href of every page, document order, decoded."""
     tags = F.regexp_extract_all(visible(F.coalesce(F.col(html), F.lit(""))), F.lit(ANCHOR.open()), F.lit(0))
     hrefs = F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
-    return pages.select(key, url, F.posexplode(hrefs).alias("pos", "href"))
+    return pages.select(key, url, F.posexplode_outer(hrefs).alias("pos", "href")).filter(F.col("pos").isNotNull())
 
 
 def prefix_links(pages: DataFrame, prefix: str = NEWS_PREFIX, key: str = "page_id",

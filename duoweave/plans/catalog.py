@@ -6,6 +6,7 @@ Integer outputs are bigint, scores are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,15 @@ from duoweave.operators import listing as LS
 from duoweave.operators.encode import GivenVectors, NgramEncoder
 from duoweave.operators.fetch import fetched_content, usable_response
 from duoweave.functions.markup import Sel
-from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, extract
+from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, extract, rows_of
 from duoweave.operators.pairs import numbered_pairs, run_summary, to_pairs
 from duoweave.operators.route import dedup_blocks, route
 from duoweave.plans import fixtures as X
 from duoweave.plans import oracle as O
 from duoweave.plans.corpus import bi_content, corpus_pairs, fetch_pairs
+from duoweave.session import ensure_checkpoint_dir, materialize
+from duoweave.sources import commits
 from duoweave.sources.listing import parse_listing
-from duoweave.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -248,6 +250,47 @@ def hard_fallback_layout(spark, sf):
     return e.select("page_id", F.posexplode("fallback").alias("i", "text"))
 
 
+@register("multi_container", O.with_ctes(O.DOC_LINES) + f"""
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos % 4, pos) - 1)::BIGINT AS i, text
+FROM (SELECT doc_id AS page_id, pos, {O.clean('line')} AS text FROM doc_lines) WHERE length(text) >= 3""")
+def multi_container(spark, sf):
+    """Blocks of all containers of a page, some inside each other; the oracle reads the documents."""
+    return rows_of(extract(X.multi_pages(spark, sf), NEWS_LAYOUT), "blocks")
+
+
+@register("multi_fallback", O.with_ctes(O.DOC_LINES) + f"""
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY kind, pos) - 1)::BIGINT AS i, text FROM (
+  SELECT doc_id AS page_id, text, min(pos % 4) AS kind, arg_min(pos, (pos % 4) * 1000000 + pos) AS pos
+  FROM (SELECT doc_id, pos, {O.clean('line')} AS text FROM doc_lines WHERE pos % 4 IN (1, 2))
+  WHERE text <> '' GROUP BY doc_id, text)""")
+def multi_fallback(spark, sf):
+    """The first inner container whose parent is an outer one, after others that are not; the oracle reads the documents."""
+    return rows_of(extract(X.multi_pages(spark, sf, fallback=True), NEWS_LAYOUT), "fallback")
+
+
+@register("nested_blocks", O.with_ctes(O.DOC_LINES) + f"""
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos, nth) - 1)::BIGINT AS i, text FROM (
+  SELECT doc_id AS page_id, pos, nth, {O.clean("CASE WHEN pos % 3 = 1 AND nth = 1 THEN line || ' inner' ELSE line END")} AS text
+  FROM doc_lines, (SELECT unnest([0, 1]) AS nth) WHERE nth = 0 OR pos % 3 <> 0)
+WHERE length(text) >= 3""")
+def nested_blocks(spark, sf):
+    """A block in a block gives its own first paragraph and is searched by the outer one; the oracle reads the documents."""
+    return rows_of(extract(X.nested_pages(spark, sf), NEWS_LAYOUT), "blocks")
+
+
+@register("bare_angle", O.with_ctes(O.DOC_LINES) + f"""
+SELECT page_id, kind, (row_number() OVER (PARTITION BY page_id, kind ORDER BY pos) - 1)::BIGINT AS i, text FROM (
+  SELECT doc_id AS page_id, 'main' AS kind, pos, {O.clean("line || ' < twoboldit'")} AS text FROM doc_lines
+  UNION ALL
+  SELECT doc_id, 'fallback', min(pos), text
+  FROM (SELECT doc_id, pos, {O.clean("line || ' < two bold it'")} AS text FROM doc_lines) GROUP BY doc_id, text)""")
+def bare_angle(spark, sf):
+    """A bare < is text, a > in a quoted attribute is not the tag's end; the oracle reads the documents."""
+    main = rows_of(extract(X.angle_pages(spark, sf), NEWS_LAYOUT), "blocks").withColumn("kind", F.lit("main"))
+    rest = rows_of(extract(X.angle_pages(spark, sf, fallback=True), NEWS_LAYOUT), "fallback")
+    return main.unionByName(rest.withColumn("kind", F.lit("fallback")))
+
+
 @register("page_title", f"""
 SELECT page_id, {O.article_title('html')} AS title FROM pages""")
 def page_title(spark, sf):
@@ -261,7 +304,7 @@ FROM (SELECT page_id, {O.article_blocks('html')} AS b FROM pages) q, unnest(q.b)
 def page_blocks(spark, sf):
     """Paragraph blocks of the article layout, cleaned, at least 3 characters."""
     e = extract(X.table(spark, sf, "pages"), ARTICLE_LAYOUT)
-    return e.select("page_id", F.posexplode("blocks").alias("pos", "text"))
+    return rows_of(e, "blocks", "pos")
 
 
 @register("main_layout", O.with_ctes(O.BI_DOCS, O.BI_EXTRACTED) + """
@@ -275,7 +318,7 @@ def main_layout(spark, sf):
     title = F.when(F.col("title") != "", F.array(F.struct(F.lit(-1).alias("pos"), F.col("title").alias("text")))) \
         .otherwise(F.array().cast("array<struct<pos:int,text:string>>"))
     blocks = F.transform("blocks", lambda t, i: F.struct(i.alias("pos"), t.alias("text")))
-    return e.select("page_id", "has_blocks", F.inline(F.concat(title, blocks))) \
+    return e.select("page_id", "has_blocks", F.inline_outer(F.concat(title, blocks))).filter("pos IS NOT NULL") \
         .select("page_id", "pos", "text", "has_blocks")
 
 
@@ -471,6 +514,25 @@ def append_ids(spark, sf):
         second.select(F.lit(1).alias("batch"), "page_id", "i", "id"))
 
 
+@register("append_commit", O.with_ctes(*_BI_ALL, _PAIRS_SQL) + """
+SELECT page_id % 3 AS batch, page_id, i,
+       ((SELECT count(*) FROM pairs q WHERE q.page_id % 3 < p.page_id % 3)
+        + row_number() OVER (PARTITION BY page_id % 3 ORDER BY page_id, i))::BIGINT AS id
+FROM pairs p""")
+def append_commit(spark, sf):
+    """Appends as transactions, with a stage that is given up, two writers at once and a repeated run."""
+    content = bi_content(spark, sf, aligned=True)
+    part = [content.filter(F.col("page_id") % 3 == b) for b in range(3)]
+    table = f"{ensure_checkpoint_dir(spark)}/tables/commits-{uuid.uuid4().hex}"
+    commits.append(part[0], table, run="first")
+    commits.stage(part[1], table)
+    one, two = commits.stage(part[1], table), commits.stage(part[2], table)
+    commits.publish(spark, table, one)
+    commits.publish(spark, table, two)
+    commits.append(part[0], table, run="first")
+    return commits.read(spark, table).select((F.col("page_id") % 3).alias("batch"), "page_id", "i", "id")
+
+
 @register("run_summary", O.with_ctes(*_BI_ALL) + """
 SELECT count(*)::BIGINT AS pages, coalesce(sum(len(english)), 0)::BIGINT AS english_texts,
        coalesce(sum(len(khmer)), 0)::BIGINT AS khmer_texts FROM bi_final""")

@@ -151,6 +151,76 @@ def hard_pages(spark: SparkSession, sf_dir: str, fallback: bool = False) -> Data
     return d.select("page_id", F.concat(F.lit("<html><body>" + before), body, F.lit(after + "</body></html>")).alias("html"))
 
 
+def _body(sf: DataFrame, parts: list) -> DataFrame:
+    return sf.select("page_id", F.concat(F.lit("<html><body>"), *parts, F.lit("</body></html>")).alias("html"))
+
+
+def _line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("page_id"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
+
+
+def multi_pages(spark: SparkSession, sf_dir: str, fallback: bool = False) -> DataFrame:
+    """(page_id, html): a document's lines dealt to several containers by line number.
+
+    Main layout: four scopes in two outer containers (one scope holds another
+    outer container), and blocks outside of any.  Fallback: an outer container
+    without a direct inner one before the one that has it.
+    """
+    d = _line_pages(spark, sf_dir)
+
+    def lines(n: int, before: str, after: str):
+        kept = F.filter(F.transform("lines", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda v: v["i"] % 4 == n)
+        return F.array_join(F.transform(kept, lambda v: F.concat(F.lit(before), _esc(v["x"]), F.lit(after))), "")
+
+    if fallback:
+        return _body(d, [
+            F.lit('<div class="postbox__content"><section><div class="postbox__text">'), lines(0, "<div>", "</div>"),
+            F.lit('</div></section></div><div class="postbox__text"><div>no parent</div></div><div class="postbox__content">'
+                  '<p>lead</p><div class="x"><div class="postbox__text"><div>too deep</div></div></div>'
+                  '<div class="postbox__text">'), lines(1, "<div>", "</div>"), lines(2, "<div><i>", "</i></div>"),
+            F.lit('</div><div class="postbox__text"><div>second</div></div></div>'), lines(3, "<p>", "</p>")])
+    block = ('<div id="paragraphBlock"><p>', "</p></div>")
+    return _body(d, [
+        F.lit('<div class="article-content"><div class="page-description">'), lines(0, *block),
+        F.lit('</div><div><div class="wide page-description">'), lines(1, *block),
+        F.lit('<div class="article-content">'), lines(2, *block), F.lit('</div></div></div></div>'
+              '<div class="page-description"><div id="paragraphBlock"><p>no outer container</p></div></div>'
+              '<div class="article-content"><div class="other">'), F.lit(block[0] + "no scope" + block[1]),
+        F.lit('</div><DIV class=page-description>'), lines(3, *block), F.lit("</DIV></div>")])
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, html): blocks in blocks.
+
+    Lines 0, 3, .. are blocks of their own, lines 1, 4, .. stand in an outer
+    and an inner block each, lines 2, 5, .. only in the inner one of two.
+    """
+    d = _line_pages(spark, sf_dir)
+    one, other = F.lit('<div id="paragraphBlock"><p>'), F.lit("</p></div>")
+
+    def block(x, i):
+        safe = _esc(x)
+        return F.when(i % 3 == 0, F.concat(one, safe, other)) \
+            .when(i % 3 == 1, F.concat(one, safe, F.lit("</p>"), one, safe, F.lit(" inner"), other, F.lit("</div>"))) \
+            .otherwise(F.concat(F.lit('<div id="paragraphBlock"><span>none</span>'), one, safe, other, F.lit("</div>")))
+
+    body = F.array_join(F.transform("lines", block), "")
+    return _body(d, [F.lit('<div class="article-content"><div class="page-description">'), body, F.lit("</div></div>")])
+
+
+def angle_pages(spark: SparkSession, sf_dir: str, fallback: bool = False) -> DataFrame:
+    """(page_id, html): lines followed by a bare <, a > in a quoted attribute and a quote that is not closed."""
+    d = _line_pages(spark, sf_dir)
+    tail = F.lit(""" < two <b title="x > y">bold</b><i class='a>b' lang=don't>it</i>""")
+    if fallback:
+        body = F.array_join(F.transform("lines", lambda x: F.concat(F.lit("<div>"), _esc(x), tail, F.lit("</div>"))), "")
+        return _body(d, [F.lit('<div class="postbox__content"><div class="postbox__text">'), body, F.lit("</div></div>")])
+    body = F.array_join(F.transform("lines", lambda x: F.concat(
+        F.lit('<div id="paragraphBlock"><p data-n="1 > 0">'), _esc(x), tail, F.lit("</p></div>"))), "")
+    return _body(d, [F.lit('<div class="article-content"><div class="page-description">'), body, F.lit("</div></div>")])
+
+
 def hub_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, url, html): hub pages made from ``pages``, with cells, a cell without link, and links elsewhere."""
     p = table(spark, sf_dir, "pages")

@@ -12,8 +12,8 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from duoweave.operators.pairs import numbered_pairs
 from duoweave.session import read_if_present
+from duoweave.sources import commits
 
 # CSV header of the pair file and Python csv defaults.
 CSV_COLUMNS = ("ID", "English_Text", "Khmer_Text")
@@ -96,20 +96,21 @@ def write_counted(pairs: DataFrame, start: int, write) -> int:
     return int(seen.get["last_id"] or start - 1)
 
 
-def append_pairs(content: DataFrame, path: str, order: str = "page_id", key: str = "page_id") -> int:
+def append_pairs(content: DataFrame, path: str, order: str = "page_id", key: str = "page_id", run: str = "") -> int:
     """Append numbered pairs after the highest id already in the table.
 
-    The table is Parquet (id, key, i, english_text, khmer_text); the rows of
-    one call are written in one job, and a ledger beside the table keeps the
-    highest id.  Returns the first id used.
+    The table is Parquet (id, key, i, english_text, khmer_text).  The rows of
+    one call are one transaction (``sources.commits``); a ``run`` name makes a
+    repeated call append once.  The ledger beside the table repeats the highest
+    id for those who read it; ids follow the commits, never the ledger alone.
+    Returns the first id used.
     """
     spark = content.sparkSession
-    start = last_id(spark, path) + 1
-    pairs = numbered_pairs(content, order, start, keep=(key,))
-    last = write_counted(pairs, start, lambda df: df.write.mode("append").parquet(path))
-    if last >= start:
-        note_last_id(spark, path, last, last)
-    return start
+    known = 0 if commits.log(spark, path) else last_id(spark, path)
+    done = commits.append(content, path, order, key, run, known)
+    if done.last_id >= done.first_id:
+        note_last_id(spark, path, done.last_id, done.last_id)
+    return done.first_id
 
 
 def write_jdbc(pairs: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,

@@ -93,16 +93,62 @@ def test_alignment_output_shape(spark):
     assert sorted(set(words)) <= sorted({"aaa", "bbb", "ccc", "ddd", "eee", "fff"})
 
 
-def test_salted_dot_join_gives_same_alignment(spark, monkeypatch):
+def test_blocks_and_turns_give_same_alignment(spark, monkeypatch):
+    """A page cut into many blocks, its pairs taking turns in many rows."""
     s = sides(spark, SF_SMALL).select("page_id", "side", "idx", "vec")
     plain = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"), checkpoint=False)["picks"]
                    .select("page_id", "j", "b", "u").collect())
-    monkeypatch.setattr(A, "SALT_SLICE", 2)
-    v = A.Vectors(s, GivenVectors("vec"), checkpoint=False)
-    assert v.salts.agg(F.max("salts")).collect()[0][0] > 1
-    salted = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"), checkpoint=False)["picks"]
-                    .select("page_id", "j", "b", "u").collect())
-    assert salted == plain
+    monkeypatch.setattr(A, "BLOCK", 2)
+    monkeypatch.setattr(A, "TURNS", 3)
+    both = A.block_join(s.filter("side = 'km'").select("page_id", F.col("idx").alias("j")),
+                        s.filter("side = 'en'").select("page_id", F.col("idx").alias("i")), "page_id", "j", "i")
+    assert both.count() == both.distinct().count() == s.filter("side = 'km'").alias("a").join(
+        s.filter("side = 'en'").alias("b"), "page_id").count()
+    cut = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"))["picks"]
+                 .select("page_id", "j", "b", "u").collect())
+    assert cut == plain and max(r[1] for r in cut) >= 6
+
+
+def test_large_page_takes_turns_over_rows(spark, monkeypatch):
+    """One page of 1,000 sentences: candidates from many join keys, picks in passes, each turn the best that is left."""
+    import random
+
+    monkeypatch.setattr(A, "BLOCK", 64)
+    monkeypatch.setattr(A, "TURNS", 50)
+    rng = random.Random(2)
+    rows = [(1, side, i, [float(rng.randrange(4)) for _ in range(3)]) for side, n in (("en", 700), ("km", 300)) for i in range(n)]
+    rows += [(2, "en", 0, [1.0, 0.0, 0.0]), (2, "en", 1, [0.0, 1.0, 0.0]), (2, "km", 0, [1.0, 1.0, 0.0])]
+    sent = spark.createDataFrame(rows, "page_id long, side string, idx int, vec array<double>")
+    steps = A.align_steps(sent, GivenVectors("vec"))
+    scores = {(r["j"], r["u"]): r["score"] for r in steps["candidates"].filter("page_id = 1").collect()}
+    picks = {(r["page_id"], r["j"]): r["u"] for r in steps["picks"].collect()}
+    pool = {u for _, u in scores}
+    assert len(picks) == 301 and picks[(2, 0)] == 1 and len(scores) == 300 * len(pool)
+    assert turns_hold([picks[(1, j)] for j in range(300)], scores, pool)
+
+
+def test_ngram_counts_match_plain_hash(spark):
+    texts = ["", "ab", "abc", "abcabcabc", "ខ្មែរ and é", "😀😀😀😀 x", "a" * 3000, "line\nbreak\tand\u00a0space", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r["i"]: r["vec"] for r in NgramEncoder().vectors(rows, ["i"]).collect()}
+    for i, t in enumerate(texts):
+        want = [0.0] * 64
+        for at in range(len(t or "") - 2):
+            h = 0
+            for c in t[at:at + 3]:
+                h = (h * 1000003 + ord(c)) % 2147483647
+            want[h % 64] += 1
+        assert got[i] == want, t
+
+
+def test_alignment_explodes_no_text(spark):
+    """Vectors stay in the row of their sentence: nothing is generated but list places and blocks."""
+    content = spark.createDataFrame([(1, ["aaa bbb", "ccc ddd", "eee fff"], ["ខខខ", "គគគ"])],
+                                    "page_id long, english array<string>, khmer array<string>")
+    steps = A.align_steps(A.sentences(content), NgramEncoder(), checkpoint=False)
+    plan = steps["candidates"]._jdf.queryExecution().optimizedPlan().toString()
+    made = {line.split("Generate ")[1].split("(")[0] for line in plan.splitlines() if "Generate " in line}
+    assert made <= {"posexplode", "explode"} and "bucket" not in plan and "BatchEvalPython" not in plan
 
 
 def test_input_check(spark):

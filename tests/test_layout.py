@@ -138,3 +138,74 @@ def test_fallback_boundaries(spark):
     assert a["fallback"] == ["In ner", "Second"]
     b = _blocks(spark, '<div class="postbox__content"><div class="postbox__text"><ul><li><div>x</div></li></ul>y</div></div><p>z</p>')
     assert b["fallback"] == ["x y"]
+
+
+def test_all_containers_and_nested_blocks(spark):
+    """Every container counts; a block in a block is one more block, searched by the outer one too."""
+    block = '<div id="paragraphBlock"><p>{}</p></div>'.format
+    scope = '<div class="article-content"><div class="page-description">{}</div></div>'.format
+    got = _blocks(spark, scope(block("first one")) + "<p>between</p>" + scope(block("second one") + block("third one")))
+    assert got["blocks"] == ["first one", "second one", "third one"]
+    got = _blocks(spark, scope('<div id="paragraphBlock"><p>outer</p>' + block("inner") + "</div>"
+                               '<div id="paragraphBlock"><span>x</span>' + block("only inner") + "</div>"))
+    assert got["blocks"] == ["outer", "inner", "only inner", "only inner"]
+    got = _blocks(spark, '<div class="page-description"><div class="article-content">' + block("wrong order") + "</div></div>")
+    assert got["blocks"] == [] and not got["has_blocks"]
+    got = _blocks(spark, '<div class="article-content"><div class="page-description">' + block("never closed"))
+    assert got["blocks"] == ["never closed"]
+
+
+def test_fallback_takes_the_first_direct_child_of_any_parent(spark):
+    outer, inner = '<div class="postbox__content">', '<div class="postbox__text">'
+    cases = [
+        (f"{outer}<p>no text</p></div>{outer}{inner}<div>found</div></div></div>", ["found"]),
+        (f"{outer}<section>{inner}<div>not a child</div></div></section></div>", []),
+        (f"{outer}<section>{outer}{inner}<div>deep</div></div></div></section>{inner}<div>later</div></div></div>", ["deep"]),
+        (f"{inner}<div>no parent</div></div>{outer}<br><p>lead</p>{inner}<div>found</div></div></div>", ["found"]),
+    ]
+    rows = [(i, h) for i, (h, _) in enumerate(cases)]
+    got = {r["page_id"]: r["fallback"] for r in extract(spark.createDataFrame(rows, "page_id long, html string")).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
+
+
+class Text(HTMLParser):
+    """Text nodes as the stdlib parser gives them, joined over character data that stands together."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.nodes = [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.nodes.append("")
+
+    def handle_endtag(self, tag):
+        self.nodes.append("")
+
+    def handle_data(self, data):
+        self.nodes[-1] += data
+
+
+def test_text_nodes_match_stdlib_parser(spark):
+    """Bare angle brackets, quoted ones, quotes that don't close, declarations."""
+    from duoweave.functions.text import text_of
+
+    cases = ["One < two <b>x</b>", '<a title="x > y">t</a>', "<a title='a>b' class=q>t</a> > u", "1 <2 and 3> 2", "a <= b => c",
+             "<i lang=don't>it</i>s", "x < y <i>z</i> < w", "<p data-a='1' data-b=\">\">q</p>", "a &lt; b <br/> c &gt; d", "<<b>>"]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, html string")
+    got = {r["i"]: (r["glued"], r["spaced"]) for r in rows.select(
+        "i", text_of("html").alias("glued"), text_of("html", " ").alias("spaced")).collect()}
+    for i, c in enumerate(cases):
+        p = Text()
+        p.feed(c)
+        p.close()
+        nodes = [x.strip() for x in p.nodes if x.strip()]
+        assert got[i] == ("".join(nodes), " ".join(nodes)), c
+
+
+def test_rows_of_extracts_once(spark):
+    """Exploding the blocks copies no extraction into a filter below it."""
+    from duoweave.operators.layout import rows_of
+
+    pages = table(spark, SF_SMALL, "pages")
+    plan = rows_of(extract(pages, ARTICLE_LAYOUT), "blocks")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("article(?=") <= 3 and "Filter (size(" not in plan
