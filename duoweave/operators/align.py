@@ -48,25 +48,35 @@ TURNS = 1024
 
 
 def sentences(content: DataFrame, key: str = "page_id") -> DataFrame:
-    """content(key, english, khmer) -> (key, side, idx, text, n_en), side 'en' / 'km'."""
-    n_en = F.size("english").alias("n_en")
-    en = content.select(key, F.lit("en").alias("side"), n_en, F.posexplode("english").alias("idx", "text"))
-    km = content.select(key, F.lit("km").alias("side"), n_en, F.posexplode("khmer").alias("idx", "text"))
-    return en.unionByName(km).select(key, "side", "idx", "text", "n_en")
+    """content(key, english, khmer) -> (key, side, idx, text, n_en, n_km), side 'en' / 'km'."""
+    n = [F.greatest(F.size("english"), F.lit(0)).alias("n_en"), F.greatest(F.size("khmer"), F.lit(0)).alias("n_km")]
+    en = content.select(key, F.lit("en").alias("side"), *n, F.posexplode("english").alias("idx", "text"))
+    km = content.select(key, F.lit("km").alias("side"), *n, F.posexplode("khmer").alias("idx", "text"))
+    return en.unionByName(km).select(key, "side", "idx", "text", "n_en", "n_km")
+
+
+def _sized(sent: DataFrame, key: str) -> DataFrame:
+    """``sent`` with n_en and n_km, the greatest index of either side of the page plus 1."""
+    if {"n_en", "n_km"} <= set(sent.columns):
+        return sent
+    n = sent.groupBy(key).agg(*[F.coalesce(F.max(F.when(F.col("side") == s, F.col("idx") + 1)), F.lit(0)).alias(f"n_{s}")
+                                for s in ("en", "km")])
+    return sent.join(n, key)
 
 
 class Vectors:
-    """One row per sentence of either side with its vector (and head and tail, where sentences join)."""
+    """One row per sentence of either side: its vector, the page's numbers of sentences (n_en, n_km), and
+    head and tail where sentences join."""
 
     def __init__(self, sent: DataFrame, encoder, key: str = "page_id", text: str = "text",
                  checkpoint: bool = True):
         self.key = key
-        self.sent = sent
-        rows = encoder.vectors(sent, [key, "side", "idx"], text)
+        self.sent = _sized(sent, key)
+        rows = encoder.vectors(self.sent, [key, "side", "idx", "n_en", "n_km"], text)
         failed = encoder.failed_pages() if hasattr(encoder, "failed_pages") else None
         if failed is not None:
             # pages whose encoding failed are not aligned (they keep their lists)
-            self.sent = sent.join(failed, key, "left_anti")
+            self.sent = self.sent.join(failed, key, "left_anti")
         # read by every later join: encode once
         self.rows = materialize(rows) if checkpoint else rows
 
@@ -79,24 +89,24 @@ class Vectors:
         return self.side(side, idx, vec)
 
 
-def blocks_of(rows: DataFrame, key: str, idx: str, out: str) -> DataFrame:
-    """(key, out): the blocks of ``BLOCK`` sentences that each page's rows fall in, as an array."""
-    block = F.floor(F.col(idx) / BLOCK).cast("int")
-    return rows.select(key, block.alias("_b")).groupBy(key).agg(F.sort_array(F.collect_set("_b")).alias(out))
-
-
-def block_join(left: DataFrame, right: DataFrame, key: str, left_idx: str, right_idx: str) -> DataFrame:
+def block_join(left: DataFrame, right: DataFrame, key: str, left_side: tuple[str, str], right_side: tuple[str, str],
+               how: str = "inner") -> DataFrame:
     """Every left row with every right row of its page, joined on (page, left block, right block).
 
-    Each row is repeated once per block that its page has on the other side; a
-    page of one block on each side, which is nearly every page, is not repeated.
+    A side is the column of its sentences' index and that of their number on
+    the page, which both frames have; the numbers are dropped from the result.
+    Each row is repeated once per block of the page's other side; a page of one
+    block on each side, which is nearly every page, is not repeated.
     """
-    block = lambda c: F.floor(F.col(c) / BLOCK).cast("int")
-    lefts = left.join(blocks_of(right, key, right_idx, "_bs"), key) \
-        .select(*left.columns, block(left_idx).alias("_lb"), F.explode("_bs").alias("_rb"))
-    rights = right.join(blocks_of(left, key, left_idx, "_bs"), key) \
-        .select(*right.columns, F.explode("_bs").alias("_lb"), block(right_idx).alias("_rb"))
-    return lefts.join(rights, [key, "_lb", "_rb"]).drop("_lb", "_rb")
+    (i, n_left), (j, n_right) = left_side, right_side
+
+    def blocked(df: DataFrame, own: str, own_block: str, other: str, other_block: str) -> DataFrame:
+        last = F.greatest(F.ceil(F.col(other) / BLOCK) - 1, F.lit(0)).cast("int")
+        return df.select(*[c for c in df.columns if c not in (n_left, n_right)], F.floor(F.col(own) / BLOCK).cast("int").alias(own_block),
+                         F.explode(F.sequence(F.lit(0), last)).alias(other_block))
+
+    return blocked(left, i, "_lb", n_right, "_rb").join(
+        blocked(right, j, "_rb", n_left, "_lb"), [key, "_lb", "_rb"], how).drop("_lb", "_rb")
 
 
 def best_matches(v: Vectors) -> DataFrame:
@@ -106,37 +116,38 @@ def best_matches(v: Vectors) -> DataFrame:
     the Khmer sentence and of its base (carried for the merge step).
     """
     k = v.key
-    km = v.side("km", "j", "kv").withColumn("nk", dot(F.col("kv"), F.col("kv")))
-    en = v.side("en", "i", "ev").withColumn("nb", dot(F.col("ev"), F.col("ev")))
-    scored = block_join(km, en, k, "j", "i").select(k, "j", "i", "nk", "nb", dot(F.col("kv"), F.col("ev")).alias("d")) \
+    km = v.side("km", "j", "kv", "n_en", "n_km").withColumn("nk", dot(F.col("kv"), F.col("kv")))
+    en = v.side("en", "i", "ev", "n_en", "n_km").withColumn("nb", dot(F.col("ev"), F.col("ev")))
+    met = block_join(km, en, k, ("j", "n_km"), ("i", "n_en"), "left")
+    scored = met.select(k, "j", "i", "nk", "nb", dot(F.col("kv"), F.col("ev")).alias("d")) \
         .withColumn("score", ratio(F.col("d"), F.col("nk"), F.col("nb")))
     best = scored.groupBy(k, "j").agg(F.max(F.struct("score", (-F.col("i")).alias("neg_i"), "d", "nk", "nb")).alias("m"))
-    kms = v.sent.filter(F.col("side") == "km").select(k, F.col("idx").alias("j"))
     m = F.col("m")
-    return kms.join(best, [k, "j"], "left").select(
+    return best.select(
         k, "j", F.coalesce(-m["neg_i"], F.lit(0)).alias("i"),
         *[F.coalesce(m[c], F.lit(0.0)).alias(c) for c in ("score", "d", "nk", "nb")])
 
 
 def unused_english(v: Vectors, best: DataFrame) -> DataFrame:
-    """English sentences no Khmer sentence matched: (key, i)."""
+    """English sentences no Khmer sentence matched: (key, i) and the rest of their vector row."""
     k = v.key
-    en = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"))
+    en = v.rows.filter(F.col("side") == "en").withColumnRenamed("idx", "i").drop("side")
     return en.join(best.select(k, "i").distinct(), [k, "i"], "left_anti")
 
 
 def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder) -> DataFrame:
     """(key, j, b, base_score, u, score) for every pair and unused sentence."""
-    k = v.key
-    pairs = best.select(k, "j", F.col("i").alias("b"), F.col("score").alias("base_score"), F.col("d").alias("bk"), "nk", "nb")
-    pool = unused.select(k, F.col("i").alias("u"))
-    merged = _merged_as_text(v, pairs, pool, encoder)
+    k, sides = v.key, (("j", "n_km"), ("u", "n_en"))
+    more = encoder.has_junction
+    pairs = best.select(k, "j", F.col("i").alias("b"), F.col("score").alias("base_score"), F.col("d").alias("bk"), "nk", "nb") \
+        .join(v.side("en", "b", "bv", "n_en", "n_km", *["tail"] * more), [k, "b"])
+    pool = unused.withColumnRenamed("i", "u").withColumnRenamed("vec", "uv")
+    merged = _merged_as_text(v, pairs.drop("bv", "tail"), pool.drop("uv", "head", "tail"), encoder)
     if merged is not None:
         return merged
-    more = encoder.has_junction
-    pairs = pairs.join(v.side("en", "b", "bv", *["tail"] * more), [k, "b"]).join(v.side("km", "j", "kv"), [k, "j"])
-    pool = pool.join(v.side("en", "u", "uv", *["head"] * more), [k, "u"]).withColumn("nu", dot(F.col("uv"), F.col("uv")))
-    out = block_join(pairs, pool, k, "j", "u")
+    pairs = pairs.join(v.side_vecs("km", "j", "kv"), [k, "j"])
+    pool = pool.drop("tail").withColumn("nu", dot(F.col("uv"), F.col("uv")))
+    out = block_join(pairs, pool, k, *sides)
     jk = jj = bj = uj = F.lit(0.0)
     if more:
         out = out.withColumn("_j", encoder.junction(F.col("tail"), F.col("head")))
@@ -151,17 +162,20 @@ def merge_candidates(v: Vectors, best: DataFrame, unused: DataFrame, encoder) ->
 
 def _merged_as_text(v: Vectors, pairs: DataFrame, pool: DataFrame, encoder) -> DataFrame | None:
     """Candidates scored by the encoder's vector of each distinct merged text; None if it has none."""
-    k = v.key
+    k, sides = v.key, (("j", "n_km"), ("u", "n_en"))
     if "text" not in v.sent.columns:
         return None
     texts = v.sent.filter(F.col("side") == "en").select(k, F.col("idx").alias("i"), "text")
-    bases = pairs.select(k, "b").distinct().join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"])
-    rest = pool.join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"])
-    joint = block_join(bases, rest, k, "b", "u").select(k, "b", "u", F.concat_ws(" ", "bt", "ut").alias("merged"))
+    bases = pairs.select(k, "b", "n_en", "n_km").distinct() \
+        .join(texts.select(k, F.col("i").alias("b"), F.col("text").alias("bt")), [k, "b"]).withColumn("n_km", F.col("n_en"))
+    rest = pool.join(texts.select(k, F.col("i").alias("u"), F.col("text").alias("ut")), [k, "u"]) \
+        .withColumn("n_km", F.col("n_en"))
+    joint = block_join(bases, rest, k, ("b", "n_km"), ("u", "n_en")) \
+        .select(k, "b", "u", F.concat_ws(" ", "bt", "ut").alias("merged"))
     vecs = encoder.merged(joint, [k, "b", "u"], "merged")
     if vecs is None:
         return None
-    rows = block_join(pairs, pool, k, "j", "u").join(vecs.withColumnRenamed("vec", "mv"), [k, "b", "u"], "left") \
+    rows = block_join(pairs, pool, k, *sides).join(vecs.withColumnRenamed("vec", "mv"), [k, "b", "u"], "left") \
         .join(v.side_vecs("km", "j", "kv"), [k, "j"])
     score = F.when(F.col("mv").isNull(), F.lit(0.0)).otherwise(
         ratio(dot(F.col("mv"), F.col("kv")), dot(F.col("mv"), F.col("mv")), F.col("nk")))

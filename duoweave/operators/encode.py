@@ -47,6 +47,11 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 class NgramEncoder:
     """Hashed character n-gram counts.
 
@@ -73,16 +78,28 @@ class NgramEncoder:
                 h = h + F.get(cs, i + k) * F.lit(HASH_MULTIPLIER ** (self.n - 1 - k))
             return F.pmod(F.pmod(h, F.lit(HASH_MODULUS).cast("bigint")), F.lit(self.dims).cast("bigint")).cast("int")
 
-        # The code points are bound as one element, so that the lambda over places does not derive them again.
-        return F.flatten(F.transform(F.array(points), lambda cs: F.transform(
-            F.when(F.size(cs) >= self.n, F.sequence(F.lit(0), F.size(cs) - self.n)).otherwise(F.array().cast("array<int>")),
-            lambda i: bucket(cs, i))))
+        def places(cs: Column) -> Column:
+            return F.when(F.size(cs) >= self.n, F.sequence(F.lit(0), F.size(cs) - self.n)).otherwise(
+                F.array().cast("array<int>"))
+
+        return let(points, lambda cs: F.transform(places(cs), lambda i: bucket(cs, i)))
 
     def counts(self, buckets: Column) -> Column:
-        """array<double> of length ``dims``: how often each bucket is there."""
-        return F.flatten(F.transform(F.array(buckets), lambda bs: F.transform(
-            F.sequence(F.lit(0), F.lit(self.dims - 1)),
-            lambda b: (F.size(bs) - F.size(F.array_remove(bs, b))).cast("double"))))
+        """array<double> of length ``dims``: how often each bucket is there, from the ends of the sorted buckets' runs."""
+        def ends_of(bs: Column) -> Column:
+            places = F.when(F.size(bs) > 0, F.sequence(F.lit(1), F.size(bs))).otherwise(F.array().cast("array<int>"))
+            return F.filter(places, lambda i: F.coalesce(F.get(bs, i) != F.get(bs, i - 1), F.lit(True)))
+
+        def by_bucket(bs: Column, ends: Column) -> Column:
+            return F.map_from_arrays(
+                F.transform(ends, lambda e: F.get(bs, e - 1)),
+                F.transform(ends, lambda e, k: (e - F.coalesce(F.get(ends, k - 1), F.lit(0))).cast("double")))
+
+        def dense(counted: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), F.lit(self.dims - 1)),
+                               lambda b: F.coalesce(F.element_at(counted, b), F.lit(0.0)))
+
+        return let(F.sort_array(buckets), lambda bs: let(ends_of(bs), lambda ends: let(by_bucket(bs, ends), dense)))
 
     def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         """(keys..., vec, head, tail): one row per sentence; head and tail are what a junction needs."""

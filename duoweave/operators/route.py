@@ -67,7 +67,7 @@ def route(extracted: DataFrame, rule: LanguageRule = KHMER,
         separator_index(F.col("blocks")).alias("separator"))
     s2 = s1.select(
         "*", is_script(F.col("_t"), rule).alias("_tk"),
-        labelled(F.filter("blocks", _keep), rule).alias("_lab"),
+        labelled(F.when(F.col("separator") == 0, F.filter("blocks", _keep)), rule).alias("_lab"),
         labelled("fallback", rule).alias("_fblab"))
     k0, e0 = split_at_separator(F.col("blocks"), F.col("separator"))
     has_title = F.col("_t") != ""

@@ -343,7 +343,7 @@ SELECT page_id, CASE WHEN {O.is_khmer('t')} THEN 'khmer' ELSE 'english' END AS s
 FROM fb_rows""")
 def fallback_layout(spark, sf):
     """Fallback container children (first-seen dedup) or its whole text, labelled."""
-    c = route(extract(X.fallback_pages(spark, sf), NEWS_LAYOUT))
+    c = materialize(route(extract(X.fallback_pages(spark, sf), NEWS_LAYOUT)))
     return c.select("page_id", _sides_rows("english", "khmer"))
 
 

@@ -100,8 +100,9 @@ def test_blocks_and_turns_give_same_alignment(spark, monkeypatch):
                    .select("page_id", "j", "b", "u").collect())
     monkeypatch.setattr(A, "BLOCK", 2)
     monkeypatch.setattr(A, "TURNS", 3)
-    both = A.block_join(s.filter("side = 'km'").select("page_id", F.col("idx").alias("j")),
-                        s.filter("side = 'en'").select("page_id", F.col("idx").alias("i")), "page_id", "j", "i")
+    v = A.Vectors(s, GivenVectors("vec"))
+    both = A.block_join(v.side("km", "j", "kv", "n_en", "n_km").drop("kv"), v.side("en", "i", "ev", "n_en", "n_km").drop("ev"),
+                        "page_id", ("j", "n_km"), ("i", "n_en"))
     assert both.count() == both.distinct().count() == s.filter("side = 'km'").alias("a").join(
         s.filter("side = 'en'").alias("b"), "page_id").count()
     cut = sorted(tuple(r) for r in A.align_steps(s, GivenVectors("vec"))["picks"]
