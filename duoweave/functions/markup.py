@@ -200,49 +200,62 @@ _WINDOWS = {0x00: 0xFFFD, 0x0D: 0x0D, **{
     for n in range(0x80, 0xA0)}}
 
 
-def _dropped(n: Column) -> Column:
-    """Numbers that stand for no character."""
-    return (n.between(0x1, 0x8) | (n == 0xB) | n.between(0xE, 0x1F) | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF)
-            | ((n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE) & (n <= 0x10FFFF)))
-
-
-def _table(entries: dict[str, str]) -> Column:
-    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
-
-
-def char_of(cp: Column) -> Column:
-    """One-character string of a code point (UTF-16BE bytes, surrogate pair
-    above U+FFFF); U+FFFD for surrogates and values above U+10FFFF."""
-    def hex4(n: Column) -> Column:
-        return F.lpad(F.hex(n), 4, "0")
-
-    bad = (cp < 0) | (cp > 0x10FFFF) | cp.between(0xD800, 0xDFFF)
-    v = cp - 0x10000
-    pair = F.concat(hex4(F.floor(v / 1024) + 0xD800), hex4(F.pmod(v, F.lit(1024)) + 0xDC00))
-    return F.decode(F.unhex(F.when(bad, F.lit("FFFD")).when(cp <= 0xFFFF, hex4(cp)).otherwise(pair)), "UTF-16BE")
-
-
-def _decoded(ref: Column) -> Column:
-    """Text of one reference, as the standard library decodes it."""
-    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
-    base = F.when(ref.rlike("^&#[xX]"), F.lit(16)).otherwise(F.lit(10))
-    n = F.when(F.length(digits) > 8, F.lit(0x110000)).when(digits == "", F.lit(0)) \
-        .when(base == 16, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("bigint")
-    windows = F.element_at(F.from_json(F.lit(json.dumps({str(k): v for k, v in _WINDOWS.items()})),
-                                       "map<string,bigint>"), n.cast("string"))
-    number = F.when(windows.isNotNull(), char_of(windows)).when(_dropped(n), F.lit("")).otherwise(char_of(n))
-    name = F.substring(ref, 2, 40)
-    prefixes = F.transform(F.sequence(F.length(name), F.lit(1), F.lit(-1)), lambda k: F.substring(name, F.lit(1), k))
-    hit = F.get(F.filter(prefixes, lambda p: F.map_contains_key(_table(_OPEN_NAMES), p)), 0)
-    text = F.coalesce(
-        F.element_at(_table(_NAMED), name),
-        F.concat(F.element_at(_table(_OPEN_NAMES), hit), F.substring(name, F.length(hit) + 1, F.lit(40))), ref)
-    return F.when(ref.startswith("&#"), number).otherwise(text)
+def bound(value: Column, name: str, sql: str) -> Column:
+    """An SQL expression of the variable ``name``, applied to ``value``, which is evaluated once.
+
+    Long expressions are one parsed text this way, not thousands of calls to the JVM.
+    """
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {sql}")), F.lit(0))
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _table(entries: dict, kind: str = "string") -> str:
+    return f"from_json({_text(json.dumps(entries))}, 'map<string,{kind}>')"
+
+
+def _with(value: str, name: str, sql: str) -> str:
+    return f"get(transform(array({value}), {name} -> {sql}), 0)"
+
+
+#: One-character string of a code point ``c`` (UTF-16BE bytes, surrogate pair above U+FFFF); U+FFFD for surrogates
+#: and values above U+10FFFF, '' for -1.
+_CHAR = """CASE WHEN c = -1 THEN '' ELSE decode(unhex(CASE
+  WHEN c < 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN 'FFFD'
+  WHEN c <= 65535 THEN lpad(hex(c), 4, '0')
+  ELSE concat(lpad(hex(floor((c - 65536) / 1024) + 55296), 4, '0'), lpad(hex(pmod(c - 65536, 1024) + 56320), 4, '0')) END), 'UTF-16BE') END"""
+#: Numbers that stand for no character.
+_DROPPED = """(n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n BETWEEN 127 AND 159 OR n BETWEEN 64976 AND 65007
+  OR (n & 65534) = 65534 AND n <= 1114111)"""
+
+
+def _reference_sql() -> str:
+    """Text of one reference ``r``, as the standard library decodes it."""
+    digits = "regexp_extract(r, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1)"
+    number = """CAST(CASE WHEN length(d) > 8 THEN '1114112' WHEN d = '' THEN '0'
+      WHEN r RLIKE '^&#[xX]' THEN conv(d, 16, 10) ELSE conv(d, 10, 10) END AS BIGINT)"""
+    windows = _table({str(k): v for k, v in _WINDOWS.items()}, "bigint")
+    point = f"coalesce(element_at({windows}, string(n)), CASE WHEN {_DROPPED} THEN -1 ELSE n END)"
+    numbered = _with(_with(_with(digits, "d", number), "n", point), "c", _CHAR)
+    prefix = f"""get(filter(transform(sequence(length(w), 1, -1), k -> substring(w, 1, k)),
+      p -> map_contains_key({_table(_OPEN_NAMES)}, p)), 0)"""
+    open_name = _with(prefix, "h", f"concat(element_at({_table(_OPEN_NAMES)}, h), substring(w, length(h) + 1, 40))")
+    named = _with("substring(r, 2, 40)", "w", f"coalesce(element_at({_table(_NAMED)}, w), {open_name}, r)")
+    return f"CASE WHEN startswith(r, '&#') THEN {numbered} ELSE {named} END"
+
+
+def _decode_sql() -> str:
+    pattern = _text(_REFERENCE)
+    return f"""CASE WHEN contains(t, '&') THEN array_join(transform(
+      arrays_zip(split(t, {pattern}, -1), regexp_extract_all(t, {pattern}, 0)),
+      z -> CASE WHEN z.`1` IS NULL THEN z.`0` ELSE concat(z.`0`, {_with("z.`1`", "r", _reference_sql())}) END), '') ELSE t END"""
+
+
+_DECODE = _decode_sql()
 
 
 def decode_references(text: Column) -> Column:
     """Character references decoded in one pass, as ``html.unescape`` does."""
-    parts = F.arrays_zip(F.split(text, _REFERENCE, -1), F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
-    joined = F.array_join(F.transform(parts, lambda z: F.when(z["1"].isNull(), z["0"]).otherwise(
-        F.concat(z["0"], _decoded(z["1"])))), "")
-    return F.when(text.contains("&"), joined).otherwise(text)
+    return bound(text, "t", _DECODE)
