@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,8 +31,37 @@ def netloc(c) -> Column:
     return F.regexp_extract(_prepared(c), _AUTHORITY, 1)
 
 
+_HEX = "[0-9A-Fa-f]{1,4}"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_IPV4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+_IPV6_FULL = rf"^(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{6}}{_IPV4})\z"
+_IPV6_SHORT = rf"^(?:{_HEX}(?::{_HEX})*)?::(?:(?:{_HEX}:)*(?:{_HEX}|{_IPV4}))?\z"
+_FUTURE = r"^v[0-9A-Fa-f]+\.[^\n]+\z"
+
+
+def bracketed_host_ok(host: Column) -> Column:
+    """Whether the text between brackets is an IPv6 address (with a zone, if any) or an IPvFuture one.
+
+    A shortened address stands for at least one group, so it writes out seven
+    at most; a dotted end counts as two.
+    """
+    address = F.substring_index(host, "%", 1)
+    zone = ~host.contains("%") | host.rlike("%[^%]+\\z") & (F.length(address) + 1 + F.length(
+        F.substring_index(host, "%", -1)) == F.length(host))
+    groups = F.size(F.array_remove(F.split(address, ":", -1), "")) + F.when(address.contains("."), 1).otherwise(0)
+    six = address.rlike(_IPV6_FULL) | (address.rlike(_IPV6_SHORT) & (groups <= 7))
+    return F.when(host.startswith("v"), host.rlike(_FUTURE)).otherwise(zone & six)
+
+
+@lru_cache
+def unsafe_characters() -> str:
+    """Characters beyond ASCII whose compatibility form holds a mark that ends an authority or its parts."""
+    return "".join(c for c in map(chr, range(0x80, 0x110000)) if unicodedata.decomposition(c)
+                   and any(x in unicodedata.normalize("NFKC", c) for x in "/?#@:"))
+
+
 def is_valid_url(c) -> Column:
-    """Scheme and authority both present, brackets in the authority balanced.
+    """Scheme and authority both present, bracketed host and characters of the authority valid.
 
     Mirrors "parse with the stdlib splitter; scheme and netloc non-empty;
     a parse error means invalid".  Spaces inside the host are accepted.
@@ -40,10 +72,11 @@ def is_valid_url(c) -> Column:
     has_close = auth.contains("]")
     bracket_ok = (
         F.when(has_open != has_close, F.lit(False))
-        .when(has_open, auth.rlike(r"\[(v[0-9A-Fa-f]+\..+|[0-9A-Fa-f:.]*:[0-9A-Fa-f:.%]*)\]"))
+        .when(has_open, bracketed_host_ok(F.regexp_extract(auth, r"\[([^\]]*)", 1)))
         .otherwise(F.lit(True))
     )
-    return u.rlike(rf"^{SCHEME}://[^/?#]") & bracket_ok
+    safe = F.translate(auth, unsafe_characters(), "") == auth
+    return u.rlike(rf"^{SCHEME}://[^/?#]") & bracket_ok & safe
 
 
 def in_domain(c, domain: str) -> Column:

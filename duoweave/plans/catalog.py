@@ -153,6 +153,24 @@ def url_check(spark, sf):
     return v.select("page_id", "variant", "url", is_valid_url("url").alias("valid"))
 
 
+#: Hosts made from a page's number, and whether the URL is valid.
+HOSTS = (("[2001:db8::@]", True), ("[::@]:8080", True), ("[1:2:3:4:5:6:7:@]", True), ("[1:2:3:4:5:6:7:8:@]", False), ("[@::1::2]", False),
+         ("[fe80::@%eth0]", True), ("[fe80::@%]", False), ("[::1.2.3.@]", None), ("[1.2.3.4]", False), ("[v1.@]", True), ("[vx.@]", False),
+         ("a\u2100@", False), ("\u00e9@.example", True), ("[::@", False))
+
+
+@register("url_hosts", """
+SELECT page_id, v.i, CASE WHEN v.i = 7 THEN p.n < 256 ELSE v.ok END AS valid
+FROM (SELECT page_id, page_id % 10000 AS n FROM pages) p, (VALUES """ + ", ".join(
+    f"({i}::BIGINT, {str(bool(ok)).lower()})" for i, (_, ok) in enumerate(HOSTS)) + ") v(i, ok)")
+def url_hosts(spark, sf):
+    """B1: bracketed hosts, zones, future addresses and characters that normalise to marks, one of each per page."""
+    n = F.pmod(F.col("page_id"), F.lit(10000)).cast("string")
+    urls = F.array(*[F.concat(F.lit("http://"), F.replace(F.lit(h), F.lit("@"), n), F.lit("/x")) for h, _ in HOSTS])
+    p = X.table(spark, sf, "pages").select("page_id", F.posexplode(urls).alias("i", "url"))
+    return p.select("page_id", "i", is_valid_url("url").alias("valid"))
+
+
 @register("domain_flag", f"""
 SELECT page_id, url,
        contains(regexp_extract({O.prepared_url('url')}, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1),

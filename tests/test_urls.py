@@ -29,10 +29,40 @@ def test_url_validity_matches_stdlib(spark, urls):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string")
     for r in df.select("i", is_valid_url("u").alias("v")).collect():
         u = urls[r["i"]]
-        if "[" in u or "]" in u:
-            continue  # bracketed hosts are validated only approximately
-        scheme, authority = urlsplit(u)[:2]
-        assert r["v"] == ("" not in (scheme, authority)), repr(u)
+        assert r["v"] == _valid(u), repr(u)
+
+
+def _valid(u):
+    try:
+        return "" not in urlsplit(u)[:2]
+    except ValueError:
+        return False
+
+
+HOST = st.sampled_from(["1", "abcd", "12345", "g", ":", "::", ".", "1.2.3.4", "01.2.3.4", "256.1.1.1", "%", "%eth0", "v1.x", "vF.", "V1.x",
+                        "]", "[", "@", ":80", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1:2:3:4:5:6", "\u2100", "\uff1a", "é", "\u00bd"])
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(HOST, max_size=5).map("".join), min_size=100, max_size=200))
+def test_hosts_match_stdlib(spark, hosts):
+    """IPv6, zones, IPvFuture and characters that normalise to marks, as the standard library takes them."""
+    fixed = ["::", "::1", "1::", "1::8", ":1", "1:", ":::", "1::2::3", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:7::8", "::1.2.3.4",
+             "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4", "1:2:3:4:5::1.2.3.4", "1:2:3:4:5:6::1.2.3.4", "::1.2.3", "1.2.3.4", "fe80::1%25eth0",
+             "fe80::1%", "fe80::1%a%b", "%1", "v1.a:b", "v.x", "vg.x", "", "::g", "::12345", "1.2.3.4::", "::1.2.3.4:1"]
+    urls = [f"http://[{h}]/x" for h in fixed + hosts] + [f"http://{h}" for h in hosts] + ["http://a]b[::1", "http://u@[::1]:80x/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "i int, u string")
+    for r in df.select("i", is_valid_url("u").alias("v")).collect():
+        assert r["v"] == _valid(urls[r["i"]]), repr(urls[r["i"]])
+
+
+def test_unsafe_characters_are_the_stdlib_ones(spark):
+    import unicodedata
+
+    chars = [c for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF and (unicodedata.decomposition(chr(c)) or c % 997 == 0)]
+    df = spark.createDataFrame([(c, f"http://a{chr(c)}b/") for c in chars], "c int, u string")
+    got = {r["c"] for r in df.filter(~is_valid_url("u")).select("c").collect()}
+    assert got and got == {c for c in chars if not _valid(f"http://a{chr(c)}b/")}
 
 
 def test_domain_flag_and_links(spark):
