@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duoweave.session import read_if_present
@@ -32,32 +32,43 @@ def csv_frame(pairs: DataFrame) -> DataFrame:
                         F.coalesce("khmer_text", F.lit("")).alias(CSV_COLUMNS[2]))
 
 
-def write_csv(pairs: DataFrame, path: str, mode: str = "overwrite", parts: int | None = None) -> None:
-    """CSV with header, minimal quoting, doubled quotes, '' for empty text, CRLF lines.
+def csv_field(c: Column) -> Column:
+    """A field as Python's ``csv`` writes it: in quotes, doubled inside, only where a mark of the format is in it."""
+    return F.when(c.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
 
-    Rows are range-partitioned by id and sorted inside each part, so the part
-    files read in name order give the rows in id order.
+def write_csv(pairs: DataFrame, path: str, mode: str = "overwrite", parts: int | None = None) -> None:
+    """CSV as Python's ``csv`` module writes it: one header, minimal quoting, doubled quotes, '' for empty text,
+    CRLF after each row, line breaks inside fields as they are.
+
+    Rows are range-partitioned by id and sorted inside each part; the part
+    files read one after another in name order are that one file, byte by
+    byte.  The header is the first row of the first part.  Lines are put
+    together by expressions and written as text, whose commit protocol leaves
+    no part of a task that failed.
     """
     frame = csv_frame(pairs)
-    if parts:
-        frame = frame.repartitionByRange(parts, CSV_COLUMNS[0])
-    else:
-        frame = frame.repartitionByRange(CSV_COLUMNS[0])
-    (frame.sortWithinPartitions(CSV_COLUMNS[0]).write.mode(mode)
-     .option("header", True).option("encoding", "UTF-8")
-     .option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("lineSep", CSV_LINE_SEP)
-     .csv(path))
+    cells = [F.coalesce(F.col(CSV_COLUMNS[0]).cast("string"), F.lit("")), *[csv_field(F.col(c)) for c in CSV_COLUMNS[1:]]]
+    rows = frame.select(F.lit(1).alias("kind"), F.col(CSV_COLUMNS[0]).alias("id"), F.concat_ws(",", *cells).alias("value"))
+    header = pairs.sparkSession.range(1).select(
+        F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("id"), F.lit(",".join(CSV_COLUMNS)).alias("value"))
+    rows = header.unionByName(rows)
+    rows = rows.repartitionByRange(parts, "kind", "id") if parts else rows.repartitionByRange("kind", "id")
+    (rows.sortWithinPartitions("kind", "id").select("value").write.mode(mode)
+     .option("lineSep", CSV_LINE_SEP).text(path))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read pair CSV files back; empty fields are '' (the format has no nulls)."""
-    raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    """Read pair CSV files back; empty fields are '' (the format has no nulls), the header row is left out.
+
+    Spark's reader gives a CRLF inside a field as LF.
+    """
+    raw = (spark.read.option("header", False).option("quote", '"').option("escape", '"')
            .option("multiLine", True).option("ignoreLeadingWhiteSpace", False)
            .option("ignoreTrailingWhiteSpace", False)
-           .schema("ID bigint, English_Text string, Khmer_Text string").csv(path))
-    return raw.select("ID", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in CSV_COLUMNS[1:]])
+           .schema("ID string, English_Text string, Khmer_Text string").csv(path))
+    return raw.filter(F.col("ID").isNull() | (F.col("ID") != CSV_COLUMNS[0])).select(
+        F.col("ID").try_cast("bigint").alias("ID"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in CSV_COLUMNS[1:]])
 
 
 LEDGER_SCHEMA = "batch_id bigint, last_id bigint"

@@ -50,25 +50,25 @@ def test_numbering_takes_any_key(spark):
 
 
 def test_csv_matches_python_csv(spark, tmp_dir):
-    rows = [(1, "", "K"), (2, 'a "q", b', "x\ny"), (3, " lead", "trail "), (4, "plain", "")]
-    pairs = spark.createDataFrame(rows, "id long, english_text string, khmer_text string")
-    write_csv(pairs, tmp_dir + "/out")
-    text = "".join(open(f, encoding="utf-8", newline="").read()
-                   for f in sorted(glob.glob(tmp_dir + "/out/part-*.csv")))
+    """The parts, one after another, are the bytes that Python's csv module writes."""
+    rows = [(1, "", "K"), (2, 'a "q", b', "x\ny"), (3, " lead", "trail "), (4, "plain", ""), (5, "cr\rlf\r\n", '"'),
+            (6, "#x;\t'y'", "ខ្មែរ, 😀"), (7, "\n", ",")] + [(n, f"e{n}", f"k,{n}") for n in range(8, 200)]
+    pairs = spark.createDataFrame(rows, "id long, english_text string, khmer_text string").repartition(5)
     buf = io.StringIO(newline="")
     w = csv.writer(buf)
     w.writerow(["ID", "English_Text", "Khmer_Text"])
     for r in rows:
         w.writerow(r)
-    # Known difference: a newline inside a quoted field is written as the
-    # line separator (CRLF) by Spark's CSV writer, as '\n' by Python's csv.
-    # Cleaned texts never hold a newline (clean_text collapses whitespace).
-    want_text = buf.getvalue().replace('"x\ny"', '"x\r\ny"')
-    body = [ln for ln in text.split("\r\n") if ln and ln != "ID,English_Text,Khmer_Text"]
-    want = [ln for ln in want_text.split("\r\n")[1:] if ln]
-    assert body == want
+    for parts in (None, 1, 4):
+        write_csv(pairs, tmp_dir + "/out", parts=parts)
+        files = sorted(glob.glob(tmp_dir + "/out/part-*"))
+        assert parts is None or len(files) == parts
+        assert b"".join(open(f, "rb").read() for f in files) == buf.getvalue().encode()
     back = sorted(tuple(r) for r in read_csv(spark, tmp_dir + "/out").collect())
-    assert back == sorted(rows)  # the reader maps the CRLF inside quotes back to '\n'
+    assert [r[0] for r in back] == list(range(1, 200))
+    assert [r for r in back if "\r" not in r[1] and r[0] != 5] == [r for r in rows if r[0] != 5]
+    write_csv(pairs.limit(0), tmp_dir + "/none")
+    assert b"".join(open(f, "rb").read() for f in glob.glob(tmp_dir + "/none/part-*")) == b"ID,English_Text,Khmer_Text\r\n"
 
 
 def test_append_continues_ids(spark, tmp_dir):
