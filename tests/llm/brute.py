@@ -104,8 +104,11 @@ def crc(text):
     return zlib.crc32((text or "").encode())
 
 
-def line_dedup(docs, rare=8, min_words=5):
-    """doc_id -> (n_lines, n_deleted, sha256 of the kept text); docs are (doc_id, text) with distinct ids."""
+def line_dedup(docs, rare=None, min_words=5):
+    """doc_id -> (n_lines, n_deleted, sha256 of the kept text); docs are (doc_id, text) with distinct ids.
+
+    Every two documents with a common line are aligned; with ``rare``, those of more common lines only with the first.
+    """
     split = {d: [x.strip(SPACE) for x in t.split("\n")] if t else [] for d, t in docs}
     first = {}
     for d in sorted(split):
@@ -115,7 +118,7 @@ def line_dedup(docs, rare=8, min_words=5):
         for x in set(split[d]) - {""}:
             holders[x].append(d)
     pairs = {(h[0], d) for h in holders.values() for d in h[1:]}
-    pairs |= {(a, b) for h in holders.values() if len(h) <= rare for a, b in itertools.combinations(h, 2)}
+    pairs |= {(a, b) for h in holders.values() if rare is None or len(h) <= rare for a, b in itertools.combinations(h, 2)}
     gone = defaultdict(set)
     for d, lines in split.items():
         if first[tuple(lines)] != d and sum(len(words(x)) for x in lines) >= min_words:

@@ -74,7 +74,7 @@ def test_lines_hot_and_rare(spark, monkeypatch):
         monkeypatch.setattr(linealign, "RARE", rare)
         df = spark.createDataFrame(data, "doc_id bigint, text string").repartition(4)
         got = {r["key"]: (r["n_lines"], r["n_deleted"], r["sha"]) for r in linealign.kept(df).collect()}
-        assert got == brute.line_dedup(data, rare=rare)
+        assert got == brute.line_dedup(data)
 
 
 @given(st.lists(st.integers(0, 6), max_size=30), st.lists(st.integers(0, 6), max_size=30))
