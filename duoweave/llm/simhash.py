@@ -250,8 +250,8 @@ def links(nodes: DataFrame, plan: list[tuple[list[int], int]], distance: int) ->
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def classes(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
-    """(key, fingerprint, component_id): one row per row of ``df``; component_id is the least key reachable by links."""
+def _classes(df: DataFrame, key: str, text: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """(key, fp) of every row, and (fp, component, component_id) of every fingerprint."""
     spark = df.sparkSession
     prints, _ = work.save(fingerprints(df, key, text, shingle), "simhash")
     nodes, nodes_path = work.save(prints.groupBy("fp").agg(F.min("key").alias("least")), "simhash-nodes")
@@ -260,18 +260,40 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     named = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named, _ = work.save(named.join(least, "component").select("fp", "component_id"), "simhash-classes")
+    named, _ = work.save(named.join(least, "component").select("fp", "component", "component_id"), "simhash-classes")
     work.drop(spark, nodes_path)
+    return prints, named
+
+
+def classes(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """(key, fingerprint, component_id): one row per row of ``df``; component_id is the least key reachable by links."""
+    prints, named = _classes(df, key, text, shingle, distance)
     return prints.join(named, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``df`` with one row of each class: the one with the least key (any one of repeated rows)."""
-    found = classes(df, key, **options)
-    kept = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__key"))
-    once = kept.distinct()
-    out = df.join(once, F.col(f"`{key}`").eqNullSafe(F.col("__key")), "left_semi")
-    if kept.groupBy("__key").count().filter("count > 1").limit(1).count():
-        out = out.dropDuplicates([key])
-    return out
+def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """``df`` with one row of each class: of the rows with its least key the one with the least fingerprint.
+
+    Any one of rows that repeat key and fingerprint.  Where a key has several
+    rows, rows are told apart by key and fingerprint, which are derived once
+    more for that.
+    """
+    prints, named = _classes(df, key, text, shingle, distance)
+    chosen = prints.join(named, "fp").filter(F.col("key").eqNullSafe(F.col("component_id"))) \
+        .groupBy("component").agg(F.first("key").alias("__key"), F.min("fp").alias("__fp")).select("__key", "__fp")
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__key"))
+    if prints.groupBy("key").count().filter("count > 1").isEmpty():
+        return df.join(chosen, same, "left_semi")
+
+    @F.pandas_udf("bigint")
+    def print_of(texts):
+        import pandas as pd
+
+        found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+        return pd.Series(found.view(np.int64))
+
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(f"`{key}`").alias("__k"),
+                     print_of(F.col(f"`{text}`")).alias("__f"))
+    kept = rows.join(chosen, F.col("__k").eqNullSafe(F.col("__key")) & (F.col("__f") == F.col("__fp")), "left_semi")
+    return kept.dropDuplicates(["__k", "__f"]).select("__row.*")

@@ -94,3 +94,13 @@ def test_edges(spark, edge, empty):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(6) == 1 and 7 not in ids and 1 not in ids and ids.count(None) == 0 + ids.count(None)
     assert simhash.classes(empty).count() == 0 and simhash.keep_first(empty).count() == 0
+
+
+def test_repeated_keys_lose_no_text(spark):
+    """One row of each class stays, also where a key has several texts."""
+    a, b, c = ("the first text about one thing", "another text about a second thing", "no more than some third words")
+    schema = "doc_id bigint, text string"
+    for rows, want in ([(2, b), (2, c)], [(2, b), (2, c)]), ([(1, a), (2, a), (2, c)], [(1, a), (2, c)]), \
+            ([(None, a), (None, b), (3, b), (3, b)], [(None, a), (3, b)]), ([(1, a), (1, a), (1, c)], [(1, a), (1, c)]):
+        kept = simhash.keep_first(spark.createDataFrame(rows, schema)).collect()
+        assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
