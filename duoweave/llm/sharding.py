@@ -57,35 +57,43 @@ def stable_key(col: Column) -> Column:
 
 
 def assign(df: DataFrame, key: Column, shards: int, name: str = "shard") -> DataFrame:
-    """``df`` with column ``name``: the row's shard.  Narrow; nothing is shuffled."""
+    """``df`` with column ``name``: the row's shard; a column of that name gives way.  Narrow; nothing is shuffled."""
     return df.withColumn(name, jump_udf(shards)(stable_key(key)))
 
 
 def number(df: DataFrame, shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """Gapless slots from 0 within each shard, in two levels.
+    """Gapless slots from 0 within each shard, in two levels; a column named ``slot`` gives way.
 
     Equal rows are counted first (map-side combined), so a row repeated
     without end is one row here.  Each shard is cut into hashed cells of about
     ``SLOT_ROWS`` rows, numbered on their own; the cells' offsets are a running
-    sum over one row per cell.
+    sum over one row per cell.  Values that can't be compared (maps) are
+    compared by their JSON.
     """
-    cols = list(df.columns)
-    spark = df.sparkSession
     from duoweave.llm import work
 
-    rows, _ = work.save(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")), "shard-rows")
+    names = [c for c in df.columns if c != slot]
+    kept = [f"c{i}" for i in range(len(names))]
+    inner = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)], F.col(f"`{shard}`").alias("__shard"))
+    odd = [k for k, c in zip(kept, names) if any(x in df.schema[c].dataType.simpleString() for x in ("map<", "variant"))]
+    cols = [f"j{k}" if k in odd else k for k in kept]
+    inner = inner.withColumns({f"j{k}": F.to_json(F.struct(k)) for k in odd}) if odd else inner
+    counted = inner.groupBy("__shard", *cols).agg(F.count(F.lit(1)).alias("__n"), *[F.first(k).alias(k) for k in odd])
+    rows, _ = work.save(counted, "shard-rows")
     cells = max(1, -(-rows.count() // SLOT_ROWS))
     rows = rows.withColumn("__cell", F.pmod(F.xxhash64(*cols), F.lit(cells)))
-    upto = Window.partitionBy(shard).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
-    base = (rows.groupBy(shard, "__cell").agg(F.sum("__n").alias("__sum"))
+    upto = Window.partitionBy("__shard").orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
+    base = (rows.groupBy("__shard", "__cell").agg(F.sum("__n").alias("__sum"))
             .withColumn("__base", F.sum("__sum").over(upto) - F.col("__sum")).drop("__sum"))
-    upto = Window.partitionBy(shard, "__cell").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
-    first = rows.withColumn("__at", F.sum("__n").over(upto) - F.col("__n")).join(base, [shard, "__cell"])
-    parts = first.select(*cols, (F.col("__at") + F.col("__base")).alias("__at"), "__n",
+    base = base.withColumnsRenamed({"__shard": "__s", "__cell": "__c"})
+    upto = Window.partitionBy("__shard", "__cell").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    first = rows.withColumn("__at", F.sum("__n").over(upto) - F.col("__n")).join(
+        base, F.col("__shard").eqNullSafe(F.col("__s")) & (F.col("__cell") == F.col("__c")))
+    parts = first.select(*kept, (F.col("__at") + F.col("__base")).alias("__at"), "__n",
                          F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / COPY_ROWS))).alias("__p"))
     low = F.col("__at") + F.col("__p") * COPY_ROWS
     high = F.least(F.col("__at") + F.col("__n"), low + COPY_ROWS) - 1
-    return parts.select(*cols, F.explode(F.sequence(low, high)).alias(slot))
+    return parts.select(*[F.col(k).alias(c) for k, c in zip(kept, names)], F.explode(F.sequence(low, high)).alias(slot))
 
 
 def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:

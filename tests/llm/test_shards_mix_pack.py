@@ -156,3 +156,16 @@ def test_edges(spark, edge, empty):
     assert sum(r["length"] for r in rows if r["doc_id"] == 6) == 3 * len(ids[6])
     assert all(r["length"] == len(r["ids"]) for r in rows)
     assert packing.pack(empty).count() == 0
+
+
+def test_numbering_bears_any_column(spark):
+    """A column named slot, a name with a dot, maps, and rows that repeat."""
+    df = spark.sql("SELECT id % 3 AS shard, id % 4 AS slot, id % 2 AS `a.b`, map('k', id % 5) AS m, array(1.5) AS l FROM range(40)")
+    out = sharding.number(df)
+    assert out.columns == ["shard", "a.b", "m", "l", "slot"]
+    slots = {}
+    for r in out.collect():
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert {k: sorted(v) for k, v in slots.items()} == {0: list(range(14)), 1: list(range(13)), 2: list(range(13))}
+    again = sharding.assign(df, df["slot"], 5)
+    assert again.columns == df.columns and again.filter("shard BETWEEN 0 AND 4").count() == 40
