@@ -13,9 +13,12 @@ sorted rows, so a conversation of any length needs the memory of one batch.
 
 Defined results: null role or text is empty; a null id is an id of its own;
 turns with equal position are ordered by role, then text; repeated rows are
-repeated turns; a record whose fingerprint is not registered gives one row
-with null layout, role and text, so nothing is lost silently; a record that is
-not JSON is such a record too; an empty table gives an empty table.
+repeated turns; fields that an item of a list lacks are empty.  A record that
+can't be read gives one row with null layout, role and text, and the record
+itself in ``record``, so that nothing is lost (``unread`` selects them): its
+fingerprint is not registered, it is not JSON, an item is no object, a position
+is no 64-bit integer, or a text holds half a surrogate pair.  An empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -96,26 +99,33 @@ def paths_of(value, prefix: str = "") -> set[str]:
 
 
 def fingerprint(paths: Iterable[str]) -> str:
-    return xxhash.xxh64_hexdigest("\n".join(sorted(paths)))
+    return xxhash.xxh64_hexdigest("\n".join(sorted(paths)).encode("utf-8", "surrogatepass"))
 
 
-def turns_of(record, mapping: Mapping) -> list[tuple[int, str, str]]:
-    """(position, role, text) of a record by its mapping."""
+def turns_of(record, mapping: Mapping) -> list[tuple[int, str, str]] | None:
+    """(position, role, text) of a record by its mapping; None if it can't be read."""
     def text(x) -> str:
         return "" if x is None else x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
 
     if mapping.each:
-        rows = [(i, text(t[mapping.role]), text(t[mapping.text])) for i, t in enumerate(record[mapping.each])]
+        items = record[mapping.each]
+        if not isinstance(items, list) or not all(isinstance(t, dict) for t in items):
+            return None
+        rows = [(i, text(t.get(mapping.role)), text(t.get(mapping.text))) for i, t in enumerate(items)]
     elif mapping.text:
         rows = [(record[mapping.pos], text(record[mapping.role]), text(record[mapping.text]))]
+        if not (rows[0][0] is None or type(rows[0][0]) is int and -(1 << 63) <= rows[0][0] < 1 << 63):
+            return None
     else:
         rows = [(i, role, text(record[p])) for i, (role, p) in enumerate(
             (role, p) for role, p in mapping.fields if p in record)]
+    if any("\ud800" <= c <= "\udfff" for _, *both in rows for x in both if not x.isascii() for c in x):
+        return None
     return [(i, mapping.roles.get(role, role), t) for i, role, t in rows]
 
 
 def canonical_turns(df: DataFrame, key: str, record: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """JSON records (one per row) as turn rows: key, pos, role, text, layout."""
+    """JSON records (one per row) as turn rows: id, pos, role, text, layout, record (of those that can't be read)."""
     registry = {f: m for m in mappings for f in m.fingerprints()}
 
     def run(batches):
@@ -124,18 +134,24 @@ def canonical_turns(df: DataFrame, key: str, record: str, mappings: tuple[Mappin
             for k, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
                     value = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    value = None
-                m = registry.get(fingerprint(paths_of(value)))
-                out += [(k, *t, m.name) for t in turns_of(value, m)] if m else [(k, 0, None, None, None)]
-            cols = list(zip(*out)) or [()] * 5
+                    m = registry.get(fingerprint(paths_of(value))) if isinstance(value, dict) else None
+                    turns = turns_of(value, m) if m else None
+                except (ValueError, RecursionError):
+                    turns = None
+                out += [(k, 0, None, None, None, raw)] if turns is None else [(k, *t, m.name, None) for t in turns]
+            cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (b.schema.field(0).type, pa.int64(), *[pa.string()] * 3))],
-                ["id", "pos", "role", "text", "layout"])
+                [pa.array(c, t) for c, t in zip(cols, (b.schema.field(0).type, pa.int64(), *[pa.string()] * 4))],
+                ["id", "pos", "role", "text", "layout", "record"])
 
     kind = df.schema[key].dataType.simpleString()
     return (df.select(f"`{key}`", f"`{record}`")
-            .mapInArrow(run, f"id {kind}, pos bigint, role string, text string, layout string"))
+            .mapInArrow(run, f"id {kind}, pos bigint, role string, text string, layout string, record string"))
+
+
+def unread(turns: DataFrame) -> DataFrame:
+    """(id, record) of the records that gave no turns."""
+    return turns.filter("layout IS NULL").select("id", "record")
 
 
 #: The template's control strings.

@@ -194,6 +194,21 @@ def test_layouts(spark):
     assert got == {**want, 10: [(None, None)], 11: [(None, None)]}
 
 
+def test_records_that_cannot_be_read(spark):
+    """No record ends the job, and none is lost."""
+    bad = ['{"messages": [null]}', '{"messages": ["x", {"role": "user", "content": "y"}]}', '{"turn": "a", "role": "user", "text": "x"}',
+           '{"turn": 99999999999999999999, "role": "user", "text": "x"}', '{"turn": true, "role": "user", "text": "x"}',
+           '{"prompt": "\\ud800", "response": "r"}', '{"\\udfff": 1}', '{"turn": 1, "role": "user", "text": "kept", "name": "n"}',
+           "[1, 2]", "3", '"messages"', "", "{" * 5000, "[" * 100_000]
+    good = ['{"messages": [{"role": "user", "content": "q"}, {"role": "assistant"}]}', '{"turn": null, "role": null, "text": null}']
+    df = spark.createDataFrame(list(enumerate(bad + good)), "id bigint, record string")
+    turns = chat.canonical_turns(df, "id", "record")
+    assert sorted(map(tuple, chat.unread(turns).collect())) == list(enumerate(bad))
+    n = len(bad)
+    got = sorted((r["id"], r["role"], r["text"]) for r in turns.filter("layout IS NOT NULL").collect())
+    assert got == [(n, "assistant", ""), (n, "user", "q"), (n + 1, "", "")]
+
+
 def test_chat_edges(spark):
     schema = "id bigint, pos bigint, role string, text string"
     rows = [(None, 0, "user", "x"), (1, None, None, None), (1, 0, "assistant", "a\nb"), (1, 0, "assistant", "a\nb"),
@@ -221,3 +236,15 @@ def test_edges(spark, edge, empty):
     model = toxicity.fit(edge, labels, F.lit(True))
     assert toxicity.score(edge, model).filter("score BETWEEN 0 AND 1").count() == n
     assert toxicity.score(empty, model).count() == 0
+
+
+def test_sketches_of_many_pieces(spark):
+    """Texts of many thousand lines, with few and with many lines changed."""
+    n = 6000
+    rows = [(1, "\n".join(f"line {i}" for i in range(n))), (2, "\n".join(f"line {i if i % 100 else -i}" for i in range(n))),
+            (3, "\n".join(f"other {i}" for i in range(n // 2)))]
+    d = spark.createDataFrame(rows, "k int, text string").select("k", sketches.digests(F.col("text")).alias("d"))
+    both = d.alias("a").crossJoin(d.alias("b")).selectExpr("a.k AS k", "b.k AS l", "a.d AS x", "b.d AS y")
+    got = {(r["k"], r["l"]): r["near"] for r in sketches.likenesses(both, {"near": ("x", "y")}).collect()}
+    assert got[1, 1] == got[2, 2] == 1.0 and got[1, 3] == got[3, 2] == 0.0
+    assert got[1, 2] == got[2, 1] == pytest.approx((n - 59) / (n + 59))
