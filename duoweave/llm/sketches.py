@@ -6,6 +6,7 @@ sub-tables; a cell holds a count, the xor of its digests and the xor of their
 checks.  Sketches of two versions subtract cell by cell; cells that hold one
 digest are peeled, round by round, until the difference is recovered or no
 such cell is left.  Then the same is done with sketches four times as large.
+The first size tried follows from the numbers of digests.
 
 All of it is array expressions inside the row; no Python runs on the executors.
 
@@ -16,9 +17,13 @@ gives an empty table.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duoweave.functions.markup import bound
 from duoweave.llm import work
 
 PIECE_WORDS = 32
@@ -53,27 +58,20 @@ def entries(digest: Column, sign: Column, cells: int) -> Column:
         sign.alias("c"), digest.alias("k"), check(digest).alias("x")) for j in range(3)])
 
 
-def summed(cells: Column) -> Column:
-    """Entries added up by cell, in order of cells; empty cells are left out."""
-    kind = "struct<i:int,c:int,k:bigint,x:bigint>"
-    nothing = F.array().cast(f"array<{kind}>")
-    none = F.struct(F.lit(-1).alias("i"), F.lit(0).alias("c"), F.lit(0).cast("bigint").alias("k"),
-                    F.lit(0).cast("bigint").alias("x"))
-
-    def full(z: Column) -> Column:
-        return (z["c"] != 0) | (z["k"] != 0) | (z["x"] != 0)
+#: Entries ``v`` added up by cell: sorted, cut at the ends ``e`` of each cell's run, and each run folded on its own, so
+#: that the work is linear in the entries.
+_SUMMED = """get(transform(array(sort_array(v)), s -> get(transform(array(filter(
+    IF(size(s) > 0, sequence(1, size(s)), CAST(array() AS array<int>)), j -> coalesce(get(s, j).i != get(s, j - 1).i, true))), e ->
+  filter(transform(e, (z, q) -> aggregate(
+      slice(s, coalesce(get(e, q - 1), 0) + 1, z - coalesce(get(e, q - 1), 0)),
+      named_struct('i', -1, 'c', 0, 'k', 0L, 'x', 0L),
+      (a, y) -> named_struct('i', y.i, 'c', a.c + y.c, 'k', a.k ^ y.k, 'x', a.x ^ y.x))),
+    f -> f.c != 0 OR f.k != 0 OR f.x != 0)), 0)), 0)"""
 
-    def step(acc: Column, e: Column) -> Column:
-        now = acc["now"]
-        return F.when(now["i"] == e["i"], F.struct(acc["out"].alias("out"), F.struct(
-            e["i"].alias("i"), (now["c"] + e["c"]).alias("c"), now["k"].bitwiseXOR(e["k"]).alias("k"),
-            now["x"].bitwiseXOR(e["x"]).alias("x")).alias("now"))).otherwise(F.struct(
-                F.when(full(now), F.concat(acc["out"], F.array(now))).otherwise(acc["out"]).alias("out"),
-                e.alias("now")))
 
-    return F.aggregate(F.sort_array(cells), F.struct(nothing.alias("out"), none.alias("now")), step,
-                       lambda acc: F.when(full(acc["now"]), F.concat(acc["out"], F.array(acc["now"])))
-                       .otherwise(acc["out"]))
+def summed(cells: Column) -> Column:
+    """Entries added up by cell, in order of cells; empty cells are left out."""
+    return bound(cells, "v", _SUMMED)
 
 
 def sketch(found: Column, cells: int = CELLS) -> Column:
@@ -128,27 +126,34 @@ def as_text(cells: Column) -> Column:
 
 
 def likenesses(pairs: DataFrame, wanted: dict[str, tuple[str, str]]) -> DataFrame:
-    """``pairs`` with a column per wanted likeness of two digest columns; larger sketches where smaller ones fail."""
-    spark = pairs.sparkSession
+    """``pairs`` with a column per wanted likeness of two digest columns.
+
+    A likeness is first tried with the least size of sketch (four times the one
+    before) that has a cell for every digest of the two, then with larger ones
+    until the difference is peeled.  A pass sketches only what it tries.
+    """
     keep = pairs.columns
-    now, cells, done = pairs.withColumns({n: F.lit(None).cast("double") for n in wanted}), CELLS, None
-    for _ in range(ATTEMPTS):
-        tried = now
-        used = sorted({c for ab in wanted.values() for c in ab})
-        tried = tried.withColumns({f"__{c}": sketch(F.col(c), cells) for c in used})
-        tried = tried.select(*keep, *[F.coalesce(n, likeness(F.col(f"__{a}"), F.col(f"__{b}"), cells)).alias(n)
-                                      for n, (a, b) in wanted.items()])
+    level = {n: F.greatest(F.ceil(F.log(4.0, F.greatest(F.size(a) + F.size(b), F.lit(1)) / CELLS)), F.lit(0)).cast("int")
+             for n, (a, b) in wanted.items()}
+    now = pairs.withColumns({n: F.lit(None).cast("double") for n in wanted}).withColumns(
+        {f"__level_{n}": c for n, c in level.items()})
+    done = None
+    for attempt in range(ATTEMPTS):
+        cells = CELLS * 4 ** attempt
+        due = {n: F.col(n).isNull() & (F.col(f"__level_{n}") <= attempt) for n in wanted}
+        need = {c: reduce(or_, [due[n] for n, ab in wanted.items() if c in ab]) for ab in wanted.values() for c in ab}
+        tried = now.withColumns({f"__{c}": F.when(d, sketch(F.col(c), cells)) for c, d in need.items()})
+        tried = tried.select(*keep, *[f"__level_{n}" for n in wanted], *[
+            F.coalesce(n, F.when(due[n], likeness(F.col(f"__{a}"), F.col(f"__{b}"), cells))).alias(n)
+            for n, (a, b) in wanted.items()])
         tried, _ = work.save(tried, "sketch-likeness")
-        failed = F.lit(False)
-        for n in wanted:
-            failed = failed | F.col(n).isNull()
-        ok = tried.filter(~failed)
+        failed = reduce(or_, [F.col(n).isNull() for n in wanted])
+        ok = tried.filter(~failed).select(*keep, *wanted)
         done = ok if done is None else done.unionByName(ok)
         now = tried.filter(failed)
         if not now.limit(1).count():
             return done
-        cells *= 4
-    raise RuntimeError(f"a difference could not be peeled with {cells // 4} cells")
+    raise RuntimeError(f"a difference could not be peeled with {cells} cells")
 
 
 def following(keys: DataFrame, key: str) -> DataFrame:
