@@ -8,10 +8,12 @@ a pair can delete a run of lines only if both documents hold the run and the
 alignment has a start, which is an equal first or last line or a line that is
 unique in both (``starts``).  Holders of an undeleted run are paired by run and
 start, first with ``PIVOTS`` early holders, then, for runs that are still
-there, with all earlier ones.  The result is that of aligning every document
-with every earlier one; pairs grow with the lines as long as most runs go at
-one of the early holders.  Documents with equal lines are aligned whole with
-the earliest of them and take no further part.
+there, with the earliest document of every signature (its shared lines in
+order, see ``signature``), since documents of one signature delete the same.
+The result is that of aligning every document with every earlier one; pairs
+grow with the documents and the number of signatures that share a run and a
+start.  Documents with equal lines are aligned whole with the earliest of them
+and take no further part.
 Each pair is aligned by patience diff over line hashes: common ends, then the
 longest increasing run of lines that are unique on both sides, then the gaps.
 Aligned blocks of at least ``MIN_WORDS`` words are deleted from the later
@@ -45,6 +47,8 @@ RARE, MIN_WORDS = 8, 5
 #: Early holders that an undeleted run is tried with before all.
 PIVOTS = 8
 BLANK = 0
+#: Stands for lines that no other document holds, in a document's signature.
+GAP = 1
 #: Rows that a task holds as Python objects at once.
 SLICE_ROWS = 500
 NO_KEY = -(1 << 63)
@@ -163,6 +167,21 @@ def starts(lines: list[int], known: set[int]) -> list[int]:
     return [h for h in lines if count[h] == 1 and h in known] + [h - (1 << 64) if h >> 63 else h for h in ends]
 
 
+def signature(lines: list[int], known: set[int]) -> bytes:
+    """Digest of a document's lines that others hold too, with gaps where there are others.
+
+    Lines that no other document holds align with nothing, and one of them parts
+    its neighbours as well as many do.  So documents of equal signature delete
+    the same lines from any later document, and the earliest stands for all.
+    """
+    out = []
+    for h in lines:
+        h = h if h == BLANK or h in known else GAP
+        if h != GAP or not out or out[-1] != GAP:
+            out.append(h)
+    return xxhash.xxh3_128_digest(np.array(out, "<i8").tobytes())
+
+
 def _hashed(docs: DataFrame) -> DataFrame:
     """(key, version, hi, lo, lines, words): hashes of the lines and a 128-bit digest of their sequence."""
     names = ["key", "version", "hi", "lo", "lines", "words"]
@@ -204,12 +223,12 @@ def _pairs(shared: DataFrame) -> DataFrame:
 
 
 def _frequent(first: DataFrame, shared: DataFrame) -> DataFrame:
-    """(key, version, runs, from, to, starts) of the documents with runs of frequent lines."""
+    """(key, version, runs, from, to, starts, sign) of the documents with runs of frequent lines."""
     marks = shared.groupBy("doc").agg(
         F.collect_list("line").alias("known"),
         F.collect_list(F.when(F.col("n") > RARE, F.col("line"))).alias("frequent")) \
         .filter(F.size("frequent") > 0).select("doc.key", "doc.version", "known", "frequent")
-    names = ["key", "version", "runs", "from", "to", "starts"]
+    names = ["key", "version", "runs", "from", "to", "starts", "sign"]
 
     def run(batches):
         for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
@@ -217,15 +236,16 @@ def _frequent(first: DataFrame, shared: DataFrame) -> DataFrame:
             for key, version, lines, words, known, frequent in zip(*(b.column(i).to_pylist() for i in range(6))):
                 found = runs(lines, words, set(frequent))
                 if found:
-                    out.append((key, version, *map(list, zip(*found)), starts(lines, set(known))))
-            cols = list(zip(*out)) or [()] * 6
+                    known = set(known)
+                    out.append((key, version, *map(list, zip(*found)), starts(lines, known), signature(lines, known)))
+            cols = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
                 pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()),
-                pa.list_(pa.int64())))], names)
+                pa.list_(pa.int64()), pa.binary()))], names)
 
     return first.join(marks, ["key", "version"]).select("key", "version", "lines", "words", "known", "frequent") \
         .mapInArrow(run, "key bigint, version bigint, runs array<bigint>, from array<int>, to array<int>, "
-                         "starts array<bigint>")
+                         "starts array<bigint>, sign binary")
 
 
 def _undeleted(held: DataFrame, found: DataFrame) -> DataFrame:
@@ -254,19 +274,22 @@ def _more_pairs(held: DataFrame, left: DataFrame, pivots: int | None) -> DataFra
     """(early, late) documents that hold a run of ``left``, undeleted in the later one, and a start.
 
     With ``pivots``, early documents are so many of each run and start: the
-    earliest ones by a hash of the document.
+    earliest ones by a hash of the document.  Without, the earliest document of
+    each signature stands for all of that signature.
     """
     doc = F.struct("key", "version")
     meets = F.xxhash64("run", "start").alias("meet")
     begin = held.select("key", "version", F.explode(F.array_distinct("starts")).alias("start"))
     late = left.join(begin, ["key", "version"]).select(meets, doc.alias("late"))
-    early = held.select("key", "version", F.explode(F.array_distinct("runs")).alias("run")) \
+    early = held.select("key", "version", "sign", F.explode(F.array_distinct("runs")).alias("run")) \
         .join(left.select("run").distinct(), "run", "left_semi") \
-        .join(begin, ["key", "version"]).select(meets, doc.alias("early"))
+        .join(begin, ["key", "version"]).select(meets, "sign", doc.alias("early"))
     if pivots:
         part = F.pmod(F.xxhash64("early"), F.lit(pivots))
         early = early.groupBy("meet").agg(*[F.min(F.when(part == i, F.col("early"))).alias(f"p{i}") for i in range(pivots)]) \
             .select("meet", F.explode(F.array(*[f"p{i}" for i in range(pivots)])).alias("early")).filter("early IS NOT NULL")
+    else:
+        early = early.groupBy("meet", "sign").agg(F.min("early").alias("early"))
     return early.join(late, "meet").filter(F.col("early") < F.col("late")).select("early", "late").distinct()
 
 

@@ -125,3 +125,43 @@ def test_lines_query_equals_alignment_of_all_pairs(spark, docs):
     got = {r["doc_id"]: (r["n_lines"], r["n_deleted"], r["kept_sha256"])
            for r in queries.op2_line_align(spark, SF_SMALL).collect()}
     assert got == brute.line_dedup(docs, rare=len(docs))
+
+
+def test_lines_of_boilerplate_pair_by_signature(spark, monkeypatch):
+    """Pages with an equal first line and one link text four times: pairs grow with the pages, not with their square."""
+    pairs, real = [], linealign._more_pairs
+
+    def counted(*args):
+        out = real(*args)
+        pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(linealign, "_more_pairs", counted)
+    link = "read more of this one story here"
+    for n in (40, 80):
+        data = [(i, "\n".join(["Site of the daily news for all"] + [x for k in range(4) for x in (f"own words {k} of page {i}", link)]
+                              + [f"end {i}"] * (1 + i % 3))) for i in range(n)]
+        df = spark.createDataFrame(data, "doc_id bigint, text string").repartition(4)
+        got = {r["key"]: (r["n_lines"], r["n_deleted"], r["sha"]) for r in linealign.kept(df).collect()}
+        assert got == brute.line_dedup(data)
+        assert sum(pairs) <= (linealign.PIVOTS + 6) * n
+        pairs.clear()
+
+
+def test_equal_signatures_delete_alike():
+    rng = random.Random(8)
+    for _ in range(300):
+        late = [rng.randrange(0, 7) for _ in range(rng.randrange(1, 12))]
+        early = [rng.randrange(0, 12) for _ in range(rng.randrange(1, 14))]
+        known = {2, 3, 4, 5, 6}
+        late = [h if h in known else 0 if h == 0 else 50 for h in late]
+        other, last = [], None
+        for h in early:
+            own = h != 0 and h not in known
+            if not (own and last):
+                other += [rng.randrange(100, 999)] * rng.randrange(1, 3) if own else [h]
+            last = own
+        early = [h if h == 0 or h in known else 70 + n for n, h in enumerate(early)]
+        assert linealign.signature(early, known) == linealign.signature(other, known)
+        words = [3] * len(late)
+        assert linealign.blocks(early, late, words) == linealign.blocks(other, late, words)
