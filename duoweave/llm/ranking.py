@@ -32,6 +32,8 @@ from duoweave.llm import work
 
 #: Bounds of the sample that weights are fitted on.
 ROWS, PARTNERS = 4000, 16
+#: Places that the hash of a row may fall in.
+PLACES = 1 << 40
 #: Weight of the squared weights in the loss, per pair; rounds of Newton's method.
 PENALTY, ROUNDS = 1e-3, 30
 #: Scores are counted in steps of 1 / STEPS up to LIMIT away from 0.
@@ -145,9 +147,13 @@ def fit(found: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
         work.drop(spark, path)
         return Model(share=good / (good + bad) if good + bad else 0.5)
     picked = {}
-    for value in (0, 1):
-        some = rows.filter(F.col("label") == value).orderBy(F.md5(F.col("key").cast("string")), "f").limit(ROWS)
-        picked[value] = np.array([r["f"] for r in some.select("f").collect()], np.float64)
+    for value, n in ((0, bad), (1, good)):
+        # About twice as many as asked for, by a hash, of which the first are taken: a bounded number reaches the driver.
+        place = F.pmod(F.xxhash64("key", "f"), F.lit(PLACES))
+        some = rows.filter((F.col("label") == value) & (place < int(PLACES * min(1.0, 2 * ROWS / n)))) \
+            .select("f", place.alias("place")).distinct()
+        first = sorted((r["place"], r["f"]) for r in some.collect())[:ROWS]
+        picked[value] = np.array([f for _, f in first], np.float64)
     weights = tuple(float(w) for w in fit_weights(picked[1], picked[0]))
     # The quantile that parts as many labelled rows as are labelled bad, in the gap above it.
     raw = F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), Model(weights).raw(F.col("f"))))
