@@ -61,6 +61,24 @@ def after_open(markup: Column, sel: Sel) -> Column:
     return F.get(F.split(markup, sel.open(), 2), 1)
 
 
+def bound(value: Column, name: str, sql: str) -> Column:
+    """An SQL expression of the variable ``name``, applied to ``value``, which is evaluated once.
+
+    Long expressions are one parsed text this way, not thousands of calls to the JVM.
+    """
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {sql}")), F.lit(0))
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _tags_sql(pattern: str) -> str:
+    """The tags of the markup ``m``: each with the text before it (fields `0` and `1`)."""
+    p = _text(pattern)
+    return f"filter(arrays_zip(split(m, {p}, -1), regexp_extract_all(m, {p}, 0)), z -> z.`1` IS NOT NULL)"
+
+
 def elements(markup: Column, tag: str, sels: tuple[Sel, ...]) -> Column:
     """array<struct<o, s, e, m>>: the elements of a tag name that match one of ``sels``, in document order.
 
@@ -69,44 +87,30 @@ def elements(markup: Column, tag: str, sels: tuple[Sel, ...]) -> Column:
     open element of the name; an element that is not closed ends with the
     markup.  One fold over the name's tags; only elements that match are held.
     """
+    def state(depth: str, now: str, out: str) -> str:
+        return f"named_struct('depth', {depth}, 'pos', a.pos + t.before + t.n, 'now', {now}, 'out', {out})"
+
     tags = rf"(?i)</?{_escaped(tag)}(?=[\s/>]){_ATTRS}>"
-    kind = "array<struct<d:int,o:int,s:int,m:int>>"
-
-    def mark(z: Column) -> Column:
-        m = F.lit(0)
-        for i, sel in enumerate(sels):
-            m = m + F.when(z["1"].rlike("^" + sel.open()), 1 << i).otherwise(0)
-        return F.struct(F.length(z["0"]).alias("before"), F.length(z["1"]).alias("n"),
-                        F.when(z["1"].startswith("</"), 1).when(z["1"].endswith("/>"), 2).otherwise(0).alias("kind"),
-                        F.when(z["1"].startswith("</"), 0).otherwise(m).alias("m"))
-
-    parts = F.arrays_zip(F.split(markup, tags, -1), F.regexp_extract_all(markup, F.lit(tags), F.lit(0)))
-    marks = F.transform(F.filter(parts, lambda z: z["1"].isNotNull()), mark)
-
-    def state(depth, pos, now, out) -> Column:
-        return F.struct(depth.alias("depth"), pos.alias("pos"), now.alias("now"), out.alias("out"))
-
-    def item(o, s, e, m) -> Column:
-        return F.array(F.struct(o.alias("o"), s.alias("s"), e.alias("e"), m.alias("m")))
-
-    def step(acc: Column, t: Column) -> Column:
-        depth, now, out = acc["depth"], acc["now"], acc["out"]
-        at = acc["pos"] + t["before"]
-        after = at + t["n"]
-        last = F.get(now, F.size(now) - 1)
-        deeper = F.concat(now, F.array(F.struct((depth + 1).alias("d"), at.alias("o"), after.alias("s"), t["m"].alias("m"))))
-        return F.when((t["kind"] == 0) & (t["m"] == 0), state(depth + 1, after, now, out)) \
-            .when(t["kind"] == 0, state(depth + 1, after, deeper, out)) \
-            .when((t["kind"] == 1) & (last["d"] == depth), state(
-                depth - 1, after, F.slice(now, F.lit(1), F.size(now) - 1),
-                F.concat(out, item(last["o"], last["s"], at, last["m"])))) \
-            .when(t["kind"] == 1, state(F.greatest(depth - 1, F.lit(0)), after, now, out)) \
-            .when(t["m"] > 0, state(depth, after, now, F.concat(out, item(at, after, after, t["m"])))) \
-            .otherwise(state(depth, after, now, out))
-
-    start = state(F.lit(0), F.lit(0), F.array().cast(kind), F.array().cast("array<struct<o:int,s:int,e:int,m:int>>"))
-    return F.aggregate(marks, start, step, lambda acc: F.sort_array(F.concat(acc["out"], F.transform(
-        acc["now"], lambda x: F.struct(x["o"].alias("o"), x["s"].alias("s"), F.length(markup).alias("e"), x["m"].alias("m"))))))
+    bits = " + ".join(f"CASE WHEN z.`1` RLIKE {_text('^' + s.open())} THEN {1 << i} ELSE 0 END" for i, s in enumerate(sels))
+    marks = f"""transform({_tags_sql(tags)}, z -> named_struct('before', length(z.`0`), 'n', length(z.`1`),
+      'kind', CASE WHEN startswith(z.`1`, '</') THEN 1 WHEN endswith(z.`1`, '/>') THEN 2 ELSE 0 END,
+      'm', CASE WHEN startswith(z.`1`, '</') THEN 0 ELSE {bits} END))"""
+    at, after, last = "a.pos + t.before", "a.pos + t.before + t.n", "get(a.now, size(a.now) - 1)"
+    step = f"""CASE
+      WHEN t.kind = 0 AND t.m = 0 THEN {state("a.depth + 1", "a.now", "a.out")}
+      WHEN t.kind = 0 THEN {state("a.depth + 1",
+                                  f"concat(a.now, array(named_struct('d', a.depth + 1, 'o', {at}, 's', {after}, 'm', t.m)))", "a.out")}
+      WHEN t.kind = 1 AND {last}.d = a.depth THEN {state(
+          "a.depth - 1", "slice(a.now, 1, size(a.now) - 1)",
+          f"concat(a.out, array(named_struct('o', {last}.o, 's', {last}.s, 'e', {at}, 'm', {last}.m)))")}
+      WHEN t.kind = 1 THEN {state("greatest(a.depth - 1, 0)", "a.now", "a.out")}
+      WHEN t.m > 0 THEN {state("a.depth", "a.now",
+                               f"concat(a.out, array(named_struct('o', {at}, 's', {after}, 'e', {after}, 'm', t.m)))")}
+      ELSE {state("a.depth", "a.now", "a.out")} END"""
+    return bound(markup, "m", f"""aggregate({marks}, named_struct('depth', 0, 'pos', 0,
+      'now', CAST(array() AS array<struct<d:int,o:int,s:int,m:int>>), 'out', CAST(array() AS array<struct<o:int,s:int,e:int,m:int>>)),
+      (a, t) -> {step}, a -> sort_array(concat(a.out, transform(a.now, x ->
+        named_struct('o', x.o, 's', x.s, 'e', length(m), 'm', x.m)))))""")
 
 
 def matching(found: Column, bit: int) -> Column:
@@ -128,57 +132,44 @@ def content(markup: Column, x: Column) -> Column:
     return F.substring(markup, x["s"] + 1, x["e"] - x["s"])
 
 
-def _walked(inner: Column, finish) -> Column:
-    """Fold over all tags of a content with a stack of open names.
+def _walked(inner: Column, finish: str) -> Column:
+    """Fold over all tags of a content with a stack of open names; ``finish`` is SQL of the last state ``a``.
 
     A closing tag closes the nearest open element of its name with everything
     inside; one that matches nothing is passed over.
     """
-    parts = F.arrays_zip(F.split(inner, ANY_TAG, -1), F.regexp_extract_all(inner, F.lit(ANY_TAG), F.lit(0)))
-    tags = F.transform(F.filter(parts, lambda z: z["1"].isNotNull()), lambda z: F.struct(
-        F.length(z["0"]).alias("before"), z["1"].alias("tag"), F.length(z["1"]).alias("n"),
-        z["1"].startswith("</").alias("close"), z["1"].endswith("/>").alias("empty"),
-        F.lower(F.regexp_extract(z["1"], r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1)).alias("name")))
-    tags = F.transform(tags, lambda t: F.struct(
-        *[t[c].alias(c) for c in ("before", "tag", "n", "close", "name")],
-        (t["empty"] | t["name"].isin(*VOID)).alias("empty")))
-
-    def state(stack, pos, tag, s, out) -> Column:
-        return F.struct(stack.alias("stack"), pos.alias("pos"), tag.alias("tag"), s.alias("s"), out.alias("out"))
-
-    def item(tag, s, e) -> Column:
-        return F.array(F.struct(tag.alias("tag"), s.alias("s"), e.alias("e")))
-
-    def step(acc: Column, t: Column) -> Column:
-        stack, tag, s, out = acc["stack"], acc["tag"], acc["s"], acc["out"]
-        at = acc["pos"] + t["before"]
-        after = at + t["n"]
-        left = (F.size(stack) - F.array_position(F.reverse(stack), t["name"])).cast("int")
-        outside = F.size(stack) == 0
-        return F.when(t["close"] & (F.get(stack, F.lit(0)) == t["name"]) & (left == 0), state(
-                F.slice(stack, 1, 0), after, tag, s, F.concat(out, item(tag, s, at)))) \
-            .when(t["close"], state(F.when(F.array_contains(stack, t["name"]), F.slice(stack, F.lit(1), left))
-                                    .otherwise(stack), after, tag, s, out)) \
-            .when(t["empty"], state(stack, after, tag, s, F.when(outside, F.concat(out, item(t["tag"], after, after)))
-                                    .otherwise(out))) \
-            .when(outside, state(F.array(t["name"]), after, t["tag"], after, out)) \
-            .otherwise(state(F.concat(stack, F.array(t["name"])), after, tag, s, out))
-
-    start = state(F.array().cast("array<string>"), F.lit(0), F.lit(""), F.lit(0),
-                  F.array().cast("array<struct<tag:string,s:int,e:int>>"))
-    return F.aggregate(tags, start, step, finish)
+    def state(stack: str, tag: str = "a.tag", s: str = "a.s", out: str = "a.out") -> str:
+        return f"named_struct('stack', {stack}, 'pos', a.pos + t.before + t.n, 'tag', {tag}, 's', {s}, 'out', {out})"
+
+    void = ", ".join(map(_text, VOID))
+    tags = f"""transform(transform({_tags_sql(ANY_TAG)}, z -> named_struct('before', length(z.`0`), 'tag', z.`1`, 'n', length(z.`1`),
+      'name', lower(regexp_extract(z.`1`, '^</?([a-zA-Z][a-zA-Z0-9]*)', 1)))), t -> named_struct('before', t.before, 'tag', t.tag,
+      'n', t.n, 'name', t.name, 'close', startswith(t.tag, '</'), 'empty', endswith(t.tag, '/>') OR t.name IN ({void})))"""
+    at, after = "a.pos + t.before", "a.pos + t.before + t.n"
+    left = "CAST(size(a.stack) - array_position(reverse(a.stack), t.name) AS INT)"
+    step = f"""CASE
+      WHEN t.close AND get(a.stack, 0) = t.name AND {left} = 0 THEN {state(
+          "CAST(array() AS array<string>)", out=f"concat(a.out, array(named_struct('tag', a.tag, 's', a.s, 'e', {at})))")}
+      WHEN t.close THEN {state(f"CASE WHEN array_contains(a.stack, t.name) THEN slice(a.stack, 1, {left}) ELSE a.stack END")}
+      WHEN t.empty AND size(a.stack) = 0 THEN {state(
+          "a.stack", out=f"concat(a.out, array(named_struct('tag', t.tag, 's', {after}, 'e', {after})))")}
+      WHEN t.empty THEN {state("a.stack")}
+      WHEN size(a.stack) = 0 THEN {state("array(t.name)", "t.tag", after)}
+      ELSE {state("concat(a.stack, array(t.name))")} END"""
+    return bound(inner, "m", f"""aggregate({tags}, named_struct('stack', CAST(array() AS array<string>), 'pos', 0, 'tag', '', 's', 0,
+      'out', CAST(array() AS array<struct<tag:string,s:int,e:int>>)), (a, t) -> {step}, a -> {finish})""")
 
 
 def children(inner: Column) -> Column:
     """array<struct<tag, s, e>>: direct child elements of a content, each with its opening tag and the
     positions (from 0) of its own content."""
-    return _walked(inner, lambda acc: F.when(F.size(acc["stack"]) == 0, acc["out"]).otherwise(F.concat(
-        acc["out"], F.array(F.struct(acc["tag"].alias("tag"), acc["s"].alias("s"), F.lit(1 << 30).alias("e"))))))
+    return _walked(inner, f"""CASE WHEN size(a.stack) = 0 THEN a.out
+      ELSE concat(a.out, array(named_struct('tag', a.tag, 's', a.s, 'e', {1 << 30}))) END""")
 
 
 def closed(inner: Column) -> Column:
     """Whether every element that a piece of markup opens is closed in it."""
-    return _walked(inner, lambda acc: F.size(acc["stack"]) == 0)
+    return _walked(inner, "size(a.stack) = 0")
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -200,18 +191,6 @@ _WINDOWS = {0x00: 0xFFFD, 0x0D: 0x0D, **{
     for n in range(0x80, 0xA0)}}
 
 
-def bound(value: Column, name: str, sql: str) -> Column:
-    """An SQL expression of the variable ``name``, applied to ``value``, which is evaluated once.
-
-    Long expressions are one parsed text this way, not thousands of calls to the JVM.
-    """
-    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {sql}")), F.lit(0))
-
-
-def _text(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _table(entries: dict, kind: str = "string") -> str:
     return f"from_json({_text(json.dumps(entries))}, 'map<string,{kind}>')"
 

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duoweave.functions.text import clean_text, is_script, language_label, script_counts
+from duoweave.functions.text import SEPARATOR_TOKENS, clean_array, clean_text, is_script, language_label, script_counts
 from duoweave.functions.urls import in_domain, is_valid_url
 from duoweave.operators import align as A
 from duoweave.operators import links as L
 from duoweave.operators import listing as LS
-from duoweave.operators.encode import GivenVectors, NgramEncoder
+from duoweave.operators.encode import GivenVectors, ModelEncoder, NgramEncoder
 from duoweave.operators.fetch import fetched_content, usable_response
 from duoweave.functions.markup import Sel
 from duoweave.operators.layout import ARTICLE_LAYOUT, NEWS_LAYOUT, extract, rows_of
@@ -30,6 +30,7 @@ from duoweave.plans.corpus import bi_content, corpus_pairs, fetch_pairs
 from duoweave.session import ensure_checkpoint_dir, materialize
 from duoweave.sources import commits
 from duoweave.sources.listing import parse_listing
+from duoweave.sources.sinks import read_csv, run_path, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -429,6 +430,31 @@ def heading_placeholder(spark, sf):
                     F.get(F.col("english"), 0).alias("first_english"))
 
 
+@register("heading_rows", O.with_ctes(O.DOC_LINES) + f"""
+SELECT d.doc_id AS page_id, (coalesce(f.n, 0) // 2 + coalesce(f.n, 0) % 2)::BIGINT AS n_english,
+       ((coalesce(f.n, 0) + 1) // 2)::BIGINT AS n_khmer, CASE WHEN f.n % 2 = 1 THEN '' ELSE f.first END AS first_english,
+       false AS needs_align
+FROM documents d LEFT JOIN (
+  SELECT doc_id, n, max(CASE WHEN r = n // 2 + 1 THEN t END) AS first FROM (
+    SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r, count(*) OVER (PARTITION BY doc_id) AS n
+    FROM (SELECT doc_id, pos, {O.clean('line')} AS t FROM doc_lines)
+    WHERE length(t) >= 3 AND t NOT IN ('...', {', '.join(O.lit(t) for t in SEPARATOR_TOKENS)}))
+  GROUP BY doc_id, n) f ON f.doc_id = d.doc_id""")
+def heading_rows(spark, sf):
+    """Every document's lines halved by a separator; where the first half has one more, '' opens the English list."""
+    d = X.table(spark, sf, "documents")
+    kept = F.filter(clean_array(F.split(F.coalesce("text", F.lit("")), "\n", -1)),
+                    lambda t: (F.length(t) >= 3) & ~t.isin("...", *SEPARATOR_TOKENS))
+    d = d.select(F.col("doc_id").alias("page_id"), kept.alias("kept"))
+    half = F.ceil(F.size("kept") / 2).cast("int")
+    blocks = F.concat(F.slice("kept", F.lit(1), half), F.array(F.lit("***")), F.slice("kept", half + 1, F.size("kept")))
+    none = F.array().cast("array<string>")
+    c = materialize(route(d.select("page_id", F.lit("").alias("title"), blocks.alias("blocks"), F.lit(True).alias("has_blocks"),
+                                   none.alias("fallback"))))
+    return c.select("page_id", F.size("english").alias("n_english"), F.size("khmer").alias("n_khmer"),
+                    F.get(F.col("english"), 0).alias("first_english"), "needs_align")
+
+
 @register("align_trigger", O.with_ctes(*_BI, O.BI_ROUTED, O.BI_CONTENT) + """
 SELECT page_id, len(english)::BIGINT AS n_english, len(khmer)::BIGINT AS n_khmer, needs_align FROM bi_content""")
 def align_trigger(spark, sf):
@@ -551,6 +577,32 @@ def append_commit(spark, sf):
     return commits.read(spark, table).select((F.col("page_id") % 3).alias("batch"), "page_id", "i", "id")
 
 
+@register("align_failure", O.with_ctes(*_BI_ALL) + """
+SELECT page_id, i::BIGINT AS i, coalesce(english[i + 1], '') AS english_text, coalesce(khmer[i + 1], '') AS khmer_text
+FROM bi_content, range(greatest(len(english), len(khmer), 1)) AS r(i)""")
+def align_failure(spark, sf):
+    """Where the model fails for the texts of a page, the page keeps its unaligned lists."""
+    def load():
+        def encode(texts):
+            raise ValueError("no text can be encoded")
+        return encode
+
+    return to_pairs(A.align(bi_content(spark, sf), ModelEncoder(load, dims=4)))
+
+
+@register("csv_rows", O.with_ctes(O.DOC_LINES) + """
+SELECT (doc_id * 1000000 + pos)::BIGINT AS id, line AS english_text, '"' || line || '", ' || chr(10) || pos AS khmer_text
+FROM doc_lines""")
+def csv_rows(spark, sf):
+    """Every line written to a run's CSV folder, beside itself with quotes, commas and line breaks, and read back."""
+    pairs = X.doc_lines(spark, sf).select(
+        (F.col("doc_id") * 1000000 + F.col("pos")).alias("id"), F.col("line").alias("english_text"),
+        F.concat(F.lit('"'), "line", F.lit('", \n'), F.col("pos").cast("string")).alias("khmer_text"))
+    path = run_path(f"{ensure_checkpoint_dir(spark)}/tables/csv-{uuid.uuid4().hex}")
+    write_csv(pairs, path)
+    return read_csv(spark, path).toDF("id", "english_text", "khmer_text")
+
+
 @register("run_summary", O.with_ctes(*_BI_ALL) + """
 SELECT count(*)::BIGINT AS pages, coalesce(sum(len(english)), 0)::BIGINT AS english_texts,
        coalesce(sum(len(khmer)), 0)::BIGINT AS khmer_texts FROM bi_final""")
