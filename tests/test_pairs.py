@@ -104,3 +104,12 @@ def test_run_path_names_one_folder_per_run():
 
     assert run_path("/x", "r1") == "/x/run=r1"
     assert re.fullmatch(r"/x/run=\d{4}-\d\d-\d\dT\d\d-\d\d-\d\dZ", run_path("/x"))
+
+
+def test_aligned_content_is_written_once(spark):
+    """Queries that read the aligned pages several times find a table, not the last steps of the alignment."""
+    from duoweave.plans.corpus import bi_content
+    from tests.conftest import SF_SMALL
+
+    plan = bi_content(spark, SF_SMALL, aligned=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and not any(step in plan for step in ("Join", "Aggregate", "Union"))
