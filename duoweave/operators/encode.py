@@ -70,13 +70,15 @@ class NgramEncoder:
 
     def buckets(self, text: Column) -> Column:
         """array<int>: bucket of every n-gram of a text (whole text, code points); empty if it is shorter than n."""
-        points = F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c).cast("bigint"))
+        points = F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("bigint"))
 
         def bucket(cs: Column, i: Column) -> Column:
-            h = F.lit(0).cast("bigint")
-            for k in range(self.n):
-                h = h + F.get(cs, i + k) * F.lit(HASH_MULTIPLIER ** (self.n - 1 - k))
-            return F.pmod(F.pmod(h, F.lit(HASH_MODULUS).cast("bigint")), F.lit(self.dims).cast("bigint")).cast("int")
+            h = F.get(cs, i + (self.n - 1) if self.n > 1 else i)
+            for k in range(self.n - 1):
+                h = h + F.get(cs, i + k if k else i) * F.lit(HASH_MULTIPLIER ** (self.n - 1 - k))
+            # no code point is negative, so % and pmod agree
+            bucket = (h % F.lit(HASH_MODULUS).cast("bigint") % F.lit(self.dims).cast("bigint")).cast("int")
+            return F.coalesce(bucket, F.lit(0))
 
         def places(cs: Column) -> Column:
             return F.when(F.size(cs) >= self.n, F.sequence(F.lit(0), F.size(cs) - self.n)).otherwise(
@@ -84,27 +86,22 @@ class NgramEncoder:
 
         return let(points, lambda cs: F.transform(places(cs), lambda i: bucket(cs, i)))
 
-    def counts(self, buckets: Column) -> Column:
-        """array<double> of length ``dims``: how often each bucket is there, from the ends of the sorted buckets' runs."""
-        def ends_of(bs: Column) -> Column:
-            places = F.when(F.size(bs) > 0, F.sequence(F.lit(1), F.size(bs))).otherwise(F.array().cast("array<int>"))
-            return F.filter(places, lambda i: F.coalesce(F.get(bs, i) != F.get(bs, i - 1), F.lit(True)))
+    def runs(self, buckets: Column) -> Column:
+        """array<int>: the sorted buckets, every bucket of the encoder added once."""
+        return F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(self.dims - 1))))
 
-        def by_bucket(bs: Column, ends: Column) -> Column:
-            return F.map_from_arrays(
-                F.transform(ends, lambda e: F.get(bs, e - 1)),
-                F.transform(ends, lambda e, k: (e - F.coalesce(F.get(ends, k - 1), F.lit(0))).cast("double")))
-
-        def dense(counted: Column) -> Column:
-            return F.transform(F.sequence(F.lit(0), F.lit(self.dims - 1)),
-                               lambda b: F.coalesce(F.element_at(counted, b), F.lit(0.0)))
-
-        return let(F.sort_array(buckets), lambda bs: let(ends_of(bs), lambda ends: let(by_bucket(bs, ends), dense)))
+    def counts(self, runs: Column) -> Column:
+        """array<double> of length ``dims``: how often each bucket is there, from the ends of the runs (one per bucket)."""
+        ends = F.filter(F.sequence(F.lit(1), F.size(runs)),
+                        lambda i: F.coalesce(F.get(runs, i) != F.get(runs, i - 1), F.lit(True)))
+        return let(ends, lambda es: F.transform(
+            es, lambda e, k: (e - F.coalesce(F.get(es, k - 1), F.lit(0)) - 1).cast("double")))
 
     def vectors(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         """(keys..., vec, head, tail): one row per sentence; head and tail are what a junction needs."""
         t = F.coalesce(F.col(text), F.lit(""))
         return sentences.select(*keys, self.buckets(t).alias("_b"), self.head(t).alias("head"), self.tail(t).alias("tail")) \
+            .select(*keys, self.runs(F.col("_b")).alias("_b"), "head", "tail") \
             .select(*keys, self.counts(F.col("_b")).alias("vec"), "head", "tail")
 
     def sparse(self, sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:

@@ -180,3 +180,16 @@ def test_model_merge_encodes_the_merged_text(spark):
         for (j, u), want in scores.items():
             assert abs(cands[(p, j, u)] - want) < 1e-9
         assert turns_hold([picks[(p, j)] for j in range(len(km))], {k: cands[(p, *k)] for k in scores}, pool)
+
+
+def test_vectors_sort_primitive_buckets(spark):
+    """Characters come from a split, not from a regex match each, and the sort is a column of its own without nulls."""
+    enc = NgramEncoder()
+    rows = spark.createDataFrame([(0, "abcab"), (1, ""), (2, "ab"), (3, None), (4, "កខគ😀កខគ")], "i int, text string")
+    vecs = enc.vectors(rows, ["i"])
+    assert "regexp_extract_all" not in vecs._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["i"]: r["vec"] for r in vecs.collect()}
+    assert [sum(got[i]) for i in range(5)] == [3.0, 0.0, 0.0, 0.0, 5.0]
+    assert all(len(v) == enc.dims for v in got.values())
+    runs = rows.select(enc.runs(enc.buckets(F.coalesce("text", F.lit("")))).alias("r"))
+    assert not runs.schema["r"].dataType.containsNull
