@@ -25,7 +25,8 @@ _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 
 def visible(markup: Column) -> Column:
     """Comments, scripts and styles become an empty tag: no text, but a border between texts."""
-    return F.when(markup.rlike("(?i)<!--|<script|<style"), F.regexp_replace(markup, _HIDDEN, "<!>")).otherwise(markup)
+    valid = F.make_valid_utf8(markup)
+    return F.when(valid.rlike("(?i)<!--|<script|<style"), F.regexp_replace(valid, _HIDDEN, "<!>")).otherwise(valid)
 
 
 def _escaped(s: str) -> str:
@@ -56,11 +57,6 @@ class Sel:
         return rf"(?i)</{_escaped(self.tag)}\s*>"
 
 
-def after_open(markup: Column, sel: Sel) -> Column:
-    """What follows the first opening tag of ``sel``; null without one."""
-    return F.get(F.split(markup, sel.open(), 2), 1)
-
-
 def bound(value: Column, name: str, sql: str) -> Column:
     """An SQL expression of the variable ``name``, applied to ``value``, which is evaluated once.
 
@@ -82,7 +78,7 @@ def _tags_sql(pattern: str) -> str:
 def elements(markup: Column, tag: str, sels: tuple[Sel, ...]) -> Column:
     """array<struct<o, s, e, m>>: the elements of a tag name that match one of ``sels``, in document order.
 
-    ``o`` is the place (from 0) of the opening tag, ``s`` to ``e`` the content,
+    ``o`` is the place (in bytes, from 0) of the opening tag, ``s`` to ``e`` the content,
     bit i of ``m`` whether ``sels[i]`` matches.  A closing tag ends the last
     open element of the name; an element that is not closed ends with the
     markup.  One fold over the name's tags; only elements that match are held.
@@ -92,7 +88,7 @@ def elements(markup: Column, tag: str, sels: tuple[Sel, ...]) -> Column:
 
     tags = rf"(?i)</?{_escaped(tag)}(?=[\s/>]){_ATTRS}>"
     bits = " + ".join(f"CASE WHEN z.`1` RLIKE {_text('^' + s.open())} THEN {1 << i} ELSE 0 END" for i, s in enumerate(sels))
-    marks = f"""transform({_tags_sql(tags)}, z -> named_struct('before', length(z.`0`), 'n', length(z.`1`),
+    marks = f"""transform({_tags_sql(tags)}, z -> named_struct('before', octet_length(z.`0`), 'n', octet_length(z.`1`),
       'kind', CASE WHEN startswith(z.`1`, '</') THEN 1 WHEN endswith(z.`1`, '/>') THEN 2 ELSE 0 END,
       'm', CASE WHEN startswith(z.`1`, '</') THEN 0 ELSE {bits} END))"""
     at, after, last = "a.pos + t.before", "a.pos + t.before + t.n", "get(a.now, size(a.now) - 1)"
@@ -110,7 +106,7 @@ def elements(markup: Column, tag: str, sels: tuple[Sel, ...]) -> Column:
     return bound(markup, "m", f"""aggregate({marks}, named_struct('depth', 0, 'pos', 0,
       'now', CAST(array() AS array<struct<d:int,o:int,s:int,m:int>>), 'out', CAST(array() AS array<struct<o:int,s:int,e:int,m:int>>)),
       (a, t) -> {step}, a -> sort_array(concat(a.out, transform(a.now, x ->
-        named_struct('o', x.o, 's', x.s, 'e', length(m), 'm', x.m)))))""")
+        named_struct('o', x.o, 's', x.s, 'e', octet_length(m), 'm', x.m)))))""")
 
 
 def matching(found: Column, bit: int) -> Column:
@@ -128,8 +124,13 @@ def outermost(found: Column) -> Column:
     return F.filter(found, lambda x: ~F.exists(found, lambda a: (a["s"] <= x["o"]) & (x["o"] < a["e"])))
 
 
+def cut(markup: Column, start: Column, end: Column) -> Column:
+    """The markup between two places in bytes; a cut of bytes walks no characters to find its start."""
+    return F.substring(markup.cast("binary"), start + 1, end - start).cast("string")
+
+
 def content(markup: Column, x: Column) -> Column:
-    return F.substring(markup, x["s"] + 1, x["e"] - x["s"])
+    return cut(markup, x["s"], x["e"])
 
 
 def _walked(inner: Column, finish: str) -> Column:
@@ -142,7 +143,7 @@ def _walked(inner: Column, finish: str) -> Column:
         return f"named_struct('stack', {stack}, 'pos', a.pos + t.before + t.n, 'tag', {tag}, 's', {s}, 'out', {out})"
 
     void = ", ".join(map(_text, VOID))
-    tags = f"""transform(transform({_tags_sql(ANY_TAG)}, z -> named_struct('before', length(z.`0`), 'tag', z.`1`, 'n', length(z.`1`),
+    tags = f"""transform(transform({_tags_sql(ANY_TAG)}, z -> named_struct('before', octet_length(z.`0`), 'tag', z.`1`, 'n', octet_length(z.`1`),
       'name', lower(regexp_extract(z.`1`, '^</?([a-zA-Z][a-zA-Z0-9]*)', 1)))), t -> named_struct('before', t.before, 'tag', t.tag,
       'n', t.n, 'name', t.name, 'close', startswith(t.tag, '</'), 'empty', endswith(t.tag, '/>') OR t.name IN ({void})))"""
     at, after = "a.pos + t.before", "a.pos + t.before + t.n"
@@ -162,7 +163,7 @@ def _walked(inner: Column, finish: str) -> Column:
 
 def children(inner: Column) -> Column:
     """array<struct<tag, s, e>>: direct child elements of a content, each with its opening tag and the
-    positions (from 0) of its own content."""
+    positions (in bytes, from 0) of its own content."""
     return _walked(inner, f"""CASE WHEN size(a.stack) = 0 THEN a.out
       ELSE concat(a.out, array(named_struct('tag', a.tag, 's', a.s, 'e', {1 << 30}))) END""")
 

@@ -72,6 +72,8 @@ def _chars(spec: str) -> str:
 # much faster than character-class regexes).
 WHITESPACE_CHARS = _chars(WHITESPACE_CLASS[1:-1])
 _SPACES = " " * len(WHITESPACE_CHARS)
+# Few ranges that hold every whitespace character but ' ': texts without any of them need no translate.
+_MAYBE_SPACE = r"[\x{0}-\x{1F}\x{80}-\x{A0}\x{1680}\x{2000}-\x{3000}]"
 
 
 def _col(c) -> Column:
@@ -84,8 +86,17 @@ def strip_ws(c) -> Column:
 
 
 def _spaced(c: Column) -> Column:
-    """Every Unicode whitespace character turned into ' '."""
-    return F.translate(c, WHITESPACE_CHARS, _SPACES)
+    """Every Unicode whitespace character turned into ' '; a text without any but ' ' is not rewritten."""
+    return F.when(c.rlike(_MAYBE_SPACE), F.translate(c, WHITESPACE_CHARS, _SPACES)).otherwise(c)
+
+
+def _collapsed(s: Column) -> Column:
+    return F.when(s.contains("  "), F.regexp_replace(s, "  +", " ")).otherwise(s)
+
+
+def _only_dashes(c: Column) -> Column:
+    """Whether a text without spaces at its ends is made of dashes and spaces only."""
+    return (c == "") | (c.startswith("-") & c.rlike(r"^[- ]*\z"))
 
 
 def clean_text(c) -> Column:
@@ -97,14 +108,14 @@ def clean_text(c) -> Column:
     """
     raw = F.coalesce(_col(c), F.lit(""))
     s = F.btrim(_spaced(raw), F.lit(" "))
-    collapsed = F.regexp_replace(s, "  +", " ")
+    collapsed = _collapsed(s)
     # s has the length of the stripped text, with inner whitespace as ' ';
     # it is a token only if the original stripped text is that token.
     token = s.isin(*SEPARATOR_TOKENS) & (strip_ws(raw) == s)
     return (
         F.when(raw == "", F.lit(""))
         .when(token, s)
-        .when(collapsed.rlike(r"^[- ]*\z"), F.lit(""))
+        .when(_only_dashes(collapsed), F.lit(""))
         .when(collapsed == ".", F.lit(""))
         .otherwise(collapsed)
     )
@@ -135,9 +146,16 @@ def script_counts(c, rule: LanguageRule = KHMER) -> tuple[Column, Column]:
 
 def is_script(c, rule: LanguageRule = KHMER) -> Column:
     """True iff script letters / (script + other letters) > threshold."""
-    k, l_ = script_counts(c, rule)
-    total = k + l_
-    return F.when(total > 0, (k / total) > F.lit(rule.threshold)).otherwise(F.lit(False))
+    t = F.coalesce(_col(c), F.lit(""))
+    k, l_ = script_counts(t, rule)
+    # the counts are bound: lambdas evaluate a repeated expression as often as it is written
+    over = F.transform(F.array(F.struct(k.alias("k"), l_.alias("l"))), lambda x: F.when(
+        x["k"] + x["l"] > 0, x["k"] / (x["k"] + x["l"]) > F.lit(rule.threshold)))
+    share = F.coalesce(F.get(over, 0), F.lit(False))
+    if rule.threshold < 0 or min(_chars(rule.script_letters), default="") < "\x80":
+        return share
+    # a text of ASCII alone has no letter of the script
+    return F.when(F.octet_length(t) == F.length(t), F.lit(False)).otherwise(share)
 
 
 def language_label(c, rule: LanguageRule = KHMER) -> Column:
@@ -152,8 +170,11 @@ def text_of(c, glue: str = "") -> Column:
     joins the non-empty ones with ``glue`` ('' as ``get_text(strip=True)``,
     ' ' as ``get_text(separator=' ', strip=True)``).
     """
-    nodes = F.split(F.coalesce(_col(c), F.lit("")), TAG_PATTERN, -1)
-    stripped = F.transform(nodes, lambda x: strip_ws(decode_references(x)))
+    whole = F.coalesce(_col(c), F.lit(""))
+    nodes = F.when(whole.contains("<"), F.split(whole, TAG_PATTERN, -1)).otherwise(F.array(whole))
+    # trimming by a set walks the whole text: only texts that have one of it at an end are trimmed
+    ends = lambda x: F.lit(WHITESPACE_CHARS).contains(F.left(x, F.lit(1))) | F.lit(WHITESPACE_CHARS).contains(F.right(x, F.lit(1)))
+    stripped = F.transform(F.transform(nodes, decode_references), lambda x: F.when(ends(x), strip_ws(x)).otherwise(x))
     return F.array_join(F.filter(stripped, lambda x: x != ""), glue)
 
 
@@ -169,11 +190,11 @@ def clean_array(arr) -> Column:
         F.coalesce(x, F.lit("")).alias("r"),
         F.btrim(_spaced(F.coalesce(x, F.lit(""))), F.lit(" ")).alias("s")))
     co = F.transform(st, lambda v: F.struct(v["r"].alias("r"), v["s"].alias("s"),
-                                            F.regexp_replace(v["s"], "  +", " ").alias("c")))
+                                            _collapsed(v["s"]).alias("c")))
     return F.transform(co, lambda v: (
         F.when(v["r"] == "", F.lit(""))
         .when(v["s"].isin(*SEPARATOR_TOKENS) & (strip_ws(v["r"]) == v["s"]), v["s"])
-        .when(v["c"].rlike(r"^[- ]*\z"), F.lit(""))
+        .when(_only_dashes(v["c"]), F.lit(""))
         .when(v["c"] == ".", F.lit(""))
         .otherwise(v["c"])))
 

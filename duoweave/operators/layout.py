@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duoweave.functions.markup import Sel, after_open, children, closed, content, elements, matching, outermost, visible, within
+from duoweave.functions.markup import Sel, children, closed, content, cut, elements, matching, outermost, visible, within
 from duoweave.functions.text import MIN_BLOCK_LENGTH, clean_array, clean_text, text_of, texts_of
 
 
@@ -58,12 +58,16 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
+def up_to(sel: Sel, end: str) -> str:
+    """Regex whose group 1 is what follows the first opening tag of ``sel``, up to the tag ``end`` or all of it."""
+    return rf"{sel.open()}((?:[^<]++|(?!{end})<)*+)"
+
+
 def title_raw(html: Column, layout: PageLayout) -> Column:
     """Tag-stripped text of the first title element ('' when none)."""
     if layout.title is None:
         return F.lit("")
-    rest = F.coalesce(after_open(html, layout.title), F.lit(""))
-    return text_of(F.get(F.split(rest, layout.title.close(), 2), 0), layout.title_glue)
+    return text_of(F.regexp_extract(html, up_to(layout.title, layout.title.close()), 1), layout.title_glue)
 
 
 def title_column(html: Column, layout: PageLayout) -> Column:
@@ -106,10 +110,10 @@ def raw_paragraphs(html: Column, found: Column, layout: PageLayout) -> Column:
     para = Sel(layout.para)
     end = rf"{para.close()}|{para.open()}"
     if layout.block is not None:
-        first = F.transform(found, lambda x: F.coalesce(after_open(content(html, x), para), F.lit("")))
-    else:
-        pieces = F.transform(outermost(found), lambda x: F.split(content(html, x), para.open(), -1))
-        first = F.flatten(F.transform(pieces, lambda p: F.slice(p, F.lit(2), F.greatest(F.size(p), F.lit(1)))))
+        # one pattern, compiled once; a split compiles its own for every block
+        return F.transform(found, lambda x: F.regexp_extract(content(html, x), up_to(para, end), 1))
+    pieces = F.transform(outermost(found), lambda x: F.split(content(html, x), para.open(), -1))
+    first = F.flatten(F.transform(pieces, lambda p: F.slice(p, F.lit(2), F.greatest(F.size(p), F.lit(1)))))
     return F.transform(first, lambda p: F.get(F.split(p, end, 2), 0))
 
 
@@ -128,7 +132,7 @@ def _fallback_stage(df: DataFrame, layout: PageLayout, found: dict[Sel, Column],
             x.alias("x"), F.array_max(F.transform(F.filter("_fb_outer", lambda a: (a["s"] <= x["o"]) & (x["o"] < a["e"])),
                                                   lambda a: a["s"])).alias("s"))))
     s2 = s1.withColumn("_fb_at", F.get(F.filter("_fb_pairs", lambda p: closed(
-        F.substring(F.col(html), p["s"] + 1, p["x"]["o"] - p["s"]))), 0)["x"])
+        cut(F.col(html), p["s"], p["x"]["o"]))), 0)["x"])
     s3 = s2.withColumn("_fb_region", content(F.col(html), F.col("_fb_at")))
     kind = "^" + Sel(layout.fallback_child).open()
     s4 = s3.withColumn("_fb_items", F.filter(children(F.col("_fb_region")), lambda c: c["tag"].rlike(kind)))

@@ -69,10 +69,12 @@ def bi_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     n = F.size("lines")
     half = F.floor(n / 2).cast("int")
-    blocks = F.transform("lines", lambda x, i: F.when(i < half, khmerize(x)).otherwise(x))
-    sep = F.concat(F.slice(blocks, 1, half), F.array(F.lit(SEPARATOR_TOKENS[0])),
-                   F.slice(blocks, half + 1, n))
-    return d.select("doc_id", F.when(F.col("doc_id") % 3 != 0, sep).otherwise(blocks).alias("blocks"))
+    # a column of its own, so that lines are mapped once
+    b = d.select("doc_id", n.alias("n"), half.alias("half"), F.transform(
+        "lines", lambda x, i: F.when(i < half, khmerize(x)).otherwise(x)).alias("blocks"))
+    sep = F.concat(F.slice("blocks", 1, F.col("half")), F.array(F.lit(SEPARATOR_TOKENS[0])),
+                   F.slice("blocks", F.col("half") + 1, F.col("n")))
+    return b.select("doc_id", F.when(F.col("doc_id") % 3 != 0, sep).otherwise(F.col("blocks")).alias("blocks"))
 
 
 def main_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

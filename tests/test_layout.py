@@ -209,3 +209,29 @@ def test_rows_of_extracts_once(spark):
     pages = table(spark, SF_SMALL, "pages")
     plan = rows_of(extract(pages, ARTICLE_LAYOUT), "blocks")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("article(?=") <= 3 and "Filter (size(" not in plan
+
+
+def test_places_are_bytes(spark):
+    """Elements are cut out by bytes, so that no cut walks the page's characters before it; Khmer takes three each."""
+    from duoweave.functions.markup import Sel, content, elements
+
+    markup = "ខ្មែរ<div id='a'>កខ<p>x</p></div>é<div id='a'>😀</div>"
+    row = spark.createDataFrame([(markup,)], "m string").select(
+        "m", elements(F.col("m"), "div", (Sel("div", id="a"),)).alias("e"))
+    got = row.select("e", F.transform("e", lambda x: content(F.col("m"), x)).alias("c")).first()
+    assert got["c"] == ["កខ<p>x</p>", "😀"]
+    raw = markup.encode()
+    assert [raw[x["s"]:x["e"]].decode() for x in got["e"]] == got["c"]
+
+
+def test_first_paragraph_ends(spark):
+    """Title and paragraph end at their closing tag, the next paragraph, or the end of the markup."""
+    from duoweave.functions.markup import Sel
+    from duoweave.operators.layout import up_to
+
+    p = Sel("p")
+    end = rf"{p.close()}|{p.open()}"
+    cases = ["<p>a<b>b</b></p>c", "<P class='>'>a<p>b", "x<pre>y</pre>", "<p>a < b", "", "<p></P >z", "<p>" + "<i>y</i> " * 20000]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, m string")
+    got = {r["i"]: r["t"] for r in rows.select("i", F.regexp_extract("m", up_to(p, end), 1).alias("t")).collect()}
+    assert [got[i] for i in range(len(cases))] == ["a<b>b</b>", "a", "", "a < b", "", "", "<i>y</i> " * 20000]

@@ -115,3 +115,24 @@ def test_references_match_html_unescape(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     for r in df.select("i", decode_references(F.col("t")).alias("d")).collect():
         assert r["d"] == html.unescape(texts[r["i"]]), texts[r["i"]]
+
+
+def test_script_counts_are_taken_once(spark):
+    """The letters of a text are counted once for its label, also inside a lambda."""
+    rows = spark.createDataFrame([(["កខគab", "abc", "", "é1", "ក", "កខab"],)], "a array<string>")
+    df = rows.select(F.transform("a", lambda x: is_script(x)).alias("k"))
+    assert df.first()["k"] == [False, False, False, False, True, False]
+    assert df._jdf.queryExecution().analyzed().toString().count("translate(") == 2
+
+
+def test_every_space_is_spaced(spark):
+    """Texts are rewritten where they hold any whitespace character but ' ', wherever it stands."""
+    from duoweave.functions.text import WHITESPACE_CHARS, _spaced
+
+    texts = [f"a{c}b" for c in WHITESPACE_CHARS] + ["កខ គ", "ab", ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: (r["s"], r["x"], r["y"]) for r in rows.select(
+        "i", _spaced(F.col("t")).alias("s"), text_of(F.concat(F.substring("t", 2, 1), "t", F.substring("t", 2, 1))).alias("x"),
+        clean_text("t").alias("y")).collect()}
+    for i, t in enumerate(texts[:len(WHITESPACE_CHARS)]):
+        assert got[i] == ("a b", t, "a b"), repr(t)
