@@ -60,5 +60,6 @@ def fetch_pairs(fetches: DataFrame, layout: PageLayout = NEWS_LAYOUT, encoder=No
 def bi_content(spark: SparkSession, sf_dir: str, aligned: bool = False) -> DataFrame:
     """Content of the generated news-layout pages (routed, optionally aligned)."""
     pages = X.main_pages(spark, sf_dir)
-    # callers read it more than once: the last steps of the alignment run once for all of them
-    return materialize(aligned_content(pages) if aligned else page_content(pages))
+    if aligned:
+        return aligned_content(pages)
+    return materialize(page_content(pages))
